@@ -141,16 +141,18 @@ def stream_log(
 ) -> DataFrame:
     """Follow a log, or with ``isCollectionStream`` a collection, as typed rows.
 
-    The option ``maxFilesPerTrigger`` bounds a micro-batch. What was read is
-    kept in the checkpoint of the query that is started on the result.
+    The options ``maxFilesPerTrigger`` and ``maxBytesPerTrigger`` bound a
+    micro-batch. What was read is kept in the checkpoint of the query that is
+    started on the result.
     """
     allow_repeated_names(spark)
     checked = log_options(options)
     path = _checked_path(spark, checked)
     wanted = infer_log_schema(spark, checked) if schema is None else as_schema(schema)
     reader = spark.readStream
-    if checked.get("maxFilesPerTrigger"):
-        reader = reader.option("maxFilesPerTrigger", checked["maxFilesPerTrigger"])
+    for name in ("maxFilesPerTrigger", "maxBytesPerTrigger"):
+        if checked.get(name):
+            reader = reader.option(name, checked[name])
     if checked.is_collection_stream:
         return decode_lenient(reader.schema(DOCUMENT_SCHEMA).parquet(path), wanted, "doc", keep)
     return decode_lenient(reader.schema(LOG_SCHEMA).parquet(path), wanted, "payload", keep)
