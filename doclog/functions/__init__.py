@@ -10,7 +10,7 @@ from .offsets import (
     offset_struct,
     offset_to_json,
 )
-from .variant import Place
+from .variant import Place, sql_name, sql_text
 
 __all__ = [
     "EARLIEST",
@@ -25,6 +25,8 @@ __all__ = [
     "offset_to_json",
     "quoted",
     "row_to_json",
+    "sql_name",
+    "sql_text",
     "strict_fits",
     "strict_value",
 ]

@@ -2,16 +2,16 @@
 
 Strict: a value must already be of the wanted type. Lenient: a value is
 converted, with a default where that fails. Both are built recursively from the
-wanted type and give one column expression.
+wanted type and give one SQL expression.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from collections.abc import Callable
+
 from pyspark.sql import types as T
 
-from .variant import BOOLEAN, NESTED, NUMERIC, TEXT, VOID, Place
+from .variant import BOOLEAN, NESTED, NUMERIC, TEXT, VOID, Place, one_of, sql_text
 
 # The scalar types each rule can produce.
 STRICT_SCALARS = (T.StringType, T.LongType, T.DoubleType, T.FloatType, T.BooleanType)
@@ -20,156 +20,158 @@ LENIENT_SCALARS = (*STRICT_SCALARS, T.IntegerType)
 # The words that a text may hold in place of a number.
 NUMBER_WORDS = ("NaN", "Infinity", "+Infinity", "-Infinity")
 
+INFINITY = "double('Infinity')"
+
+
+def _null(data_type: T.DataType) -> str:
+    return f"CAST(NULL AS {data_type.simpleString()})"
+
 
-def _null(data_type: T.DataType) -> Column:
-    return F.lit(None).cast(data_type)
+def _array(place: Place, value: Callable[[Place], str]) -> str:
+    # an array inside an array needs a name of its own for its element
+    name = f"{place.root}_e" if place.root.isidentifier() else "e"
+    return f"transform({place.elements}, {name} -> {value(Place(name))})"
+
+
+def _struct(place: Place, fields: list[T.StructField], value: Callable) -> str:
+    parts = [
+        f"{sql_text(f.name)}, {value(place.child(f.name), f.dataType)}" for f in fields
+    ]
+    return f"CASE WHEN {place.is_object} THEN named_struct({', '.join(parts)}) END"
 
 
 # ---------------------------------------------------------------- strict
 
 
-def _strict_kind(place: Place, data_type: T.DataType) -> Column:
-    """True where a scalar value is of ``data_type`` or is JSON null."""
+def _strict_kind(place: Place, data_type: T.DataType) -> str:
+    """True where a scalar is of ``data_type`` or JSON null; NULL where it is missing."""
     if isinstance(data_type, T.StringType):
-        return place.kind.isin(TEXT, VOID)
+        return one_of(place.kind, TEXT, VOID)
     if isinstance(data_type, T.BooleanType):
-        return place.kind.isin(BOOLEAN, VOID)
+        return one_of(place.kind, BOOLEAN, VOID)
     if isinstance(data_type, (T.DoubleType, T.FloatType)):
-        return place.kind.isin(VOID, *NUMERIC)
+        return one_of(place.kind, VOID, *NUMERIC)
     # Long: a number without a fraction, inside the range of a long
-    number = place.get("double")
-    whole = place.kind_name.like("DECIMAL%,0)") | (
-        place.kind_name.isin("DOUBLE", "FLOAT") & (number == F.floor(number))
+    unfractioned = f"{place.kind_name} RLIKE '^(DECIMAL.*,0[)]|DOUBLE|FLOAT)$'"
+    return (
+        f"({one_of(place.kind, 'BIG', VOID)} OR ({unfractioned}"
+        f" AND {place.get('double')} % 1 = 0 AND {place.get('bigint')} IS NOT NULL))"
     )
-    return place.kind.isin("BIG", VOID) | (whole & place.get("bigint").isNotNull())
 
 
-def strict_fits(place: Place, data_type: T.DataType) -> Column:
+def strict_fits(place: Place, data_type: T.DataType) -> str:
     """True where the field is present and its value is null or of the type."""
     if isinstance(data_type, T.NullType):
-        fits = place.is_json_null
-    elif isinstance(data_type, T.ArrayType):
-        fits = place.is_json_null | place.is_array
-    elif isinstance(data_type, T.StructType):
-        fits = place.is_json_null | place.is_object
-    elif isinstance(data_type, STRICT_SCALARS):
-        fits = _strict_kind(place, data_type)
-    else:
-        return F.lit(False)
-    return place.is_present & fits
-
-
-def strict_value(place: Place, data_type: T.DataType, known_to_fit: bool = False) -> Column:
+        return place.is_json_null
+    if isinstance(data_type, T.ArrayType):
+        return f"({place.is_json_null} OR {place.is_array})"
+    if isinstance(data_type, T.StructType):
+        return f"({place.is_json_null} OR {place.is_object})"
+    if isinstance(data_type, STRICT_SCALARS):
+        return _strict_kind(place, data_type)
+    return "FALSE"
+
+
+def strict_value(place: Place, data_type: T.DataType, known_to_fit: bool = False) -> str:
     """The value, or null where it does not fit.
 
     ``known_to_fit`` leaves out the test where a filter has made it before.
     """
     if isinstance(data_type, T.ArrayType):
-        return F.transform(
-            place.elements, lambda e: strict_value(Place(e), data_type.elementType)
-        )
+        return _array(place, lambda e: strict_value(e, data_type.elementType))
     if isinstance(data_type, T.StructType):
-        fields = [
-            strict_value(place.child(f.name), f.dataType).alias(f.name)
-            for f in data_type.fields
-        ]
-        return F.when(place.is_object, F.struct(*fields))
+        return _struct(place, data_type.fields, strict_value)
     if not isinstance(data_type, STRICT_SCALARS):
         return _null(data_type)
     value = place.get(data_type.simpleString())
-    return value if known_to_fit else F.when(_strict_kind(place, data_type), value)
+    if known_to_fit:
+        return value
+    return f"CASE WHEN {_strict_kind(place, data_type)} THEN {value} END"
 
 
 # ---------------------------------------------------------------- lenient
 
 
-def _text_number(place: Place) -> Column:
+def _text_number(place: Place) -> str:
     """The number a text stands for; null if it is no number."""
-    text = F.trim(place.get("string"))
-    return F.when(text.rlike("[0-9]") | text.isin(*NUMBER_WORDS), place.get("double"))
+    text = f"trim({place.get('string')})"
+    return (
+        f"CASE WHEN {text} RLIKE '[0-9]' OR {one_of(text, *NUMBER_WORDS)}"
+        f" THEN {place.get('double')} END"
+    )
 
 
-def _lenient_whole(place: Place, sql_type: str) -> Column:
+def _lenient_whole(place: Place, sql_type: str) -> str:
     # The first branch serves numbers, booleans and plain texts. What is left:
     # texts with a fraction or no number, arrays and objects, and (null) JSON
     # null, a missing field and numbers out of range.
-    from_text = _text_number(place).try_cast(sql_type)
-    zero = F.lit(0).cast(sql_type)
-    return F.coalesce(
-        place.get(sql_type),
-        F.when(place.kind == TEXT, F.coalesce(from_text, zero)).when(
-            place.kind.isin(*NESTED), zero
-        ),
+    return (
+        f"coalesce({place.get(sql_type)}, CASE WHEN {one_of(place.kind, TEXT, *NESTED)}"
+        f" THEN coalesce(try_cast({_text_number(place)} AS {sql_type}), CAST(0 AS {sql_type}))"
+        " END)"
     )
 
 
-def _lenient_double(place: Place) -> Column:
+def _lenient_double(place: Place) -> str:
+    # a finite number needs no look at its kind; "inf" as a text does
     number = place.get("double")
-    finite = F.abs(number) < F.lit(float("inf"))
-    return F.when(finite, number).otherwise(
-        F.when(place.kind == TEXT, F.coalesce(_text_number(place), F.lit(0.0)))
-        .when(place.kind.isin(*NESTED), F.lit(0.0))
-        .otherwise(number)
+    return (
+        f"CASE WHEN abs({number}) < {INFINITY} THEN {number}"
+        f" WHEN {one_of(place.kind, TEXT, *NESTED)}"
+        f" THEN coalesce({_text_number(place)}, double(0)) ELSE {number} END"
     )
 
 
-def _beyond_long(place: Place) -> Column:
+def _beyond_long(place: Place) -> str:
     """True for a whole decimal outside the range of a long.
 
     Inside that range a number written without a fraction is a BIGINT, so a
     DECIMAL there was written with one.
     """
-    return place.kind_name.like("DECIMAL%,0)") & place.get("bigint").isNull()
+    return f"({place.kind_name} LIKE 'DECIMAL%,0)' AND {place.get('bigint')} IS NULL)"
 
 
-def _lenient_string(place: Place) -> Column:
+def _lenient_string(place: Place) -> str:
+    # A number with a fraction or an exponent has the text of its double, as in
+    # 2.0; the variant itself would write 2.
     text = place.get("string")
-    as_double = place.get("double").cast("string")
     return (
-        F.when(place.kind == TEXT, text)
-        .when(place.kind.isin(*NESTED), F.lit(""))
-        .when(place.kind == "DOU", as_double)
-        .when((place.kind == "DEC") & ~_beyond_long(place), as_double)
-        .otherwise(text)
+        f"CASE WHEN {one_of(place.kind, TEXT, 'BIG', BOOLEAN, VOID)} THEN {text}"
+        f" WHEN {one_of(place.kind, *NESTED)} THEN ''"
+        f" WHEN {_beyond_long(place)} THEN {text}"
+        f" ELSE CAST({place.get('double')} AS STRING) END"
     )
 
 
-def _lenient_boolean(place: Place) -> Column:
-    whole_number = (place.kind == "BIG") | _beyond_long(place)
+def _lenient_boolean(place: Place) -> str:
+    # whole numbers are true unless zero; numbers with a fraction are false
+    value = place.get("boolean")
     return (
-        F.when(place.kind == BOOLEAN, place.get("boolean"))
-        .when(place.kind == VOID, F.lit(None))
-        .when(place.kind == TEXT, F.trim(place.get("string")) == "true")
-        .when(whole_number, place.get("boolean"))
-        .when(place.is_present, F.lit(False))
+        f"CASE WHEN {one_of(place.kind, BOOLEAN, VOID, 'BIG')} THEN {value}"
+        f" WHEN {place.kind} = '{TEXT}' THEN trim({place.get('string')}) = 'true'"
+        f" WHEN {_beyond_long(place)} THEN {value}"
+        f" WHEN {place.value} IS NOT NULL THEN FALSE END"
     )
 
 
-def lenient_value(place: Place, data_type: T.DataType, top: bool = False) -> Column:
+def lenient_value(place: Place, data_type: T.DataType, top: bool = False) -> str:
     """The value converted to the type; null for JSON null or a missing field."""
     if isinstance(data_type, T.NullType):
         return _null(data_type)
     if isinstance(data_type, T.ArrayType):
-        return F.transform(
-            place.elements, lambda e: lenient_value(Place(e), data_type.elementType)
-        )
+        return _array(place, lambda e: lenient_value(e, data_type.elementType))
     if isinstance(data_type, T.StructType):
-        fields = [
-            lenient_value(place.child(f.name), f.dataType).alias(f.name)
-            for f in data_type.fields
-        ]
-        return F.when(place.is_object, F.struct(*fields))
+        return _struct(place, data_type.fields, lenient_value)
     if isinstance(data_type, (T.IntegerType, T.LongType)):
         return _lenient_whole(place, data_type.simpleString())
     if isinstance(data_type, T.DoubleType):
         return _lenient_double(place)
     if isinstance(data_type, T.FloatType):
-        return _lenient_double(place).cast("float")
+        return f"CAST({_lenient_double(place)} AS FLOAT)"
     if isinstance(data_type, T.StringType):
         return _lenient_string(place)
     if isinstance(data_type, T.BooleanType):
         return _lenient_boolean(place)
-    refuse = F.raise_error(F.lit(f"Unsupported data type: {data_type.simpleString()}"))
-    if top:
-        return F.when(~place.is_json_null, refuse.cast(data_type))
-    return refuse.cast(data_type)
+    name = data_type.simpleString()
+    refuse = f"CAST(raise_error({sql_text('Unsupported data type: ' + name)}) AS {name})"
+    return f"CASE WHEN NOT {place.is_json_null} THEN {refuse} END" if top else refuse

@@ -3,15 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.decode import lenient_value, strict_fits, strict_value
-from ..functions.encode import quoted
-from ..functions.variant import Place
+from ..functions.variant import Place, sql_name, sql_text
 
 # A text with at least one character above the blank and control characters.
 NOT_BLANK = r"[^\x00-\x20]"
@@ -21,7 +18,7 @@ def as_schema(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
-def _once(df: DataFrame, kept: list[Column], value: Column, name: str) -> DataFrame:
+def _once(df: DataFrame, kept: list[str], value: str, name: str) -> DataFrame:
     """Add ``value`` as a column that is computed once per row.
 
     A column made by a projection would be copied by the optimizer into each
@@ -29,41 +26,38 @@ def _once(df: DataFrame, kept: list[Column], value: Column, name: str) -> DataFr
     times. The output of a generator is not copied, and generators over an array
     of one take part in code generation like a projection.
     """
-    return df.select(*kept, F.explode(F.array(value)).alias(name))
+    return df.selectExpr(*kept, f"explode(array({value})) AS {name}")
 
 
-def _parsed(df: DataFrame, kept: list[Column], doc: str) -> DataFrame:
-    column = quoted(doc)
-    if isinstance(df.schema[doc].dataType, T.VariantType):
-        value = column
-    elif isinstance(df.schema[doc].dataType, T.BinaryType):
+def _parsed(df: DataFrame, kept: list[str], doc: str) -> DataFrame:
+    value = sql_name(doc)
+    if isinstance(df.schema[doc].dataType, T.BinaryType):
         # a cast keeps the bytes; the parser replaces malformed UTF-8
-        value = F.parse_json(column.cast("string"))
-    else:
-        value = F.parse_json(column)
+        value = f"CAST({value} AS STRING)"
+    if not isinstance(df.schema[doc].dataType, T.VariantType):
+        value = f"parse_json({value})"
     return _once(df, kept, value, "_parsed")
 
 
 def array_results(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -> DataFrame:
     """One row ``result`` (a variant) per result: an array gives its elements."""
-    kept = [quoted(c) for c in keep]
-    parsed = _parsed(df, kept, doc)
-    value = F.col("_parsed")
-    elements = F.coalesce(value.try_cast("array<variant>"), F.array(value))
-    return parsed.select(*kept, F.explode(elements).alias("result"))
+    kept = [sql_name(c) for c in keep]
+    elements = "coalesce(try_cast(_parsed AS ARRAY<VARIANT>), array(_parsed))"
+    return _parsed(df, kept, doc).selectExpr(*kept, f"explode({elements}) AS result")
 
 
-def _fields(df: DataFrame, kept: list[Column], root: str, schema: T.StructType) -> DataFrame:
+def _fields(df: DataFrame, kept: list[str], root: str, schema: T.StructType) -> DataFrame:
     """Take each field of the schema out of the variant ``root``, once."""
     if not schema.fields:
-        return df.select(*kept)
-    place = Place(F.col(root))
-    values = [place.child(f.name).value.alias(f"_f{i}") for i, f in enumerate(schema.fields)]
-    return df.select(*kept, F.inline(F.array(F.struct(*values))))
+        return df.selectExpr(*kept)
+    values = [
+        f"'_f{i}', {Place(root).child(f.name).value}" for i, f in enumerate(schema.fields)
+    ]
+    return df.selectExpr(*kept, f"inline(array(named_struct({', '.join(values)})))")
 
 
-def _all(conditions: list[Column]) -> Column:
-    return reduce(lambda a, b: a & b, conditions, F.lit(True))
+def _all(conditions: list[str]) -> str:
+    return " AND ".join(conditions) or "TRUE"
 
 
 def decode_strict(
@@ -80,14 +74,15 @@ def decode_strict(
     not JSON raises. ``keep`` names columns of ``df`` to carry along.
     """
     schema = as_schema(schema)
-    kept = [quoted(c) for c in keep]
+    kept = [sql_name(c) for c in keep]
     rows = _fields(array_results(df, doc, keep), kept, "result", schema)
-    places = [(Place(F.col(f"_f{i}")), f) for i, f in enumerate(schema.fields)]
+    places = [(Place(f"_f{i}"), f) for i, f in enumerate(schema.fields)]
     rows = rows.where(_all([strict_fits(p, f.dataType) for p, f in places]))
     values = [
-        strict_value(p, f.dataType, known_to_fit=True).alias(f.name) for p, f in places
+        f"{strict_value(p, f.dataType, known_to_fit=True)} AS {sql_name(f.name)}"
+        for p, f in places
     ]
-    return rows.select(*kept, *values)
+    return rows.selectExpr(*kept, *values)
 
 
 def decode_lenient(
@@ -103,11 +98,13 @@ def decode_lenient(
     ``keep`` names columns of ``df`` to carry along.
     """
     schema = as_schema(schema)
-    kept = [quoted(c) for c in keep]
+    kept = [sql_name(c) for c in keep]
     if not isinstance(df.schema[doc].dataType, T.VariantType):
-        df = df.where(quoted(doc).cast("string").rlike(NOT_BLANK))
+        df = df.where(f"CAST({sql_name(doc)} AS STRING) RLIKE {sql_text(NOT_BLANK)}")
     rows = _fields(_parsed(df, kept, doc), kept, "_parsed", schema)
-    places = [(Place(F.col(f"_f{i}")), f) for i, f in enumerate(schema.fields)]
-    rows = rows.where(_all([p.is_present for p, _ in places]))
-    values = [lenient_value(p, f.dataType, top=True).alias(f.name) for p, f in places]
-    return rows.select(*kept, *values)
+    places = [(Place(f"_f{i}"), f) for i, f in enumerate(schema.fields)]
+    rows = rows.where(_all([f"{p.value} IS NOT NULL" for p, _ in places]))
+    values = [
+        f"{lenient_value(p, f.dataType, top=True)} AS {sql_name(f.name)}" for p, f in places
+    ]
+    return rows.selectExpr(*kept, *values)
