@@ -23,6 +23,22 @@ NUMBER_WORDS = ("NaN", "Infinity", "+Infinity", "-Infinity")
 INFINITY = "double('Infinity')"
 
 
+def direct_type(data_type: T.DataType, lenient: bool) -> str | None:
+    """The type from_json() may read a top-level field as, if there is one.
+
+    It must give NULL unless the field holds a JSON token of that very type,
+    whose value both rules then keep. Texts are not among them, for from_json()
+    takes any token as a text; nor are numbers that need rounding afterwards.
+    """
+    if isinstance(data_type, (T.LongType, T.DoubleType, T.BooleanType)):
+        return data_type.simpleString()
+    if isinstance(data_type, T.IntegerType) and lenient:
+        return "int"
+    if isinstance(data_type, T.FloatType) and not lenient:
+        return "float"
+    return None
+
+
 def _null(data_type: T.DataType) -> str:
     return f"CAST(NULL AS {data_type.simpleString()})"
 

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..functions.decode import lenient_value, strict_fits, strict_value
+from ..functions.decode import direct_type, lenient_value, strict_fits, strict_value
 from ..functions.variant import Place, sql_name, sql_text
 
 # A text with at least one character above the blank and control characters.
@@ -18,6 +18,20 @@ def as_schema(schema: T.StructType | str) -> T.StructType:
     return T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
 
 
+# from_json() as strict about the text as parse_json().
+_JSON_OPTIONS = {"allowSingleQuotes": "false", "allowNonNumericNumbers": "false"}
+
+
+def _text(df: DataFrame, doc: str) -> str:
+    """The JSON text in a column; bytes are kept, the parser replaces malformed ones."""
+    is_text = isinstance(df.schema[doc].dataType, T.StringType)
+    return sql_name(doc) if is_text else f"CAST({sql_name(doc)} AS STRING)"
+
+
+def _is_variant(df: DataFrame, doc: str) -> bool:
+    return isinstance(df.schema[doc].dataType, T.VariantType)
+
+
 def _once(df: DataFrame, kept: list[str], value: str, name: str) -> DataFrame:
     """Add ``value`` as a column that is computed once per row.
 
@@ -29,31 +43,81 @@ def _once(df: DataFrame, kept: list[str], value: str, name: str) -> DataFrame:
     return df.selectExpr(*kept, f"explode(array({value})) AS {name}")
 
 
-def _parsed(df: DataFrame, kept: list[str], doc: str) -> DataFrame:
-    value = sql_name(doc)
-    if isinstance(df.schema[doc].dataType, T.BinaryType):
-        # a cast keeps the bytes; the parser replaces malformed UTF-8
-        value = f"CAST({value} AS STRING)"
-    if not isinstance(df.schema[doc].dataType, T.VariantType):
-        value = f"parse_json({value})"
-    return _once(df, kept, value, "_parsed")
+def _elements(df: DataFrame, kept: list[str]) -> DataFrame:
+    """The variant ``_parsed`` as ``result``, or its elements if it is an array."""
+    elements = "coalesce(try_cast(_parsed AS ARRAY<VARIANT>), array(_parsed))"
+    return df.selectExpr(*kept, f"explode({elements}) AS result")
 
 
 def array_results(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -> DataFrame:
     """One row ``result`` (a variant) per result: an array gives its elements."""
     kept = [sql_name(c) for c in keep]
-    elements = "coalesce(try_cast(_parsed AS ARRAY<VARIANT>), array(_parsed))"
-    return _parsed(df, kept, doc).selectExpr(*kept, f"explode({elements}) AS result")
+    parsed = sql_name(doc) if _is_variant(df, doc) else f"parse_json({_text(df, doc)})"
+    return _elements(_once(df, kept, parsed, "_parsed"), kept)
+
 
+class _Fields:
+    """The top-level fields of a schema, as the two decoders take them.
+
+    Most documents are read in one pass by from_json(), which skips what the
+    schema does not name: numbers and booleans as such (``_t<i>`` is NULL for
+    anything else), the other fields as variants. Only a document that leaves
+    one of these columns NULL is parsed as a whole, and its fields (``_f<i>``)
+    are looked at: there a field may be missing, null or of another type, the
+    document may be an array or a scalar, or the text may be no JSON at all.
+    """
 
-def _fields(df: DataFrame, kept: list[str], root: str, schema: T.StructType) -> DataFrame:
-    """Take each field of the schema out of the variant ``root``, once."""
-    if not schema.fields:
-        return df.selectExpr(*kept)
-    values = [
-        f"'_f{i}', {Place(root).child(f.name).value}" for i, f in enumerate(schema.fields)
-    ]
-    return df.selectExpr(*kept, f"inline(array(named_struct({', '.join(values)})))")
+    def __init__(self, df: DataFrame, schema: T.StructType, doc: str, lenient: bool):
+        self.fields = schema.fields
+        self.in_one_pass = not _is_variant(df, doc) and bool(self.fields)
+        self.direct = [
+            direct_type(f.dataType, lenient) if self.in_one_pass else None
+            for f in self.fields
+        ]
+        self.read = [f"_t{i}" for i in range(len(self.fields))] if self.in_one_pass else []
+        self.text = _text(df, doc)
+
+    def parsed(self, df: DataFrame, kept: list[str], doc: str) -> DataFrame:
+        """Add what one pass reads, and ``_parsed``, NULL where that was enough."""
+        if _is_variant(df, doc):
+            return _once(df, kept, sql_name(doc), "_parsed")
+        if not self.in_one_pass:
+            return _once(df, kept, f"parse_json({self.text})", "_parsed")
+        types = ", ".join(
+            f"{sql_name(f.name)}: {t or 'variant'}" for f, t in zip(self.fields, self.direct)
+        )
+        # no field may be taken for the record of malformed text
+        unused = max((f.name for f in self.fields), key=len) + "_"
+        options = {**_JSON_OPTIONS, "columnNameOfCorruptRecord": unused}
+        option_map = ", ".join(sql_text(t) for pair in options.items() for t in pair)
+        read = f"from_json(_text, {sql_text(f'struct<{types}>')}, map({option_map}))"
+        df = df.selectExpr(*kept, f"{self.text} AS _text").selectExpr(
+            *kept, "_text", f"inline(array({read})) AS ({', '.join(self.read)})"
+        )
+        complete = _all([f"{t} IS NOT NULL" for t in self.read])
+        rest = f"CASE WHEN {complete} THEN NULL ELSE parse_json(_text) END"
+        return _once(df, [*kept, *self.read], rest, "_parsed")
+
+    def taken(self, df: DataFrame, kept: list[str], root: str) -> DataFrame:
+        """Take each field out of the variant ``root``, once."""
+        if not self.fields:
+            return df.selectExpr(*kept)
+        values = [
+            f"'_f{i}', {Place(root).child(f.name).value}" for i, f in enumerate(self.fields)
+        ]
+        return df.selectExpr(*kept, *self.read, f"inline(array(named_struct({', '.join(values)})))")
+
+    def place(self, i: int) -> Place:
+        if self.in_one_pass and not self.direct[i]:
+            return Place(f"coalesce(_t{i}, _f{i})")
+        return Place(f"_f{i}")
+
+    def condition(self, i: int, otherwise: str) -> str:
+        return f"(_t{i} IS NOT NULL OR {otherwise})" if self.direct[i] else otherwise
+
+    def value(self, i: int, otherwise: str) -> str:
+        value = f"coalesce(_t{i}, {otherwise})" if self.direct[i] else otherwise
+        return f"{value} AS {sql_name(self.fields[i].name)}"
 
 
 def _all(conditions: list[str]) -> str:
@@ -73,16 +137,16 @@ def decode_strict(
     Below the top level a value that does not fit becomes null. Text that is
     not JSON raises. ``keep`` names columns of ``df`` to carry along.
     """
-    schema = as_schema(schema)
     kept = [sql_name(c) for c in keep]
-    rows = _fields(array_results(df, doc, keep), kept, "result", schema)
-    places = [(Place(f"_f{i}"), f) for i, f in enumerate(schema.fields)]
-    rows = rows.where(_all([strict_fits(p, f.dataType) for p, f in places]))
-    values = [
-        f"{strict_value(p, f.dataType, known_to_fit=True)} AS {sql_name(f.name)}"
-        for p, f in places
-    ]
-    return rows.selectExpr(*kept, *values)
+    take = _Fields(df, as_schema(schema), doc, lenient=False)
+    rows = _elements(take.parsed(df, kept, doc), [*kept, *take.read])
+    rows = take.taken(rows, kept, "result")
+    conditions, values = [], []
+    for i, field in enumerate(take.fields):
+        place, data_type = take.place(i), field.dataType
+        conditions.append(take.condition(i, strict_fits(place, data_type)))
+        values.append(take.value(i, strict_value(place, data_type, known_to_fit=True)))
+    return rows.where(_all(conditions)).selectExpr(*kept, *values)
 
 
 def decode_lenient(
@@ -97,14 +161,14 @@ def decode_lenient(
     field; an explicit JSON null stays as null. Text that is not JSON raises.
     ``keep`` names columns of ``df`` to carry along.
     """
-    schema = as_schema(schema)
     kept = [sql_name(c) for c in keep]
-    if not isinstance(df.schema[doc].dataType, T.VariantType):
-        df = df.where(f"CAST({sql_name(doc)} AS STRING) RLIKE {sql_text(NOT_BLANK)}")
-    rows = _fields(_parsed(df, kept, doc), kept, "_parsed", schema)
-    places = [(Place(f"_f{i}"), f) for i, f in enumerate(schema.fields)]
-    rows = rows.where(_all([f"{p.value} IS NOT NULL" for p, _ in places]))
-    values = [
-        f"{lenient_value(p, f.dataType, top=True)} AS {sql_name(f.name)}" for p, f in places
-    ]
-    return rows.selectExpr(*kept, *values)
+    take = _Fields(df, as_schema(schema), doc, lenient=True)
+    if not _is_variant(df, doc):
+        df = df.where(f"{take.text} RLIKE {sql_text(NOT_BLANK)}")
+    rows = take.taken(take.parsed(df, kept, doc), kept, "_parsed")
+    conditions, values = [], []
+    for i, field in enumerate(take.fields):
+        place, data_type = take.place(i), field.dataType
+        conditions.append(take.condition(i, f"{place.value} IS NOT NULL"))
+        values.append(take.value(i, lenient_value(place, data_type, top=True)))
+    return rows.where(_all(conditions)).selectExpr(*kept, *values)
