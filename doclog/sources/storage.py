@@ -67,13 +67,19 @@ def publish(
     return True
 
 
+# Fixed value: after this many rows the file format first looks at a page's size.
+_FIRST_LOOK = 100
+
+
 def grouped(writer: DataFrameWriter, batch_size: int) -> DataFrameWriter:
-    """Set the writer to hand over its rows in groups of ``batch_size``.
+    """Set the writer to hand over its rows in groups of ``batch_size`` at most.
 
     A group becomes a data page of the file, not a file: at the small sizes
     that are usual here, a file per group would be unreadable in large numbers.
     """
-    return writer.option("parquet.page.row.count.limit", batch_size)
+    return writer.option("parquet.page.row.count.limit", batch_size).option(
+        "parquet.page.size.row.check.min", min(batch_size, _FIRST_LOOK)
+    )
 
 
 def scratch_folder(spark: SparkSession) -> str:
