@@ -69,20 +69,25 @@ def offset_to_json(ledger_id: Column, entry_id: Column, partition_index: Column)
     )
 
 
+_OFFSET_TYPE = "struct<ledger_id:bigint,entry_id:bigint,partition_index:int>"
+
+
 def offset_from_json(text: Column) -> Column:
     """The offset in a text; text that is not a whole offset raises."""
+    bad = F.raise_error(F.concat(F.lit("Not an offset: "), text)).cast(_OFFSET_TYPE)
+
+    def checked(parts: Column) -> Column:
+        ledger, entry, partition = (
+            parts.getField(name) for name in ("ledgerId", "entryId", "partitionIndex")
+        )
+        whole = ledger.isNotNull() & entry.isNotNull() & partition.isNotNull()
+        offset = F.struct(
+            ledger.alias("ledger_id"),
+            entry.alias("entry_id"),
+            partition.alias("partition_index"),
+        )
+        return F.when(whole, offset).otherwise(bad)
+
+    # the variable of a lambda holds the parsed text, which is so parsed once
     parts = F.from_json(text, _TEXT_SCHEMA, {"mode": "FAILFAST"})
-    names = ("ledgerId", "entryId", "partitionIndex")
-    whole = F.lit(True)
-    for name in names:
-        whole = whole & parts.getField(name).isNotNull()
-    bad = F.raise_error(F.concat(F.lit("Not an offset: "), text))
-    renamed = F.struct(
-        parts.getField("ledgerId").alias("ledger_id"),
-        parts.getField("entryId").alias("entry_id"),
-        parts.getField("partitionIndex").alias("partition_index"),
-    )
-    kept = F.when(whole, renamed).otherwise(
-        bad.cast("struct<ledger_id:bigint,entry_id:bigint,partition_index:int>")
-    )
-    return F.when(text.isNotNull(), kept)
+    return F.when(text.isNotNull(), F.transform(F.array(parts), checked)[0])

@@ -28,6 +28,11 @@ def _text(df: DataFrame, doc: str) -> str:
     return sql_name(doc) if is_text else f"CAST({sql_name(doc)} AS STRING)"
 
 
+def _allow_repeated_names(df: DataFrame) -> None:
+    """Let a document name a field twice, the last one counting, in this session."""
+    df.sparkSession.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+
+
 def _is_variant(df: DataFrame, doc: str) -> bool:
     return isinstance(df.schema[doc].dataType, T.VariantType)
 
@@ -51,6 +56,7 @@ def _elements(df: DataFrame, kept: list[str]) -> DataFrame:
 
 def array_results(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -> DataFrame:
     """One row ``result`` (a variant) per result: an array gives its elements."""
+    _allow_repeated_names(df)
     kept = [sql_name(c) for c in keep]
     parsed = sql_name(doc) if _is_variant(df, doc) else f"parse_json({_text(df, doc)})"
     return _elements(_once(df, kept, parsed, "_parsed"), kept)
@@ -137,6 +143,7 @@ def decode_strict(
     Below the top level a value that does not fit becomes null. Text that is
     not JSON raises. ``keep`` names columns of ``df`` to carry along.
     """
+    _allow_repeated_names(df)
     kept = [sql_name(c) for c in keep]
     take = _Fields(df, as_schema(schema), doc, lenient=False)
     rows = _elements(take.parsed(df, kept, doc), [*kept, *take.read])
@@ -161,6 +168,7 @@ def decode_lenient(
     field; an explicit JSON null stays as null. Text that is not JSON raises.
     ``keep`` names columns of ``df`` to carry along.
     """
+    _allow_repeated_names(df)
     kept = [sql_name(c) for c in keep]
     take = _Fields(df, as_schema(schema), doc, lenient=True)
     if not _is_variant(df, doc):

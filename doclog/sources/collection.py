@@ -24,11 +24,6 @@ DOCUMENT_SCHEMA = "doc STRING, _key STRING, load STRING"
 _HAS_KEY, _NO_KEY = "_key IS NOT NULL", "_key IS NULL"
 
 
-def allow_repeated_names(spark: SparkSession) -> None:
-    """Let a document name a field twice; the last one counts."""
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
-
-
 def documents(spark: SparkSession, options: Mapping[str, object]) -> DataFrame:
     """The stored documents as they are: ``doc``, ``_key`` and ``load``."""
     checked = collection_options(options)
@@ -85,7 +80,6 @@ def read_collection(
     schema: T.StructType | str | None = None,
 ) -> DataFrame:
     """Read a collection, or what the option ``query`` makes of it, as typed rows."""
-    allow_repeated_names(spark)
     checked = collection_options(options)
     results = query_results(spark, checked.query, documents(spark, checked))
     return decode_results(results, as_schema(schema) if schema is not None else None)

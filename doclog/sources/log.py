@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from ..functions.offsets import EARLIEST, Offset, in_range, offset_struct
 from ..operators.decode import NOT_BLANK, as_schema, decode_lenient
 from ..operators.infer import first_message, schema_of_message
-from .collection import DOCUMENT_SCHEMA, allow_repeated_names
+from .collection import DOCUMENT_SCHEMA
 from .options import Options, collection_path, log_options, log_path
 from .storage import exists, folders
 
@@ -128,7 +128,6 @@ def read_log(
     keep: Sequence[str] = (),
 ) -> DataFrame:
     """Read a range of a log in batch as typed rows."""
-    allow_repeated_names(spark)
     wanted = infer_log_schema(spark, options) if schema is None else as_schema(schema)
     return decode_lenient(messages(spark, options, start, end), wanted, "payload", keep)
 
@@ -145,7 +144,6 @@ def stream_log(
     micro-batch. What was read is kept in the checkpoint of the query that is
     started on the result.
     """
-    allow_repeated_names(spark)
     checked = log_options(options)
     path = _checked_path(spark, checked)
     wanted = infer_log_schema(spark, checked) if schema is None else as_schema(schema)

@@ -19,7 +19,6 @@ def spark(tmp_path_factory):
         .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
-        .config("spark.sql.variant.allowDuplicateKeys", "true")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")
