@@ -11,7 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import types as T
 
-from .variant import BOOLEAN, NESTED, NUMERIC, TEXT, VOID, Place, one_of, sql_text
+from .variant import BOOLEAN, NESTED, NUMERIC, TEXT, VOID, Place, one_of, sql_name, sql_text
 
 # The scalar types each rule can produce.
 STRICT_SCALARS = (T.StringType, T.LongType, T.DoubleType, T.FloatType, T.BooleanType)
@@ -23,24 +23,77 @@ NUMBER_WORDS = ("NaN", "Infinity", "+Infinity", "-Infinity")
 INFINITY = "double('Infinity')"
 
 
+def sql_type(data_type: T.DataType) -> str:
+    """The type as SQL text, with quoted field names."""
+    if isinstance(data_type, T.ArrayType):
+        return f"array<{sql_type(data_type.elementType)}>"
+    if isinstance(data_type, T.StructType):
+        parts = [f"{sql_name(f.name)}: {sql_type(f.dataType)}" for f in data_type.fields]
+        return f"struct<{', '.join(parts)}>"
+    return data_type.simpleString()
+
+
 def direct_type(data_type: T.DataType, lenient: bool) -> str | None:
     """The type from_json() may read a top-level field as, if there is one.
 
-    It must give NULL unless the field holds a JSON token of that very type,
-    whose value both rules then keep. Texts are not among them, for from_json()
-    takes any token as a text; nor are numbers that need rounding afterwards.
+    Where that gives a value that ``direct_value`` lets pass, it is the value
+    that the rule gives too. Strict texts are not among them, for from_json()
+    takes a number for a text as well.
     """
+    if isinstance(data_type, T.ArrayType):
+        element = direct_type(data_type.elementType, lenient)
+        return f"array<{element}>" if element else None
+    if isinstance(data_type, T.StructType):
+        types = [direct_type(f.dataType, lenient) for f in data_type.fields]
+        parts = [f"{sql_name(f.name)}: {t}" for f, t in zip(data_type.fields, types)]
+        return f"struct<{', '.join(parts)}>" if types and all(types) else None
     if isinstance(data_type, (T.LongType, T.DoubleType, T.BooleanType)):
         return data_type.simpleString()
+    if isinstance(data_type, T.FloatType):
+        # the lenient rule rounds to a double first
+        return "double" if lenient else "float"
     if isinstance(data_type, T.IntegerType) and lenient:
         return "int"
-    if isinstance(data_type, T.FloatType) and not lenient:
-        return "float"
+    if isinstance(data_type, T.StringType) and lenient:
+        return "string"
     return None
 
 
+def direct_value(name: str, data_type: T.DataType) -> str:
+    """The column ``name`` that from_json() read, or NULL where it needs a second look.
+
+    A text may stand for an object or an array, which have another text under
+    the lenient rule; a null inside an array or object has more than one cause.
+    """
+    if isinstance(data_type, T.StructType):
+        parts = [
+            f"{direct_value(f'{name}.{sql_name(f.name)}', f.dataType)} IS NOT NULL"
+            for f in data_type.fields
+        ]
+        return f"CASE WHEN {' AND '.join(parts)} THEN {name} END"
+    if isinstance(data_type, T.ArrayType):
+        element = f"e{len(name)}"  # a name of its own inside another array
+        whole = f"{direct_value(element, data_type.elementType)} IS NOT NULL"
+        return f"CASE WHEN forall({name}, {element} -> {whole}) THEN {name} END"
+    if isinstance(data_type, T.StringType):
+        return f"CASE WHEN substring({name}, 1, 1) NOT IN ('{{', '[') THEN {name} END"
+    return name
+
+
+def direct_risk(data_type: T.DataType) -> int:
+    """What a field saves by being read directly, at the risk of not being of its type.
+
+    Counted in single numbers; a text is never of another type and so no risk.
+    """
+    if isinstance(data_type, T.ArrayType):
+        return 3 * direct_risk(data_type.elementType)
+    if isinstance(data_type, T.StructType):
+        return sum(direct_risk(f.dataType) for f in data_type.fields)
+    return 0 if isinstance(data_type, T.StringType) else 1
+
+
 def _null(data_type: T.DataType) -> str:
-    return f"CAST(NULL AS {data_type.simpleString()})"
+    return f"CAST(NULL AS {sql_type(data_type)})"
 
 
 def _array(place: Place, value: Callable[[Place], str]) -> str:
@@ -188,6 +241,6 @@ def lenient_value(place: Place, data_type: T.DataType, top: bool = False) -> str
         return _lenient_string(place)
     if isinstance(data_type, T.BooleanType):
         return _lenient_boolean(place)
-    name = data_type.simpleString()
-    refuse = f"CAST(raise_error({sql_text('Unsupported data type: ' + name)}) AS {name})"
+    message = sql_text("Unsupported data type: " + data_type.simpleString())
+    refuse = f"CAST(raise_error({message}) AS {sql_type(data_type)})"
     return f"CASE WHEN NOT {place.is_json_null} THEN {refuse} END" if top else refuse

@@ -7,7 +7,15 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ..functions.decode import direct_type, lenient_value, strict_fits, strict_value
+from ..functions.decode import (
+    direct_risk,
+    direct_type,
+    direct_value,
+    lenient_value,
+    sql_type,
+    strict_fits,
+    strict_value,
+)
 from ..functions.variant import Place, sql_name, sql_text
 
 # A text with at least one character above the blank and control characters.
@@ -62,24 +70,33 @@ def array_results(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) ->
     return _elements(_once(df, kept, parsed, "_parsed"), kept)
 
 
+# A field that from_json() reads as a number or boolean saves one variant and one
+# cast per document, but costs an exception inside the parser where the value is
+# of another type, as long as saving some three fields. With fewer at stake,
+# such fields are read as variants.
+_ENOUGH_AT_STAKE = 3
+
+
 class _Fields:
     """The top-level fields of a schema, as the two decoders take them.
 
     Most documents are read in one pass by from_json(), which skips what the
-    schema does not name: numbers and booleans as such (``_t<i>`` is NULL for
-    anything else), the other fields as variants. Only a document that leaves
-    one of these columns NULL is parsed as a whole, and its fields (``_f<i>``)
-    are looked at: there a field may be missing, null or of another type, the
-    document may be an array or a scalar, or the text may be no JSON at all.
+    schema does not name: some types as such (``_t<i>`` is NULL for anything
+    else), the others as variants. Only a document that leaves one of these
+    columns NULL is parsed as a whole, and its fields (``_f<i>``) are looked
+    at: there a field may be missing, null or of another type, the document
+    may be an array or a scalar, or the text may be no JSON at all.
     """
 
     def __init__(self, df: DataFrame, schema: T.StructType, doc: str, lenient: bool):
         self.fields = schema.fields
         self.in_one_pass = not _is_variant(df, doc) and bool(self.fields)
         self.direct = [
-            direct_type(f.dataType, lenient) if self.in_one_pass else None
-            for f in self.fields
+            direct_type(f.dataType, lenient) if self.in_one_pass else None for f in self.fields
         ]
+        risks = [direct_risk(f.dataType) if t else 0 for f, t in zip(self.fields, self.direct)]
+        if sum(risks) < _ENOUGH_AT_STAKE:
+            self.direct = [None if risk else t for t, risk in zip(self.direct, risks)]
         self.read = [f"_t{i}" for i in range(len(self.fields))] if self.in_one_pass else []
         self.text = _text(df, doc)
 
@@ -96,10 +113,22 @@ class _Fields:
         unused = max((f.name for f in self.fields), key=len) + "_"
         options = {**_JSON_OPTIONS, "columnNameOfCorruptRecord": unused}
         option_map = ", ".join(sql_text(t) for pair in options.items() for t in pair)
-        read = f"from_json(_text, {sql_text(f'struct<{types}>')}, map({option_map}))"
+        # only objects: for other documents from_json() would raise inside
+        item = "CASE WHEN startswith(_text, '{') THEN _text END"
+        read = f"from_json({item}, {sql_text(f'struct<{types}>')}, map({option_map}))"
         df = df.selectExpr(*kept, f"{self.text} AS _text").selectExpr(
             *kept, "_text", f"inline(array({read})) AS ({', '.join(self.read)})"
         )
+        checks = {
+            t: direct_value(t, f.dataType)
+            for t, f, direct in zip(self.read, self.fields, self.direct)
+            if direct
+        }
+        checks = {t: check for t, check in checks.items() if check != t}
+        if checks:
+            same = [t for t in self.read if t not in checks]
+            values = ", ".join(f"'{t}', {check}" for t, check in checks.items())
+            df = df.selectExpr(*kept, "_text", *same, f"inline(array(named_struct({values})))")
         complete = _all([f"{t} IS NOT NULL" for t in self.read])
         rest = f"CASE WHEN {complete} THEN NULL ELSE parse_json(_text) END"
         return _once(df, [*kept, *self.read], rest, "_parsed")
@@ -122,8 +151,11 @@ class _Fields:
         return f"(_t{i} IS NOT NULL OR {otherwise})" if self.direct[i] else otherwise
 
     def value(self, i: int, otherwise: str) -> str:
-        value = f"coalesce(_t{i}, {otherwise})" if self.direct[i] else otherwise
-        return f"{value} AS {sql_name(self.fields[i].name)}"
+        field = self.fields[i]
+        if self.direct[i]:
+            direct = f"CAST(_t{i} AS {sql_type(field.dataType)})"
+            otherwise = f"coalesce({direct}, {otherwise})"
+        return f"{otherwise} AS {sql_name(field.name)}"
 
 
 def _all(conditions: list[str]) -> str:
