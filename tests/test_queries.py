@@ -42,4 +42,4 @@ def test_same_rows(spark, duck, name):
 
 
 def test_entry(spark):
-    assert entry(spark).columns == ["event_id", "k"]
+    assert entry(spark).columns == ["event_id", "k", "k_is_null"]
