@@ -57,9 +57,9 @@ def _once(df: DataFrame, kept: list[str], value: str, name: str) -> DataFrame:
 
 
 def _elements(df: DataFrame, kept: list[str]) -> DataFrame:
-    """The variant ``_parsed`` as ``result``, or its elements if it is an array."""
-    elements = "coalesce(try_cast(_parsed AS ARRAY<VARIANT>), array(_parsed))"
-    return df.selectExpr(*kept, f"explode({elements}) AS result")
+    """The variant ``__parsed`` as ``__item``, or its elements if it is an array."""
+    elements = "coalesce(try_cast(__parsed AS ARRAY<VARIANT>), array(__parsed))"
+    return df.selectExpr(*kept, f"explode({elements}) AS __item")
 
 
 def array_results(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) -> DataFrame:
@@ -67,7 +67,8 @@ def array_results(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) ->
     _allow_repeated_names(df)
     kept = [sql_name(c) for c in keep]
     parsed = sql_name(doc) if _is_variant(df, doc) else f"parse_json({_text(df, doc)})"
-    return _elements(_once(df, kept, parsed, "_parsed"), kept)
+    items = _elements(_once(df, kept, parsed, "__parsed"), kept)
+    return items.withColumnRenamed("__item", "result")
 
 
 # A field that from_json() reads as a number or boolean saves one variant and one
@@ -81,9 +82,9 @@ class _Fields:
     """The top-level fields of a schema, as the two decoders take them.
 
     Most documents are read in one pass by from_json(), which skips what the
-    schema does not name: some types as such (``_t<i>`` is NULL for anything
+    schema does not name: some types as such (``__t<i>`` is NULL for anything
     else), the others as variants. Only a document that leaves one of these
-    columns NULL is parsed as a whole, and its fields (``_f<i>``) are looked
+    columns NULL is parsed as a whole, and its fields (``__f<i>``) are looked
     at: there a field may be missing, null or of another type, the document
     may be an array or a scalar, or the text may be no JSON at all.
     """
@@ -97,15 +98,15 @@ class _Fields:
         risks = [direct_risk(f.dataType) if t else 0 for f, t in zip(self.fields, self.direct)]
         if sum(risks) < _ENOUGH_AT_STAKE:
             self.direct = [None if risk else t for t, risk in zip(self.direct, risks)]
-        self.read = [f"_t{i}" for i in range(len(self.fields))] if self.in_one_pass else []
+        self.read = [f"__t{i}" for i in range(len(self.fields))] if self.in_one_pass else []
         self.text = _text(df, doc)
 
     def parsed(self, df: DataFrame, kept: list[str], doc: str) -> DataFrame:
-        """Add what one pass reads, and ``_parsed``, NULL where that was enough."""
+        """Add what one pass reads, and ``__parsed``, NULL where that was enough."""
         if _is_variant(df, doc):
-            return _once(df, kept, sql_name(doc), "_parsed")
+            return _once(df, kept, sql_name(doc), "__parsed")
         if not self.in_one_pass:
-            return _once(df, kept, f"parse_json({self.text})", "_parsed")
+            return _once(df, kept, f"parse_json({self.text})", "__parsed")
         types = ", ".join(
             f"{sql_name(f.name)}: {t or 'variant'}" for f, t in zip(self.fields, self.direct)
         )
@@ -114,10 +115,10 @@ class _Fields:
         options = {**_JSON_OPTIONS, "columnNameOfCorruptRecord": unused}
         option_map = ", ".join(sql_text(t) for pair in options.items() for t in pair)
         # only objects: for other documents from_json() would raise inside
-        item = "CASE WHEN startswith(_text, '{') THEN _text END"
+        item = "CASE WHEN startswith(__text, '{') THEN __text END"
         read = f"from_json({item}, {sql_text(f'struct<{types}>')}, map({option_map}))"
-        df = df.selectExpr(*kept, f"{self.text} AS _text").selectExpr(
-            *kept, "_text", f"inline(array({read})) AS ({', '.join(self.read)})"
+        df = df.selectExpr(*kept, f"{self.text} AS __text").selectExpr(
+            *kept, "__text", f"inline(array({read})) AS ({', '.join(self.read)})"
         )
         checks = {
             t: direct_value(t, f.dataType)
@@ -128,32 +129,32 @@ class _Fields:
         if checks:
             same = [t for t in self.read if t not in checks]
             values = ", ".join(f"'{t}', {check}" for t, check in checks.items())
-            df = df.selectExpr(*kept, "_text", *same, f"inline(array(named_struct({values})))")
+            df = df.selectExpr(*kept, "__text", *same, f"inline(array(named_struct({values})))")
         complete = _all([f"{t} IS NOT NULL" for t in self.read])
-        rest = f"CASE WHEN {complete} THEN NULL ELSE parse_json(_text) END"
-        return _once(df, [*kept, *self.read], rest, "_parsed")
+        rest = f"CASE WHEN {complete} THEN NULL ELSE parse_json(__text) END"
+        return _once(df, [*kept, *self.read], rest, "__parsed")
 
     def taken(self, df: DataFrame, kept: list[str], root: str) -> DataFrame:
         """Take each field out of the variant ``root``, once."""
         if not self.fields:
             return df.selectExpr(*kept)
         values = [
-            f"'_f{i}', {Place(root).child(f.name).value}" for i, f in enumerate(self.fields)
+            f"'__f{i}', {Place(root).child(f.name).value}" for i, f in enumerate(self.fields)
         ]
         return df.selectExpr(*kept, *self.read, f"inline(array(named_struct({', '.join(values)})))")
 
     def place(self, i: int) -> Place:
         if self.in_one_pass and not self.direct[i]:
-            return Place(f"coalesce(_t{i}, _f{i})")
-        return Place(f"_f{i}")
+            return Place(f"coalesce(__t{i}, __f{i})")
+        return Place(f"__f{i}")
 
     def condition(self, i: int, otherwise: str) -> str:
-        return f"(_t{i} IS NOT NULL OR {otherwise})" if self.direct[i] else otherwise
+        return f"(__t{i} IS NOT NULL OR {otherwise})" if self.direct[i] else otherwise
 
     def value(self, i: int, otherwise: str) -> str:
         field = self.fields[i]
         if self.direct[i]:
-            direct = f"CAST(_t{i} AS {sql_type(field.dataType)})"
+            direct = f"CAST(__t{i} AS {sql_type(field.dataType)})"
             otherwise = f"coalesce({direct}, {otherwise})"
         return f"{otherwise} AS {sql_name(field.name)}"
 
@@ -179,7 +180,7 @@ def decode_strict(
     kept = [sql_name(c) for c in keep]
     take = _Fields(df, as_schema(schema), doc, lenient=False)
     rows = _elements(take.parsed(df, kept, doc), [*kept, *take.read])
-    rows = take.taken(rows, kept, "result")
+    rows = take.taken(rows, kept, "__item")
     conditions, values = [], []
     for i, field in enumerate(take.fields):
         place, data_type = take.place(i), field.dataType
@@ -205,7 +206,7 @@ def decode_lenient(
     take = _Fields(df, as_schema(schema), doc, lenient=True)
     if not _is_variant(df, doc):
         df = df.where(f"{take.text} RLIKE {sql_text(NOT_BLANK)}")
-    rows = take.taken(take.parsed(df, kept, doc), kept, "_parsed")
+    rows = take.taken(take.parsed(df, kept, doc), kept, "__parsed")
     conditions, values = [], []
     for i, field in enumerate(take.fields):
         place, data_type = take.place(i), field.dataType

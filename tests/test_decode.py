@@ -146,6 +146,32 @@ def test_awkward_names(spark):
     assert list(decode_lenient(frame(spark, [doc]), ddl, "doc").first()) == list(range(len(names)))
 
 
+@pytest.mark.parametrize("decode", [decode_strict, decode_lenient])
+def test_names_that_differ_in_case_only(spark, decode):
+    from pyspark.sql.types import LongType, StructField, StructType
+
+    schema = StructType([StructField(n, LongType()) for n in ("k", "K", "j")])
+    docs = ['{"k":1,"K":2,"j":3}', '{"K":4,"j":null,"k":5}', '{"k":6,"j":7}']
+    rows = decode(frame(spark, docs), schema, "doc").collect()
+    assert sorted(map(tuple, rows), key=repr) == [(1, 2, 3), (5, 4, None)]
+
+
+@pytest.mark.parametrize("decode", [decode_strict, decode_lenient])
+def test_any_column_can_be_carried(spark, decode):
+    docs = frame(spark, ['{"k":1,"s":"x"}', '{"k":null,"s":"y"}']).selectExpr(
+        "doc", "i AS result", "i + 10 AS `_t0`", "i + 20 AS `a.b`")
+    rows = decode(docs, "k BIGINT, s STRING", "doc", keep=["result", "_t0", "a.b", "doc"]).collect()
+    assert sorted(tuple(r)[:3] + tuple(r)[4:] for r in rows) == [
+        (0, 10, 20, 1, "x"), (1, 11, 21, None, "y")]
+
+
+def test_the_record_of_malformed_text_is_a_field_like_any(spark):
+    docs = frame(spark, ['{"_corrupt_record":"a","k":1}'])
+    schema = "_corrupt_record STRING, k BIGINT"
+    assert tuple(decode_strict(docs, schema).first()) == ("a", 1)
+    assert tuple(decode_lenient(docs, schema, "doc").first()) == ("a", 1)
+
+
 def test_empty_schema_keeps_every_row(spark):
     from pyspark.sql.types import StructType
 
