@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.encode import quoted
 from ..operators.decode import as_schema, decode_strict
 from ..operators.infer import infer_majority_schema
 from ..operators.keyed import new_keys_only, one_per_key, with_key
@@ -112,12 +113,13 @@ def append_collection(
     if exists(spark, f"{path}/load={load}/_SUCCESS"):
         return False
     primary_key = checked.get("primaryKey") or None
-    rows = with_key(df, primary_key)
     if primary_key is None:
-        return _write(rows, checked, load)
-    batch = one_per_key(rows.where(_HAS_KEY))
+        return _write(with_key(df, None), checked, load)
+    # the filters name the column itself, so that they reach the scan
+    key = quoted(primary_key)
+    batch = one_per_key(with_key(df.where(key.isNotNull()), primary_key))
     if df.schema[primary_key].nullable:
-        batch = batch.unionByName(rows.where(_NO_KEY))
+        batch = batch.unionByName(with_key(df.where(key.isNull()), primary_key))
     if not exists(spark, path):
         return _write(batch, checked, load)
     # The batch is used by the size check and by the joins, and may be costly

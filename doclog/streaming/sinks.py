@@ -6,17 +6,24 @@ that is run again after a failure is recognised and not written twice.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..operators.encode import encode_messages
 from ..functions.encode import check_encodable
+from ..operators.encode import encode_messages
 from ..sources.collection import append_collection
-from ..sources.options import Options, collection_options, log_options, log_path
-from ..sources.storage import publish
+from ..sources.options import (
+    Options,
+    collection_options,
+    collection_path,
+    log_options,
+    log_path,
+)
+from ..sources.storage import exists, folders, publish
 
 
 def write_ledger(batch: DataFrame, path: str, partition_index: int, ledger_id: int) -> bool:
@@ -30,11 +37,28 @@ def write_ledger(batch: DataFrame, path: str, partition_index: int, ledger_id: i
     )
 
 
-def _start(df: DataFrame, options: Options, trigger: Mapping[str, object], each) -> StreamingQuery:
-    writer = df.writeStream.foreachBatch(each).trigger(**trigger)
-    if options.get("checkpointLocation"):
-        writer = writer.option("checkpointLocation", options["checkpointLocation"])
-    return writer.start()
+def _checkpoint(spark: SparkSession, options: Options, target: str, prefix: str) -> str:
+    """The checkpoint of a query whose batches are named ``prefix`` and a number.
+
+    The numbers of a new checkpoint start at 0. If there are batches of that
+    name already, those of the new query would be taken for them and skipped,
+    so that is refused.
+    """
+    options.require(("checkpointLocation",))
+    checkpoint = options["checkpointLocation"]
+    if not exists(spark, f"{checkpoint}/metadata") and exists(spark, target):
+        if any(name.startswith(prefix) for name, _ in folders(spark, target)):
+            raise ValueError(f"{target} holds batches {prefix}... of another checkpoint")
+    return checkpoint
+
+
+def _start(df: DataFrame, checkpoint: str, trigger: Mapping[str, object], each) -> StreamingQuery:
+    return (
+        df.writeStream.foreachBatch(each)
+        .option("checkpointLocation", checkpoint)
+        .trigger(**(trigger or {"processingTime": "0 seconds"}))
+        .start()
+    )
 
 
 def write_log(
@@ -52,29 +76,36 @@ def write_log(
     checked = log_options(options, write=True)
     check_encodable(df.schema)
     path = log_path(checked)
+    part = f"{path}/partition_index={partition_index}"
+    checkpoint = _checkpoint(df.sparkSession, checked, part, "ledger_id=")
 
     def each(batch: DataFrame, batch_id: int) -> None:
         write_ledger(batch, path, partition_index, batch_id)
 
-    return _start(df, checked, trigger or {"processingTime": "0 seconds"}, each)
+    return _start(df, checkpoint, trigger, each)
 
 
 def write_collection(
     df: DataFrame,
     options: Mapping[str, object],
-    query_name: str = "stream",
+    query_name: str | None = None,
     **trigger: object,
 ) -> StreamingQuery:
     """Start a query that appends each row of a stream to a collection.
 
-    ``query_name`` and the number of the batch name the append, so the name
-    belongs to one checkpoint.
+    The appends are named by the query and the number of the batch. A query
+    name belongs to one checkpoint; one is made from its location if not given.
     """
     checked = collection_options(options)
     checked.batch_size  # noqa: B018 - raises on a bad value
     check_encodable(df.schema)
+    checked.require(("checkpointLocation",))
+    location = checked["checkpointLocation"].rstrip("/")
+    name = query_name or hashlib.sha256(location.encode()).hexdigest()[:16]
+    target = collection_path(checked)
+    checkpoint = _checkpoint(df.sparkSession, checked, target, f"load={name}-")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        append_collection(batch, checked, load=f"{query_name}-{batch_id}")
+        append_collection(batch, checked, load=f"{name}-{batch_id}")
 
-    return _start(df, checked, trigger or {"processingTime": "0 seconds"}, each)
+    return _start(df, checkpoint, trigger, each)

@@ -215,6 +215,28 @@ def test_two_writers_of_one_log(spark, options, tmp_path):
     assert log.count() == 20 and log.select("partition_index").distinct().count() == 2
 
 
+def test_a_new_checkpoint_cannot_take_the_place_of_another(spark, options, tmp_path):
+    put(spark, options, 0, spark.range(10))
+    stream = stream_log(spark, options, "id BIGINT")
+    target = {**options, "stream": "t", "checkpointLocation": str(tmp_path / "a")}
+    collection = {"regionUrl": str(tmp_path), "fabric": "f", "collection": "c",
+                  "checkpointLocation": str(tmp_path / "b")}
+    write_log(stream, target, availableNow=True).awaitTermination()
+    write_collection(stream, collection, "q", availableNow=True).awaitTermination()
+    other = str(tmp_path / "other")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        write_log(stream, {**target, "checkpointLocation": other})
+    with pytest.raises(ValueError, match="another checkpoint"):
+        write_collection(stream, {**collection, "checkpointLocation": other}, "q")
+    for write, to in ((write_log, target), (write_collection, collection)):
+        with pytest.raises(ValueError, match="checkpointLocation"):
+            write(stream, {**to, "checkpointLocation": ""})
+    # a name of its own is made for another checkpoint of a collection
+    write_collection(stream, {**collection, "checkpointLocation": other},
+                     availableNow=True).awaitTermination()
+    assert documents(spark, collection).count() == 20
+
+
 def test_collection_as_stream(spark, options, tmp_path):
     collection = {"regionUrl": str(tmp_path), "fabric": "_system", "collection": "c"}
     append_collection(spark.range(3).selectExpr("id", "'a' AS s"), collection)
