@@ -83,8 +83,8 @@ class _Fields:
 
     Most documents are read in one pass by from_json(), which skips what the
     schema does not name: some types as such (``__t<i>`` is NULL for anything
-    else), the others as variants. Only a document that leaves one of these
-    columns NULL is parsed as a whole, and its fields (``__f<i>``) are looked
+    else, and in a document with any such value), the others as variants. Only
+    a document that leaves one of these columns NULL is parsed as a whole, and its fields (``__f<i>``) are looked
     at: there a field may be missing, null or of another type, the document
     may be an array or a scalar, or the text may be no JSON at all.
     """
@@ -107,25 +107,25 @@ class _Fields:
             return _once(df, kept, sql_name(doc), "__parsed")
         if not self.in_one_pass:
             return _once(df, kept, f"parse_json({self.text})", "__parsed")
-        types = ", ".join(
+        types = [
             f"{sql_name(f.name)}: {t or 'variant'}" for f, t in zip(self.fields, self.direct)
-        )
-        # no field may be taken for the record of malformed text
-        unused = max((f.name for f in self.fields), key=len) + "_"
-        options = {**_JSON_OPTIONS, "columnNameOfCorruptRecord": unused}
+        ]
+        # a name that no field has, for the text of documents with a bad value
+        bad = max((f.name for f in self.fields), key=len) + "_"
+        options = {**_JSON_OPTIONS, "columnNameOfCorruptRecord": bad}
         option_map = ", ".join(sql_text(t) for pair in options.items() for t in pair)
+        schema = sql_text(f"struct<{', '.join([*types, sql_name(bad) + ': string'])}>")
         # only objects: for other documents from_json() would raise inside
         item = "CASE WHEN startswith(__text, '{') THEN __text END"
-        read = f"from_json({item}, {sql_text(f'struct<{types}>')}, map({option_map}))"
+        read = f"from_json({item}, {schema}, map({option_map}))"
         df = df.selectExpr(*kept, f"{self.text} AS __text").selectExpr(
-            *kept, "__text", f"inline(array({read})) AS ({', '.join(self.read)})"
+            *kept, "__text", f"inline(array({read})) AS ({', '.join([*self.read, '__bad'])})"
         )
         checks = {
-            t: direct_value(t, f.dataType)
+            t: f"CASE WHEN __bad IS NULL THEN {direct_value(t, f.dataType)} END"
             for t, f, direct in zip(self.read, self.fields, self.direct)
             if direct
         }
-        checks = {t: check for t, check in checks.items() if check != t}
         if checks:
             same = [t for t in self.read if t not in checks]
             values = ", ".join(f"'{t}', {check}" for t, check in checks.items())

@@ -260,11 +260,22 @@ def decode_lenient_boolean(spark: SparkSession, folder: str) -> DataFrame:
 _RECORD = "id BIGINT, type STRING, user BIGINT"
 
 
+def _record_sql(kept: str) -> str:
+    return f"""WITH d AS ({derived_sql(DOC_RECORD)}), f AS (SELECT event_id,
+      json_type(doc, '$.id') AS t1, json_type(doc, '$.type') AS t2,
+      json_type(doc, '$.user') AS t3, json_extract_string(doc, '$.id') AS id,
+      json_extract_string(doc, '$.type') AS type, json_extract_string(doc, '$.user') AS user
+      FROM d)
+    SELECT event_id, CAST(id AS BIGINT) AS id, type, CAST(f.user AS BIGINT) AS user
+    FROM f WHERE {kept}"""
+
+
 @query(
     "drop_incomplete_strict",
-    f"""SELECT event_id, event_id AS id,
-      CASE WHEN event_id % 6 = 1 THEN NULL ELSE event_type END AS type, user_id AS user
-    FROM events WHERE event_id % 6 NOT IN (0, 2)""",
+    _record_sql(
+        """t1 IN ('UBIGINT', 'BIGINT', 'NULL') AND t2 IN ('VARCHAR', 'NULL')
+           AND t3 IN ('UBIGINT', 'BIGINT', 'NULL')"""
+    ),
 )
 def drop_incomplete_strict(spark: SparkSession, folder: str) -> DataFrame:
     return decode_strict(derived(spark, folder, DOC_RECORD), _RECORD, keep=ID)
@@ -272,9 +283,7 @@ def drop_incomplete_strict(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "drop_incomplete_lenient",
-    f"""SELECT event_id, event_id AS id,
-      CASE WHEN event_id % 6 = 1 THEN NULL ELSE event_type END AS type, user_id AS user
-    FROM events WHERE event_id % 6 <> 0""",
+    _record_sql("t1 IS NOT NULL AND t2 IS NOT NULL AND t3 IS NOT NULL"),
 )
 def drop_incomplete_lenient(spark: SparkSession, folder: str) -> DataFrame:
     return decode_lenient(derived(spark, folder, DOC_RECORD), _RECORD, "doc", keep=ID)

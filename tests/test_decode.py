@@ -172,6 +172,36 @@ def test_the_record_of_malformed_text_is_a_field_like_any(spark):
     assert tuple(decode_lenient(docs, schema, "doc").first()) == ("a", 1)
 
 
+# enough numbers for them to be read directly, and a field named twice
+REPEATED = [
+    ('{"a":1,"b":2,"c":3}', (1, 2, 3), (1, 2, 3)),
+    ('{"a":1,"b":2,"c":3,"a":4}', (4, 2, 3), (4, 2, 3)),
+    ('{"a":1,"b":2,"c":3,"a":null}', (None, 2, 3), (None, 2, 3)),
+    ('{"a":null,"b":2,"c":3,"a":5}', (5, 2, 3), (5, 2, 3)),
+    ('{"a":1,"b":2,"c":3,"a":"6"}', None, (6, 2, 3)),
+    ('{"a":1,"b":2,"c":3,"a":"x"}', None, (0, 2, 3)),
+    ('{"a":"x","b":2,"c":3,"a":7}', (7, 2, 3), (7, 2, 3)),
+    ('{"a":8.0,"b":2,"c":3}', (8, 2, 3), (8, 2, 3)),
+    ('{"a":1,"b":2,"c":3,"d":{"a":"y"}}', (1, 2, 3), (1, 2, 3)),
+]
+
+
+def test_repeated_names_read_directly(spark):
+    docs, schema = frame(spark, [c[0] for c in REPEATED]), "a BIGINT, b BIGINT, c BIGINT"
+    got = {r.i: tuple(r)[1:] for r in decode_strict(docs, schema, keep=["i"]).collect()}
+    assert got == {i: c[1] for i, c in enumerate(REPEATED) if c[1]}
+    got = {r.i: tuple(r)[1:] for r in decode_lenient(docs, schema, "doc", keep=["i"]).collect()}
+    assert got == {i: c[2] for i, c in enumerate(REPEATED)}
+
+
+@pytest.mark.parametrize("decode", [decode_strict, decode_lenient])
+@pytest.mark.parametrize("tail", ['"d":tru}', '"d":01}', '"d":1', '"d":"x', '"d":{"e":1}', '"d":NaN}'])
+def test_text_that_is_malformed_after_all_fields_raises(spark, decode, tail):
+    docs = frame(spark, ['{"a":1,"b":2,"c":3}', '{"a":1,"b":2,"c":3,' + tail])
+    with pytest.raises(Exception, match="MALFORMED_RECORD"):
+        decode(docs, "a BIGINT, b BIGINT, c BIGINT", "doc").collect()
+
+
 def test_empty_schema_keeps_every_row(spark):
     from pyspark.sql.types import StructType
 
