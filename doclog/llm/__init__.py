@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import decontaminate, language  # noqa: F401
+from . import decontaminate, fingerprint, language, toxicity  # noqa: F401
 from .registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
