@@ -26,7 +26,6 @@ the components; null ids link nothing and get no component.
 
 from __future__ import annotations
 
-import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -54,6 +53,7 @@ SHARE = 0.25
 # N-grams that are listed as frequent, at most; 12 bytes each are sent to tasks.
 MAX_FREQUENT = 1 << 20
 LEAST_FREQUENT = 16
+# Classes that one task joins at most; so many of 2,000 n-grams on average.
 BLOCK = 1000
 # Ids that are sent to the scan of the texts, 16 bytes each; more are joined.
 MAX_SENT_IDS = 2_000_000
@@ -235,8 +235,7 @@ def _full_sets(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
                 [batch.column(0), pa.array(blobs, pa.binary())], names=["id", "data"]
             )
 
-    # rows with equal ids: one of them stands for the id
-    return picked.mapInArrow(pack, "id bigint, data binary").dropDuplicates(["id"])
+    return picked.mapInArrow(pack, "id bigint, data binary")
 
 
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
@@ -314,71 +313,113 @@ def _clusters(sets: DataFrame, frequent, num: int) -> DataFrame:
 
 
 class PrefixTree:
-    """Sets as ordered sequences of numbers, sharing equal beginnings.
+    """Sets as sequences of numbers in rising order, sharing equal beginnings.
 
-    A node is (run of numbers, children, length of the longest set below, the
-    sets that end with the run).
+    A node has a run of numbers, the number before its run, children, the length
+    of the longest and shortest sets below, and the sets that end with the run.
     """
 
-    def __init__(self, sequences: list[list[int]]) -> None:
-        self.sequences = sequences
-        order = sorted(range(len(sequences)), key=sequences.__getitem__)
-        self.root = self._build(order, 0) if order else ([], [], 0, [])
-
-    def _build(self, order: list[int], depth: int):
-        """The node of sets that are equal up to ``depth``, with its own run."""
-        seqs = self.sequences
-        first, last = seqs[order[0]], seqs[order[-1]]
-        end, most = depth, min(len(first), len(last))
-        while end < most and first[end] == last[end]:
-            end += 1
-        run, done, children, at = first[depth:end], [], [], 0
-        while at < len(order) and len(seqs[order[at]]) == end:
-            done.append(order[at])
-            at += 1
-        while at < len(order):
-            token, stop = seqs[order[at]][end], at + 1
-            while stop < len(order) and seqs[order[stop]][end] == token:
-                stop += 1
-            children.append(self._build_chain(order[at:stop], end))
-            at = stop
-        longest = max([end if done else 0, *(c[2] for c in children)])
-        return run, children, longest, done
-
-    def _build_chain(self, order: list[int], depth: int):
-        if len(order) == 1:
-            seq = self.sequences[order[0]]
-            return seq[depth:], [], len(seq), order
-        return self._build(order, depth)
-
-    def alike(self, probe: int, num: int, skip) -> Iterator[int]:
-        """Sets with a Jaccard similarity of num/100 or more to the set ``probe``.
-
-        ``skip(other)`` tells that a set need not be looked at.
+    def __init__(self, sequences: list[np.ndarray], num: int) -> None:
+        self.sequences, self.num = sequences, num
+        self.size = np.array([len(s) for s in sequences])
+        # numbers that are compared byte by byte in their own order
+        keys = [s.astype(">u4").tobytes() for s in sequences]
+        order = sorted(range(len(sequences)), key=keys.__getitem__)
+        self.run: list[np.ndarray] = []
+        self.depth: list[int] = []
+        self.up: list[int] = []
+        self.children: list[list[int]] = []
+        self.longest: list[int] = []
+        self.shortest: list[int] = []
+        self.done: list[list[int]] = []
+        self.leaf = [0] * len(sequences)
+        self._build(order)
+        self._index()
+
+    def _build(self, order: list[int]) -> None:
+        todo = [(order, 0, -1)]
+        while todo:
+            own, depth, up = todo.pop()
+            first, last = self.sequences[own[0]], self.sequences[own[-1]]
+            most = min(len(first), len(last))
+            other = np.flatnonzero(first[depth:most] != last[depth:most])
+            end = depth + int(other[0]) if len(other) else most
+            node = len(self.run)
+            self.run.append(first[depth:end])
+            self.depth.append(depth)
+            self.up.append(up)
+            self.children.append([])
+            self.longest.append(int(self.size[own].max()))
+            self.shortest.append(int(self.size[own].min()))
+            if up >= 0:
+                self.children[up].append(node)
+            at = 0
+            while at < len(own) and self.size[own[at]] == end:
+                self.leaf[own[at]] = node
+                at += 1
+            self.done.append(own[:at])
+            while at < len(own):
+                token, stop = self.sequences[own[at]][end], at + 1
+                while stop < len(own) and self.sequences[own[stop]][end] == token:
+                    stop += 1
+                todo.append((own[at:stop], end, node))
+                at = stop
+
+    def _index(self) -> None:
+        """By number, the sets that have it among their first ones."""
+        firsts = allowed_misses(self.size, self.num) + 1
+        self.first = [s[:m] for s, m in zip(self.sequences, firsts.tolist(), strict=True)]
+        number = np.concatenate(self.first)
+        owner = np.repeat(np.arange(len(firsts)), [len(f) for f in self.first])
+        order = np.argsort(number, kind="stable")
+        self.owner = owner[order]
+        self.at = np.searchsorted(number[order], np.arange(int(number.max()) + 2))
+
+    def alike(self, probe: int, skip: np.ndarray, has: np.ndarray) -> list[int]:
+        """Earlier sets with a Jaccard similarity of num/100 or more to ``probe``.
+
+        ``skip`` marks sets that need not be looked at; ``has``, all false, is
+        room for the probe's numbers.
         """
-        own = set(self.sequences[probe])
-        size, stack = len(own), [(self.root, 0, 0)]
+        own, size = self.sequences[probe], int(self.size[probe])
+        first = self.first[probe]
+        first = first[self.at[first + 1] - self.at[first] > 1]
+        if not len(first):
+            return []
+        # only paths to sets that share one of the first numbers are walked
+        ties = np.unique(np.concatenate([self.owner[self.at[t] : self.at[t + 1]] for t in first]))
+        ties = ties[(ties < probe) & ~skip[ties]]
+        lengths = self.size[ties]
+        ties = ties[(100 * lengths >= self.num * size) & (100 * size >= self.num * lengths)]
+        if not len(ties):
+            return []
+        marked: set[int] = set()
+        for node in map(self.leaf.__getitem__, ties.tolist()):
+            while node >= 0 and node not in marked:
+                marked.add(node)
+                node = self.up[node]
+        wanted, found = set(ties.tolist()), []
+        has[own] = True
+        stack = [(0, 0)]
         while stack:
-            (run, children, longest, done), overlap, depth = stack.pop()
-            if not children and len(done) == 1 and skip(done[0]):
+            node, overlap = stack.pop()
+            longest = self.longest[node]
+            need = -(-self.num * (size + self.shortest[node]) // (100 + self.num))
+            spare = longest - self.depth[node] + overlap - -(-self.num * (size + longest) // (100 + self.num))
+            if spare < 0 or size < need:
                 continue
-            # misses that the longest set below can still have
-            need = -(-num * (size + longest) // (100 + num))
-            spare = longest - depth + overlap - need
-            for token in run:
-                if token in own:
-                    overlap += 1
-                else:
-                    spare -= 1
-                    if spare < 0:
-                        break
-            if spare < 0:
+            run = self.run[node]
+            shared = int(np.count_nonzero(has[run]))
+            if len(run) - shared > spare:
                 continue
-            for other in done:
-                total = size + len(self.sequences[other]) - overlap
-                if not skip(other) and 100 * overlap >= num * total:
-                    yield other
-            stack += [(c, overlap, depth + len(run)) for c in children]
+            overlap += shared
+            for other in self.done[node]:
+                union = size + int(self.size[other]) - overlap
+                if other in wanted and 100 * overlap >= self.num * union:
+                    found.append(other)
+            stack += [(c, overlap) for c in self.children[node] if c in marked]
+        has[own] = False
+        return found
 
 
 def _tree_links(
@@ -387,23 +428,16 @@ def _tree_links(
     """Links that connect what is alike within a group; ``parts`` are known components."""
     hashes = [np.frombuffer(d, np.uint64) for d in data]
     every = np.unique(np.concatenate(hashes))
-    # a tree is at most as deep as it has sets
-    sys.setrecursionlimit(max(sys.getrecursionlimit(), 4 * len(ids) + 1000))
     rank = np.empty(len(every), np.int64)
     rank[_ordered(every, frequent)] = np.arange(len(every))
-    tree = PrefixTree([np.sort(rank[np.searchsorted(every, h)]).tolist() for h in hashes])
-    parent: dict[int, int] = {}
-
-    def root(x: int) -> int:
-        while (y := parent.get(x, x)) != x:
-            parent[x] = x = parent.get(y, y)
-        return x
-
-    links = []
-    for i, part in enumerate(parts):
-        for j in tree.alike(i, num, lambda j: root(parts[j]) == root(part)):
-            parent[root(parts[j])] = root(part)
-            links.append((ids[i], ids[j]))
+    tree = PrefixTree([np.sort(rank[np.searchsorted(every, h)]) for h in hashes], num)
+    part = np.unique(np.array(parts, np.int64), return_inverse=True)[1]
+    has, links = np.zeros(len(every), bool), []
+    for i in range(len(ids)):
+        for j in tree.alike(i, part == part[i], has):
+            if part[j] != part[i]:
+                part[part == part[j]] = part[i]
+                links.append((ids[i], ids[j]))
     return links
 
 
@@ -448,12 +482,17 @@ def _with_parts(sets: DataFrame, parts: DataFrame) -> DataFrame:
     return sets.join(parts, "id", "left").withColumn("part", F.coalesce("part", "id"))
 
 
+def _weight():
+    """How many classes of 2,000 n-grams some classes count as, one each at least."""
+    return F.greatest(F.count("*"), F.ceil(F.sum(F.octet_length("data")) / (8 * 2000)))
+
+
 def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
     """``u, v``: links between ``sets`` (``id, data``) that connect all that are alike."""
     frequent = _frequent(sets)
     clusters = saved(_clusters(sets, frequent, num))
-    sizes = clusters.groupBy("cluster").count().withColumnRenamed("count", "size")
-    members = saved(sets.join(clusters, "id").join(sizes, "cluster"))
+    tied = saved(sets.join(clusters, "id"))
+    members = tied.join(tied.groupBy("cluster").agg(_weight().alias("size")), "cluster")
     # clusters that fit into a block are joined whole
     small = members.where(F.col("size") <= block).select(
         F.xxhash64(F.lit(-1), "cluster").alias("g"), "id", F.col("id").alias("part"), "data"
@@ -477,7 +516,7 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
     parts = saved(_connected(links))
     # blocks of one component, or of several small ones; pairs that are connected need no task
     known = _with_parts(large.drop("size"), parts)
-    held = known.groupBy("cluster", "part").agg(F.count("*").alias("k"))
+    held = known.groupBy("cluster", "part").agg(_weight().alias("k"))
     whole = held.groupBy("cluster").agg(F.count("*").alias("parts"))
     held = held.join(whole.where("parts > 1"), "cluster").drop("parts")
     rest = held.where(F.col("k") < block).groupBy("cluster").agg(F.sum("k").alias("mixed"))
