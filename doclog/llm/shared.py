@@ -169,6 +169,16 @@ class Words:
         return bytes(self.data[self.start[word] : self.end[word]]).decode()
 
 
+def run_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
+    """Hashes of all runs of ``n`` words, across row ends too; at least ``n`` are given."""
+    m = len(hashes) - n + 1
+    g = hashes[:m].copy()
+    for j in range(1, n):
+        g = g * _M1 + hashes[j : m + j]
+        g ^= g >> np.uint64(29)
+    return mixed(g)
+
+
 def gram_hashes(words: Words, hashes: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all runs of ``n`` words, and the numbers of their first words.
 
@@ -177,12 +187,8 @@ def gram_hashes(words: Words, hashes: np.ndarray, n: int) -> tuple[np.ndarray, n
     m = len(hashes)
     grams, at = np.zeros(0, np.uint64), np.zeros(0, np.int64)
     if m >= n:
-        g = hashes[: m - n + 1].copy()
-        for j in range(1, n):
-            g = g * _M1 + hashes[j : m - n + 1 + j]
-            g ^= g >> np.uint64(29)
         at = np.flatnonzero(words.row[: m - n + 1] == words.row[n - 1 :])
-        grams = mixed(g[at])
+        grams = run_hashes(hashes, n)[at]
     short = np.flatnonzero((words.count > 0) & (words.count < n))
     if len(short):
         extra = np.empty(len(short), np.uint64)
