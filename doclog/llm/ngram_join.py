@@ -14,7 +14,8 @@ The join is exact for a Jaccard similarity given as num/100:
    counting, and a subtree is left as soon as the n-grams that remain in its
    longest set cannot make up the overlap that is needed.
 
-A cluster of more than BLOCK classes is dealt into blocks: first at random,
+Within a cluster, sets are joined by bands of size, since alike ones have nearly
+the same. A band of more than BLOCK classes is dealt into blocks: first at random,
 twice, so that most copies are linked at linear cost, and then each pair of
 blocks whose classes are not yet all connected meets in a task of its own.
 Pairs within one component are not compared again.
@@ -26,7 +27,8 @@ the components; null ids link nothing and get no component.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -387,8 +389,8 @@ class PrefixTree:
         if not len(first):
             return []
         # only paths to sets that share one of the first numbers are walked
-        ties = np.unique(np.concatenate([self.owner[self.at[t] : self.at[t + 1]] for t in first]))
-        ties = ties[(ties < probe) & ~skip[ties]]
+        tied = np.concatenate([self.owner[self.at[t] : self.at[t + 1]] for t in first])
+        ties = np.unique(tied[(tied < probe) & ~skip[tied]])
         lengths = self.size[ties]
         ties = ties[(100 * lengths >= self.num * size) & (100 * size >= self.num * lengths)]
         if not len(ties):
@@ -423,18 +425,30 @@ class PrefixTree:
 
 
 def _tree_links(
-    ids: list[int], parts: list[int], data: list[bytes], frequent, num: int
+    ids: Sequence[int],
+    parts: Sequence[int],
+    lower: Sequence[bool],
+    data: Sequence[bytes],
+    frequent,
+    num: int,
 ) -> list[tuple[int, int]]:
-    """Links that connect what is alike within a group; ``parts`` are known components."""
+    """Links that connect what is alike within a group.
+
+    ``parts`` are known components; pairs of two ``lower`` sets are left out.
+    """
     hashes = [np.frombuffer(d, np.uint64) for d in data]
     every = np.unique(np.concatenate(hashes))
     rank = np.empty(len(every), np.int64)
     rank[_ordered(every, frequent)] = np.arange(len(every))
     tree = PrefixTree([np.sort(rank[np.searchsorted(every, h)]) for h in hashes], num)
     part = np.unique(np.array(parts, np.int64), return_inverse=True)[1]
+    low = np.array(lower, bool)
     has, links = np.zeros(len(every), bool), []
     for i in range(len(ids)):
-        for j in tree.alike(i, part == part[i], has):
+        skip = part == part[i]
+        if low[i]:
+            skip |= low
+        for j in tree.alike(i, skip, has):
             if part[j] != part[i]:
                 part[part == part[j]] = part[i]
                 links.append((ids[i], ids[j]))
@@ -452,21 +466,20 @@ def _join_groups(grouped: DataFrame, frequent, num: int) -> DataFrame:
         def linked() -> pa.RecordBatch:
             links = []
             if len(held) > 1:
-                ids, part, data = (list(x) for x in zip(*held, strict=True))
-                links = _tree_links(ids, part, data, listed, num)
+                links = _tree_links(*zip(*held, strict=True), listed, num)
             return pa.RecordBatch.from_arrays(
                 [pa.array([x[k] for x in links], pa.int64()) for k in (0, 1)], names=["u", "v"]
             )
 
         for batch in batches:
-            for g, name, part, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for g, *row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if g != at:
                     yield linked()
                     at, held = g, []
-                held.append((name, part, data))
+                held.append(row)
         yield linked()
 
-    dealt = grouped.select("g", "id", "part", "data").repartition(parts, "g")
+    dealt = grouped.select("g", "id", "part", "low", "data").repartition(parts, "g")
     return dealt.sortWithinPartitions("g", "id").mapInArrow(join, "u bigint, v bigint")
 
 
@@ -491,18 +504,30 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
     """``u, v``: links between ``sets`` (``id, data``) that connect all that are alike."""
     frequent = _frequent(sets)
     clusters = saved(_clusters(sets, frequent, num))
-    tied = saved(sets.join(clusters, "id"))
-    members = tied.join(tied.groupBy("cluster").agg(_weight().alias("size")), "cluster")
+    # Alike sets differ in size by a band at most: each set goes to its own band and
+    # the next. Pairs of sets from the lower band are left to that band.
+    width = max(-math.log(num / 100), 1e-6) * (1 + 1e-9)
+    band = F.floor(F.log(F.octet_length("data") / 8.0) / width)
+    tied = saved(
+        sets.join(clusters, "id")
+        .select("id", "data", "cluster", F.explode(F.array(F.lit(False), F.lit(True))).alias("low"))
+        .withColumn("cluster", F.xxhash64("cluster", band + F.col("low").cast("bigint")))
+    )
+    sizes = tied.groupBy("cluster").agg(
+        _weight().alias("size"), F.min("low").alias("all_low"), F.count("*").alias("k")
+    )
+    sizes = sizes.where("k > 1 AND NOT all_low").select("cluster", "size")
+    members = tied.join(sizes, "cluster")
     # clusters that fit into a block are joined whole
     small = members.where(F.col("size") <= block).select(
-        F.xxhash64(F.lit(-1), "cluster").alias("g"), "id", F.col("id").alias("part"), "data"
+        F.xxhash64(F.lit(-1), "cluster").alias("g"), "id", F.col("id").alias("part"), "low", "data"
     )
     # the blocks of larger ones are dealt at random
     blocks = F.ceil(F.col("size") / (block * 0.8))
     large = members.where(F.col("size") > block)
     first = large.select(
         F.xxhash64(F.lit(0), "cluster", F.pmod(F.xxhash64("id"), blocks)).alias("g"),
-        "id", F.col("id").alias("part"), "data",
+        "id", F.col("id").alias("part"), "low", "data",
     )
     links = saved(_join_groups(small.union(first), frequent, num))
     if large.isEmpty():
@@ -510,7 +535,7 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
     parts = saved(_connected(links))
     again = _with_parts(large, parts).select(
         F.xxhash64(F.lit(1), "cluster", F.pmod(F.xxhash64("id", F.lit(1)), blocks)).alias("g"),
-        "id", "part", "data",
+        "id", "part", "low", "data",
     )
     links = saved(links.union(_join_groups(again, frequent, num)))
     parts = saved(_connected(links))
@@ -527,7 +552,7 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
     ).otherwise(F.pmod(F.xxhash64("id"), F.ceil(F.col("mixed") / (block * 0.4))))
     placed = saved(
         known.join(held, ["cluster", "part"])
-        .select("cluster", "id", "part", spot.alias("spot"), pure.alias("pure"), "data")
+        .select("cluster", "id", "part", "low", spot.alias("spot"), "data")
     )
     spots = placed.groupBy("cluster", "spot").agg(
         F.min("part").alias("lo"), F.max("part").alias("hi")
@@ -542,7 +567,7 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
     ends = pairs.select("cluster", "spot", "g").union(
         pairs.where("spot <> spot2").select("cluster", F.col("spot2").alias("spot"), "g")
     )
-    last = placed.join(ends, ["cluster", "spot"]).select("g", "id", "part", "data")
+    last = placed.join(ends, ["cluster", "spot"]).select("g", "id", "part", "low", "data")
     return links.union(_join_groups(last, frequent, num))
 
 
