@@ -4,7 +4,7 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import decontaminate, fingerprint, language, lm, ngram_join, packing, repeats, toxicity, warc  # noqa: F401
+from . import decontaminate, fingerprint, language, lm, ngram_join, packing, pii, repeats, toxicity, warc  # noqa: F401
 from .registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
