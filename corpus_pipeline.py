@@ -30,7 +30,8 @@ def _measured(docs: DataFrame, columns: list[str]) -> DataFrame:
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose score is below one half."""
     model = train_toxicity(docs, table(spark, sf_dir, "labels"))
-    return score_toxicity(docs, model).where("score < 0.5").select(*docs.columns)
+    scored = score_toxicity(docs, model, name="__llm_score")
+    return scored.where("__llm_score < 0.5").select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

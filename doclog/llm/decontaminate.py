@@ -200,19 +200,18 @@ def find_leaks(
     item_id: str = "item_id",
     item_text: str = "text",
     window: int = 10,
+    names: tuple[str, str, str] = ("n_words", "leaks", "leaked_items"),
 ) -> DataFrame:
     """Add ``n_words``, ``leaks`` (merged spans of hit words) and ``leaked_items``.
 
+    The columns added go by ``names``, and replace any that are there already.
+
     One narrow stage: the benchmark, of checked size, goes to the tasks in
     blocks, and each block's automaton adds to the spans of those before.
     """
-    out = docs.withColumns(
-        {
-            "n_words": F.lit(0).cast("bigint"),
-            "leaks": F.lit(None).cast(SPANS),
-            "leaked_items": F.lit(None).cast("array<string>"),
-        }
-    )
+    docs = docs.drop(*names)
+    empty = (F.lit(0).cast("bigint"), F.lit(None).cast(SPANS), F.lit(None).cast("array<string>"))
+    out = docs.select("*", *[c.alias(name) for c, name in zip(empty, names, strict=True)])
     schema, sc = out.schema, docs.sparkSession.sparkContext
     position = docs.columns.index(text)
 
@@ -278,17 +277,19 @@ def remove_leaks(
     A document whose hit words are more than ``max_coverage`` of its words goes
     as a whole. Columns, and rows without a hit, stay as they are.
     """
-    found = find_leaks(docs, benchmark, text, window=window, **names)
-    hit = F.aggregate("leaks", F.lit(0).cast("bigint"), lambda s, x: s + x.end - x.start)
-    kept = found.where(F.col("leaks").isNull() | (hit <= F.col("n_words") * max_coverage))
+    n_words, leaks = "__llm_n_words", "__llm_leaks"
+    own = (n_words, leaks, "__llm_items")
+    found = find_leaks(docs, benchmark, text, window=window, names=own, **names)
+    hit = F.aggregate(leaks, F.lit(0).cast("bigint"), lambda s, x: s + x.end - x.start)
+    kept = found.where(F.col(leaks).isNull() | (hit <= F.col(n_words) * max_coverage))
     position, columns = docs.columns.index(text), docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            old, leaks = batch.column(position), batch.column(len(columns)).to_pylist()
-            if any(leaks):
+            old, found = batch.column(position), batch.column(len(columns)).to_pylist()
+            if any(found):
                 new = old.to_pylist()
-                for i, spans in enumerate(leaks):
+                for i, spans in enumerate(found):
                     if spans:
                         raw, parts, at = new[i].encode(), [], 0
                         for s in spans:
@@ -300,7 +301,7 @@ def remove_leaks(
             arrays[position] = old
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return kept.select(*docs.columns, "leaks").mapInArrow(cut, docs.schema)
+    return kept.select(*docs.columns, leaks).mapInArrow(cut, docs.schema)
 
 
 @query("op5_decontamination")

@@ -100,7 +100,8 @@ def as_text(prints: np.ndarray) -> list[str]:
 
 
 def fingerprint(docs: DataFrame, text: str = "text", name: str = "fingerprint") -> DataFrame:
-    """Add the fingerprint of a text column, in hexadecimal. One narrow stage."""
+    """Add, or replace, the fingerprint of a text, in hexadecimal. One narrow stage."""
+    docs = docs.drop(name)
     schema = docs.withColumn(name, F.lit("")).schema
     names, position = schema.names, docs.columns.index(text)
 

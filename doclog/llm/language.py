@@ -192,16 +192,19 @@ def train_language_model(
 def identify_language(docs: DataFrame, model: ContextTrees | None, text: str = "text") -> DataFrame:
     """Add ``lang_pred`` and ``score``, the language's share by its code length.
 
+    Columns of these names are replaced.
+
     One narrow stage; the model, bounded by its training sample, is broadcast.
     """
+    docs = docs.drop("lang_pred", "score")
     has_letter = F.coalesce(F.col(text).rlike(r"\p{L}"), F.lit(False))
     if model is None:
         return docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0)})
     sent = send(docs.sparkSession.sparkContext, model)
     columns = docs.columns
-    marked = docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "_letter": has_letter})
+    marked = docs.withColumns({"lang_pred": F.lit("und"), "score": F.lit(0.0), "__llm_letter": has_letter})
     position = columns.index(text)
-    schema = marked.drop("_letter").schema
+    schema = marked.drop("__llm_letter").schema
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trees = received(sent)

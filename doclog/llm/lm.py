@@ -242,9 +242,11 @@ def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame
 def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame:
     """Add ``n_tokens, n_known, train_tokens, base_score`` and ``score`` to ``docs``.
 
-    Log-probabilities are to the base 10.
+    Log-probabilities are to the base 10. Columns of these names are replaced;
+    the text goes.
     """
     spark = docs.sparkSession
+    docs = docs.drop("n_tokens", "n_known", "train_tokens", "base_score", "score")
     training = training.select(F.col(text).alias("text"))
     counts = saved(word_counts(training))
     ends = training.count()
@@ -266,9 +268,9 @@ def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> Dat
     sent = send(spark.sparkContext, (model, index, log_count))
     given, position = docs.columns, docs.columns.index(text)
     measured = docs.selectExpr(
-        "*", "0L AS n_tokens", "0L AS n_known", "0L AS n_other", "0D AS shown_logs",
-        "0D AS other_logs", "0D AS model_log",
-        "CAST(NULL AS BINARY) AS rest",
+        "*", "0L AS n_tokens", "0L AS n_known", "0L AS __llm_n_other", "0D AS __llm_shown_logs",
+        "0D AS __llm_other_logs", "0D AS __llm_model_log",
+        "CAST(NULL AS BINARY) AS __llm_rest",
     ).drop(text)
     names_out = measured.columns
     rest_type = np.dtype([("h", "<i8"), ("k", "<i4")])
@@ -325,29 +327,30 @@ def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> Dat
                     pa.array(rest["h"].copy()),
                     pa.array(rest["k"].copy()),
                 ],
-                names=["_row", "h", "k"],
+                names=["__llm_row", "h", "k"],
             )
 
     found = docs.mapInArrow(measure, measured.schema)
-    found = saved(found.withColumn("_row", F.monotonically_increasing_id()))
-    rest = found.select("_row", "rest").mapInArrow(unpack, "_row bigint, h bigint, k int")
+    found = saved(found.withColumn("__llm_row", F.monotonically_increasing_id()))
+    rest = found.select("__llm_row", "__llm_rest").mapInArrow(unpack, "__llm_row bigint, h bigint, k int")
     # words beyond the list that was sent, with their counts if training has them
-    rest = rest.join(rare, "h").groupBy("_row").agg(
-        F.sum("k").alias("known_rest"), F.sum(F.col("k") * F.log10(F.col("c") + 1.0)).alias("rest_logs")
+    rest = rest.join(rare, "h").groupBy("__llm_row").agg(
+        F.sum("k").alias("__llm_known_rest"),
+        F.sum(F.col("k") * F.log10(F.col("c") + 1.0)).alias("__llm_rest_logs"),
     )
-    out = found.drop("rest").join(rest, "_row", "left")
-    other_logs = F.col("other_logs") + F.coalesce("rest_logs", F.lit(0.0))
-    base = F.col("shown_logs") + other_logs + float(np.log10(ends + 1.0))
+    out = found.drop("__llm_rest").join(rest, "__llm_row", "left")
+    other_logs = F.col("__llm_other_logs") + F.coalesce("__llm_rest_logs", F.lit(0.0))
+    base = F.col("__llm_shown_logs") + other_logs + float(np.log10(ends + 1.0))
     base -= F.col("n_tokens") * float(np.log10(total + kinds + 1.0))
     # a word of the class of others has its smoothed share of the class
-    inner = other_logs - F.col("n_other") * float(np.log10(others + other_kinds + 1.0))
+    inner = other_logs - F.col("__llm_n_other") * float(np.log10(others + other_kinds + 1.0))
     return out.select(
         *[c for c in given if c != text],
         "n_tokens",
-        (F.col("n_known") + F.coalesce("known_rest", F.lit(0)) + int(ends > 0)).alias("n_known"),
+        (F.col("n_known") + F.coalesce("__llm_known_rest", F.lit(0)) + int(ends > 0)).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         base.alias("base_score"),
-        (F.col("model_log") + inner).alias("score"),
+        (F.col("__llm_model_log") + inner).alias("score"),
     )
 
 

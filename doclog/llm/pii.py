@@ -265,10 +265,10 @@ def redact(docs: DataFrame, text: str = "text", precision: float = PRECISION) ->
         F.min("start").alias("start"), F.max("end").alias("end"), F.min_by("kind", "start").alias("kind")
     )
     listed = merged.groupBy("key").agg(
-        F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("_spans")
+        F.sort_array(F.collect_list(F.struct("start", "end", "kind"))).alias("__llm_spans")
     )
     names = F.array(*[F.lit(f"[{k}]") for k in KINDS])
-    spans_, t = F.col("_spans"), F.col(text)
+    spans_, t = F.col("__llm_spans"), F.col(text)
 
     def piece(s: Column, i: Column) -> Column:
         since = F.when(i == 0, 0).otherwise(F.get(spans_, i - 1)["end"])
@@ -282,8 +282,8 @@ def redact(docs: DataFrame, text: str = "text", precision: float = PRECISION) ->
         F.array_join(F.transform(spans_, piece), ""),
         F.substring(t, last + 1, F.length(t) - last.cast("int")),
     )
-    joined = docs.withColumn("_key", F.xxhash64(t)).join(
-        listed.withColumnRenamed("key", "_key"), "_key", "left"
+    joined = docs.withColumn("__llm_key", F.xxhash64(t)).join(
+        listed.withColumnRenamed("key", "__llm_key"), "__llm_key", "left"
     )
     changed = F.when(spans_.isNull(), t).otherwise(whole)
     return joined.select(*[changed.alias(c) if c == text else c for c in docs.columns])

@@ -138,14 +138,14 @@ def _grouped(rows: np.ndarray, field: str | None) -> pa.RecordBatch:
     values = np.ascontiguousarray(rows[field]) if field else rows
     blobs = [x.tobytes() for x in np.split(values, start[1:])]
     return pa.RecordBatch.from_arrays(
-        [pa.array(keys), pa.array(blobs, pa.binary())], names=["_key", "_data"]
+        [pa.array(keys), pa.array(blobs, pa.binary())], names=["__llm_key", "__llm_data"]
     )
 
 
 def _joined(docs: DataFrame, side: DataFrame, how: str) -> DataFrame:
     """Join a packed side table, of measured size, by row key."""
-    size = side.agg(F.sum(F.octet_length("_data") + 40)).first()[0] or 0
-    return docs.join(F.broadcast(side) if size <= SENT_BYTES else side, "_key", how)
+    size = side.agg(F.sum(F.octet_length("__llm_data") + 40)).first()[0] or 0
+    return docs.join(F.broadcast(side) if size <= SENT_BYTES else side, "__llm_key", how)
 
 
 def _shared_minimisers(docs: DataFrame, window: int, gram: int) -> DataFrame:
@@ -180,9 +180,9 @@ def _shared_minimisers(docs: DataFrame, window: int, gram: int) -> DataFrame:
             low["key"], low["h"] = rows["key"], (rows["h"] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
             yield _grouped(np.unique(low), "h")
 
-    packed = docs.select("_key", "text").mapInArrow(post, "bucket int, data binary")
+    packed = docs.select("__llm_key", "text").mapInArrow(post, "bucket int, data binary")
     found = _dealt(packed).mapInArrow(meet, "bucket int, data binary")
-    return _dealt(found).mapInArrow(gather, "_key bigint, _data binary")
+    return _dealt(found).mapInArrow(gather, "__llm_key bigint, __llm_data binary")
 
 
 def _marked(rows: np.ndarray) -> np.ndarray:
@@ -245,7 +245,7 @@ def _super_kmers(docs: DataFrame, window: int, gram: int) -> DataFrame:
                     names=["h", "doc", "start", "key", "n", "s"],
                 )
 
-    columns = docs.select("_key", F.coalesce("_doc", F.lit(_NULL_LAST)).alias("_doc"), "text", "_data")
+    columns = docs.select("__llm_key", F.coalesce("_doc", F.lit(_NULL_LAST)).alias("_doc"), "text", "__llm_data")
     return columns.mapInArrow(
         pack, "h bigint, doc bigint, start bigint, key bigint, n bigint, s binary"
     )
@@ -284,7 +284,7 @@ def _repeated(super_kmers: DataFrame, window: int) -> DataFrame:
 
     dealt = super_kmers.repartition(_parts(super_kmers), "h").sortWithinPartitions("h", "doc", "start")
     found = dealt.mapInArrow(compare, "bucket int, data binary")
-    return _dealt(found).mapInArrow(gather, "_key bigint, _data binary")
+    return _dealt(found).mapInArrow(gather, "__llm_key bigint, __llm_data binary")
 
 
 def _windows(group: list[tuple], window: int, out: list[tuple]) -> None:
@@ -316,14 +316,18 @@ def _windows(group: list[tuple], window: int, out: list[tuple]) -> None:
 def remove_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", window: int = 20, gram: int = 6
 ) -> DataFrame:
-    """Add ``n_words``, ``n_removed`` and ``kept_text`` (kept words, single spaces)."""
-    row_key = F.xxhash64(F.col(doc_id), F.col(text)).alias("_key")
+    """Add ``n_words``, ``n_removed`` and ``kept_text`` (kept words, single spaces).
+
+    Columns of these names are replaced.
+    """
+    docs = docs.drop("n_words", "n_removed", "kept_text")
+    row_key = F.xxhash64(F.col(doc_id), F.col(text)).alias("__llm_key")
     given = docs.columns
     keyed = docs.select(row_key, F.col(doc_id).cast("bigint").alias("_doc"), F.col(text).alias("text"))
     shared = saved(_shared_minimisers(keyed, window, gram))
     marked = _joined(keyed, shared, "inner")
     repeats = saved(_repeated(_super_kmers(marked, window, gram), window))
-    out = _joined(docs.withColumn("_key", row_key), repeats, "left").select(*given, "_data")
+    out = _joined(docs.withColumn("__llm_key", row_key), repeats, "left").select(*given, "__llm_data")
     position = given.index(text)
     schema = docs.selectExpr("*", "0L AS n_words", "0L AS n_removed", "'' AS kept_text").schema
 

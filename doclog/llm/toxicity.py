@@ -181,12 +181,21 @@ def train_toxicity(
 
     # the order of rows decides how the fit goes: make it one of the rows' own
     fitted = sample.repartition(1).sortWithinPartitions("_order").mapInArrow(fit, "model binary")
-    return FactorizationMachine.loaded(bytes(fitted.first().model))
+    found = fitted.first()
+    if found is None:  # no labelled rows, so no task
+        return FactorizationMachine.fit([], np.zeros(0))
+    return FactorizationMachine.loaded(bytes(found.model))
 
 
-def score_toxicity(docs: DataFrame, model: FactorizationMachine, text: str = "text") -> DataFrame:
-    """Add ``score``. One narrow stage; the model has at most MAX_FEATURES features."""
-    schema = docs.withColumn("score", F.lit(0.0)).schema
+def score_toxicity(
+    docs: DataFrame, model: FactorizationMachine, text: str = "text", name: str = "score"
+) -> DataFrame:
+    """Add a score, in place of a column of its name if there is one.
+
+    One narrow stage; the model has at most MAX_FEATURES features.
+    """
+    docs = docs.drop(name)
+    schema = docs.withColumn(name, F.lit(0.0)).schema
     names, position = schema.names, docs.columns.index(text)
     sent = send(docs.sparkSession.sparkContext, model)
 
