@@ -34,19 +34,12 @@ def sql_type(data_type: T.DataType) -> str:
 
 
 def direct_type(data_type: T.DataType, lenient: bool) -> str | None:
-    """The type from_json() may read a top-level field as, if there is one.
+    """The type from_json() reads a top-level field as, if it is a scalar it can read.
 
     Where that gives a value that ``direct_value`` lets pass, it is the value
     that the rule gives too. Strict texts are not among them, for from_json()
-    takes a number for a text as well.
+    takes a number for a text as well. The choice depends on the type alone.
     """
-    if isinstance(data_type, T.ArrayType):
-        element = direct_type(data_type.elementType, lenient)
-        return f"array<{element}>" if element else None
-    if isinstance(data_type, T.StructType):
-        types = [direct_type(f.dataType, lenient) for f in data_type.fields]
-        parts = [f"{sql_name(f.name)}: {t}" for f, t in zip(data_type.fields, types)]
-        return f"struct<{', '.join(parts)}>" if types and all(types) else None
     if isinstance(data_type, (T.LongType, T.DoubleType, T.BooleanType)):
         return data_type.simpleString()
     if isinstance(data_type, T.FloatType):
@@ -59,37 +52,30 @@ def direct_type(data_type: T.DataType, lenient: bool) -> str | None:
     return None
 
 
+# Texts that may come from a number which the two parsers write differently: zero
+# with a sign, the infinities (in quotes), and numbers of many digits.
+_UNSURE_TEXT = r'^(-0(\\.0)?|"-?Infinity"|"NaN"|-?[0-9][0-9.eE+-]{14,})$'
+
+
 def direct_value(name: str, data_type: T.DataType) -> str:
     """The column ``name`` that from_json() read, or NULL where it needs a second look.
 
     A text may stand for an object or an array, which have another text under
-    the lenient rule; a null inside an array or object has more than one cause.
+    the lenient rule, or for a number that is not written as it was.
     """
-    if isinstance(data_type, T.StructType):
-        parts = [
-            f"{direct_value(f'{name}.{sql_name(f.name)}', f.dataType)} IS NOT NULL"
-            for f in data_type.fields
-        ]
-        return f"CASE WHEN {' AND '.join(parts)} THEN {name} END"
-    if isinstance(data_type, T.ArrayType):
-        element = f"e{len(name)}"  # a name of its own inside another array
-        whole = f"{direct_value(element, data_type.elementType)} IS NOT NULL"
-        return f"CASE WHEN forall({name}, {element} -> {whole}) THEN {name} END"
     if isinstance(data_type, T.StringType):
-        return f"CASE WHEN substring({name}, 1, 1) NOT IN ('{{', '[') THEN {name} END"
-    return name
+        sure = f"substring({name}, 1, 1) NOT IN ('{{', '[') AND NOT {name} RLIKE '{_UNSURE_TEXT}'"
+        return f"CASE WHEN {sure} THEN {name} END"
+    return unsigned_zero(name, data_type)
 
 
-def direct_risk(data_type: T.DataType) -> int:
-    """What a field saves by being read directly, at the risk of not being of its type.
-
-    Counted in single numbers; a text is never of another type and so no risk.
-    """
-    if isinstance(data_type, T.ArrayType):
-        return 3 * direct_risk(data_type.elementType)
-    if isinstance(data_type, T.StructType):
-        return sum(direct_risk(f.dataType) for f in data_type.fields)
-    return 0 if isinstance(data_type, T.StringType) else 1
+def unsigned_zero(value: str, data_type: T.DataType) -> str:
+    """A number with zero as it is without a sign, which a variant does not keep."""
+    if isinstance(data_type, T.DoubleType):
+        return f"({value} + 0D)"
+    if isinstance(data_type, T.FloatType):
+        return f"({value} + 0F)"
+    return value
 
 
 def _null(data_type: T.DataType) -> str:
@@ -152,7 +138,7 @@ def strict_value(place: Place, data_type: T.DataType, known_to_fit: bool = False
         return _struct(place, data_type.fields, strict_value)
     if not isinstance(data_type, STRICT_SCALARS):
         return _null(data_type)
-    value = place.get(data_type.simpleString())
+    value = unsigned_zero(place.get(data_type.simpleString()), data_type)
     if known_to_fit:
         return value
     return f"CASE WHEN {_strict_kind(place, data_type)} THEN {value} END"
@@ -234,9 +220,9 @@ def lenient_value(place: Place, data_type: T.DataType, top: bool = False) -> str
     if isinstance(data_type, (T.IntegerType, T.LongType)):
         return _lenient_whole(place, data_type.simpleString())
     if isinstance(data_type, T.DoubleType):
-        return _lenient_double(place)
+        return unsigned_zero(_lenient_double(place), data_type)
     if isinstance(data_type, T.FloatType):
-        return f"CAST({_lenient_double(place)} AS FLOAT)"
+        return unsigned_zero(f"CAST({_lenient_double(place)} AS FLOAT)", data_type)
     if isinstance(data_type, T.StringType):
         return _lenient_string(place)
     if isinstance(data_type, T.BooleanType):

@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from ..functions.decode import (
-    direct_risk,
     direct_type,
     direct_value,
     lenient_value,
@@ -56,6 +55,16 @@ def _once(df: DataFrame, kept: list[str], value: str, name: str) -> DataFrame:
     return df.selectExpr(*kept, f"explode(array({value})) AS {name}")
 
 
+def _one_value(text: str) -> str:
+    """True where a text is one JSON value and nothing but blanks after it."""
+    return f"json_array_length(concat('[', {text}, ']')) <=> 1"
+
+
+def _whole_value(text: str) -> str:
+    """The variant of a text; raises where it is no JSON, or more than one value."""
+    return f"parse_json(CASE WHEN {_one_value(text)} THEN {text} ELSE concat('[', {text}, ',') END)"
+
+
 def _elements(df: DataFrame, kept: list[str]) -> DataFrame:
     """The variant ``__parsed`` as ``__item``, or its elements if it is an array."""
     elements = "coalesce(try_cast(__parsed AS ARRAY<VARIANT>), array(__parsed))"
@@ -66,27 +75,21 @@ def array_results(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) ->
     """One row ``result`` (a variant) per result: an array gives its elements."""
     _allow_repeated_names(df)
     kept = [sql_name(c) for c in keep]
-    parsed = sql_name(doc) if _is_variant(df, doc) else f"parse_json({_text(df, doc)})"
+    parsed = sql_name(doc) if _is_variant(df, doc) else _whole_value(_text(df, doc))
     items = _elements(_once(df, kept, parsed, "__parsed"), kept)
     return items.withColumnRenamed("__item", "result")
 
 
-# A field that from_json() reads as a number or boolean saves one variant and one
-# cast per document. Where the value is of another type it costs an exception
-# inside the parser, which takes some ten times as long. With fewer fields than
-# this at stake the saving is small, and they are read as variants.
-_ENOUGH_AT_STAKE = 3
-
-
 class _Fields:
     """The top-level fields of a schema, as the two decoders take them.
 
     Most documents are read in one pass by from_json(), which skips what the
     schema does not name: some types as such (``__t<i>`` is NULL for anything
     else, and in a document with any such value), the others as variants. Only
-    a document that leaves one of these columns NULL is parsed as a whole, and its fields (``__f<i>``) are looked
-    at: there a field may be missing, null or of another type, the document
-    may be an array or a scalar, or the text may be no JSON at all.
+    a document that leaves one of these columns NULL is parsed as a whole, and
+    its fields (``__f<i>``) are looked at: there a field may be missing, null or
+    of another type, the document may be an array or a scalar, or the text may
+    be no JSON at all.
     """
 
     def __init__(self, df: DataFrame, schema: T.StructType, doc: str, lenient: bool):
@@ -95,9 +98,7 @@ class _Fields:
         self.direct = [
             direct_type(f.dataType, lenient) if self.in_one_pass else None for f in self.fields
         ]
-        risks = [direct_risk(f.dataType) if t else 0 for f, t in zip(self.fields, self.direct)]
-        if sum(risks) < _ENOUGH_AT_STAKE:
-            self.direct = [None if risk else t for t, risk in zip(self.direct, risks)]
+        self.lenient = lenient
         self.read = [f"__t{i}" for i in range(len(self.fields))] if self.in_one_pass else []
         self.text = _text(df, doc)
 
@@ -106,7 +107,8 @@ class _Fields:
         if _is_variant(df, doc):
             return _once(df, kept, sql_name(doc), "__parsed")
         if not self.in_one_pass:
-            return _once(df, kept, f"parse_json({self.text})", "__parsed")
+            parsed = f"parse_json({self.text})" if self.lenient else _whole_value(self.text)
+            return _once(df, kept, parsed, "__parsed")
         types = [
             f"{sql_name(f.name)}: {t or 'variant'}" for f, t in zip(self.fields, self.direct)
         ]
@@ -131,7 +133,11 @@ class _Fields:
             values = ", ".join(f"'{t}', {check}" for t, check in checks.items())
             df = df.selectExpr(*kept, "__text", *same, f"inline(array(named_struct({values})))")
         complete = _all([f"{t} IS NOT NULL" for t in self.read])
-        rest = f"CASE WHEN {complete} THEN NULL ELSE parse_json(__text) END"
+        if self.lenient:
+            rest = f"CASE WHEN {complete} THEN NULL ELSE parse_json(__text) END"
+        else:
+            complete = f"({complete}) AND {_one_value('__text')}"
+            rest = f"CASE WHEN {complete} THEN NULL ELSE {_whole_value('__text')} END"
         return _once(df, [*kept, *self.read], rest, "__parsed")
 
     def taken(self, df: DataFrame, kept: list[str], root: str) -> DataFrame:

@@ -37,15 +37,15 @@ def key_bytes(keyed: DataFrame) -> int:
 def new_keys_only(
     batch: DataFrame, stored: DataFrame, broadcast_limit: int = BROADCAST_KEY_BYTES
 ) -> DataFrame:
-    """Rows of ``batch`` whose ``_key`` is not in ``stored``.
+    """One row for each ``_key`` of ``batch`` that is not in ``stored``.
 
-    ``batch`` must hold each key once and be cheap to read again. When its keys
-    are measured to be few, they are sent to the scan of the stored keys, which
-    then moves only the keys that both sides have. Otherwise both sides are
-    shuffled by key. Neither way depends on how the keys are spread, for each
-    key stands once on each side.
+    ``batch`` must be cheap to read again. When its keys are measured to be few,
+    they are sent to the scan of the stored keys, and those that both sides have
+    are sent back: no document moves but to meet others of its key. Otherwise
+    both sides are shuffled by key, each key once on each side.
     """
-    keys = stored.select("_key")
-    if key_bytes(batch) <= broadcast_limit:
-        keys = keys.join(F.broadcast(batch.select("_key")), "_key", "left_semi")
-    return batch.join(keys, "_key", "left_anti").select("doc", "_key")
+    keys, known = batch.select("_key").distinct(), stored.select("_key")
+    if key_bytes(keys) <= broadcast_limit:
+        common = known.join(F.broadcast(keys), "_key", "left_semi").distinct()
+        return one_per_key(batch.join(F.broadcast(common), "_key", "left_anti"))
+    return one_per_key(batch).join(known, "_key", "left_anti").select("doc", "_key")

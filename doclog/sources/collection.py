@@ -14,7 +14,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.encode import quoted
 from ..operators.decode import as_schema, decode_strict
 from ..operators.infer import infer_majority_schema
 from ..operators.keyed import new_keys_only, one_per_key, with_key
@@ -88,7 +87,10 @@ def read_collection(
 
 def _write(df: DataFrame, options: Options, load: str) -> bool:
     def write(path: str) -> None:
-        grouped(df.write.mode("overwrite"), options.batch_size).parquet(path)
+        writer = df.write.mode("overwrite")
+        if options.get("batchSize") is not None:
+            writer = grouped(writer, options.batch_size)
+        writer.parquet(path)
 
     return publish(df.sparkSession, collection_path(options), f"load={load}", write)
 
@@ -115,21 +117,17 @@ def append_collection(
     primary_key = checked.get("primaryKey") or None
     if primary_key is None:
         return _write(with_key(df, None), checked, load)
-    # the filters name the column itself, so that they reach the scan
-    key = quoted(primary_key)
-    batch = one_per_key(with_key(df.where(key.isNotNull()), primary_key))
-    if df.schema[primary_key].nullable:
-        batch = batch.unionByName(with_key(df.where(key.isNull()), primary_key))
-    if not exists(spark, path):
-        return _write(batch, checked, load)
-    # The batch is used by the size check and by the joins, and may be costly
-    # or not repeatable: write it once where every executor can read it.
+    # The batch is used several times, and may be costly or give other rows when
+    # it is read again: write it once where every executor can read it.
     staged = scratch_folder(spark)
     try:
-        batch.write.parquet(staged)
+        with_key(df, primary_key).write.parquet(staged)
         batch = spark.read.schema("doc STRING, _key STRING").parquet(staged)
-        stored = documents(spark, checked).where(_HAS_KEY)
-        fresh = new_keys_only(batch.where(_HAS_KEY), stored)
+        keyed = batch.where(_HAS_KEY)
+        if exists(spark, path):
+            fresh = new_keys_only(keyed, documents(spark, checked).where(_HAS_KEY))
+        else:
+            fresh = one_per_key(keyed)
         return _write(fresh.unionByName(batch.where(_NO_KEY)), checked, load)
     finally:
         delete(spark, staged)

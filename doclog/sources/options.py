@@ -77,10 +77,10 @@ class Options(Mapping[str, str]):
     def replication(self) -> str:
         kind = self["replication"].lower()
         if kind not in REPLICATION:
-            raise ValueError("Replication type should be either global or local")
+            raise ValueError("The option replication takes local or global")
         if kind == "global" and self.is_collection_stream:
             raise ValueError(
-                "Invalid replication type. Collection streams are always local."
+                "A collection followed as a stream needs replication local"
             )
         return kind
 

@@ -86,11 +86,13 @@ def scratch_folder(spark: SparkSession) -> str:
     """A new folder name in the space that all executors share.
 
     That space is the one named by ``spark.checkpoint.dir``. Only a local
-    session, whose executors share the driver's disk, may do without.
+    session, whose executors share the driver's disk, may do without: it is
+    given one folder for all its scratch tables.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("Set spark.checkpoint.dir to a folder shared by the cluster")
         shared = tempfile.mkdtemp(prefix="doclog-")
+        spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/doclog-{uuid.uuid4().hex}"

@@ -164,3 +164,40 @@ def test_inference_reads_the_collection(spark, options):
         "a ARRAY<BIGINT>, d DOUBLE, o STRUCT<x: BOOLEAN>")
     row = read_collection(spark, options).first()
     assert json.loads(json.dumps(row.asDict(True))) == {"a": [1, 2], "d": 1.5, "o": {"x": True}}
+
+
+def test_keyed_append_reads_its_input_once(spark, tmp_path):
+    seen = spark.sparkContext.accumulator(0)
+    options = {
+        "regionUrl": str(tmp_path), "fabric": "f", "collection": "once", "apiKey": "k", "primaryKey": "k",
+    }
+
+    def count(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(1000).selectExpr("CASE WHEN id % 10 > 0 THEN id END AS k", "id AS v")
+    append_collection(rows.mapInArrow(count, rows.schema), options)
+    assert seen.value == 1000
+    append_collection(rows.mapInArrow(count, rows.schema), options)
+    assert seen.value == 2000
+    assert documents(spark, options).count() == 1000 + 100
+
+
+def test_keyed_append_of_unstable_keys_loses_no_row(spark, tmp_path):
+    options = {
+        "regionUrl": str(tmp_path), "fabric": "f", "collection": "unstable", "apiKey": "k", "primaryKey": "k",
+    }
+    rows = spark.range(20000).selectExpr("CASE WHEN rand() < 0.5 THEN uuid() END AS k", "id AS v")
+    append_collection(rows, options)
+    assert documents(spark, options).count() == 20000
+
+
+def test_known_keys_move_no_documents(spark):
+    batch = spark.createDataFrame([("{}", str(i % 5)) for i in range(20)], "doc string, _key string")
+    stored = batch.where("_key < '3'")
+    fresh = keyed.new_keys_only(batch, stored)
+    assert sorted(r._key for r in fresh.collect()) == ["3", "4"]
+    plan = fresh._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" not in plan

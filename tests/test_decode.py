@@ -370,3 +370,50 @@ def test_random_documents_against_the_model(spark, schema):
     got = {r[0]: plain(tuple(r)[1:]) for r in
            decode_lenient(docs, schema, "doc", keep=["i"]).collect()}
     assert got == wanted_lenient
+
+
+EDGE_VALUES = [
+    "-0.0", "-0", "0.0", "1e400", "-1E400", "1e-400", "-0e5", "9223372036854775807",
+    "9223372036854775808", "-9223372036854775808", "-9223372036854775809",
+    "12345678901234567890123456789012345678901", "0.12345678901234567890", "1e5", "2.0", "1.50",
+    '"NaN"', '"1e400"', '"Infinity"', '"\\"Infinity\\""', '"-0.0"', '"a\\u00e9\\n\\"b"', '""',
+    '"12345678901234567890"', "true", "null", "[1]", "{}",
+]
+
+
+@pytest.mark.parametrize("decode", [decode_strict, decode_lenient])
+@pytest.mark.parametrize("kind", ["BIGINT", "DOUBLE", "FLOAT", "BOOLEAN", "STRING", "ARRAY<DOUBLE>"])
+def test_one_answer_whatever_else_the_schema_has(spark, decode, kind):
+    docs = [
+        (i, f'{{"k":{value},' + ",".join(f'"f{j}":{j}' for j in range(11)) + "}")
+        for i, value in enumerate(EDGE_VALUES)
+    ]
+    df = spark.createDataFrame(docs, "i int, doc string")
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+    variants = df.selectExpr("i", "parse_json(doc) AS doc")
+    answers = []
+    for more in (0, 2, 11):
+        schema = ", ".join([f"k {kind}", *(f"f{j} DOUBLE" for j in range(more))])
+        for frame in (df, variants):
+            rows = decode(frame, schema, "doc", keep=["i"]).select("i", "k").collect()
+            answers.append({r.i: repr(r.k) for r in rows})
+    assert all(answer == answers[0] for answer in answers), [
+        (EDGE_VALUES[i], [a.get(i, "dropped") for a in answers])
+        for i in range(len(docs))
+        if len({a.get(i, "dropped") for a in answers}) > 1
+    ]
+
+
+@pytest.mark.parametrize("schema", ["k BIGINT", "k BIGINT, j STRING", "k STRING"])
+@pytest.mark.parametrize("text", ['{"k":1,"j":"a"}{"k":2}', '{"k":1,"j":"a"} x', '{"k":1,"j":"a"},{"k":2}', '{"k":1'])
+def test_strict_refuses_text_after_a_document(spark, schema, text):
+    df = spark.createDataFrame([(text,)], "doc string")
+    with pytest.raises(Exception, match="MALFORMED"):
+        decode_strict(df, schema).collect()
+    with pytest.raises(Exception, match="MALFORMED"):
+        array_results(df).collect()
+
+
+def test_strict_takes_blanks_after_a_document(spark):
+    df = spark.createDataFrame([(' {"k":1,"j":"a"} \n\t',), (None,)], "doc string")
+    assert [r.k for r in decode_strict(df, "k BIGINT").collect()] == [1]
