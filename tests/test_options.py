@@ -37,7 +37,7 @@ def test_names_ignore_case_and_addresses():
 def test_replication():
     with pytest.raises(ValueError, match="either global or local"):
         log_options({**LOG, "replication": "both"})
-    with pytest.raises(ValueError, match="always local"):
+    with pytest.raises(ValueError, match="needs replication local"):
         log_options({**LOG, "isCollectionStream": True})
     with pytest.raises(ValueError, match="only be read"):
         log_options({**LOG, "replication": "local", "isCollectionStream": True}, write=True)
