@@ -35,7 +35,7 @@ def test_names_ignore_case_and_addresses():
 
 
 def test_replication():
-    with pytest.raises(ValueError, match="either global or local"):
+    with pytest.raises(ValueError, match="takes local or global"):
         log_options({**LOG, "replication": "both"})
     with pytest.raises(ValueError, match="needs replication local"):
         log_options({**LOG, "isCollectionStream": True})
