@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from ..functions.offsets import (
     Offset,
-    in_range,
     offset_from_json,
     offset_struct,
     offset_to_json,
@@ -17,15 +16,18 @@ from ..operators import (
     decode_lenient,
     decode_strict,
     encode_documents,
-    infer_first_message_schema,
     infer_majority_schema,
 )
 from ..sources import (
     append_collection,
     decode_results,
+    infer_log_schema,
+    latest_offset,
+    messages,
     offset_bounds,
     query_results,
     read_collection,
+    read_log,
 )
 from ..sources.storage import scratch_folder
 from .inputs import (
@@ -37,6 +39,7 @@ from .inputs import (
     derived,
     derived_sql,
     event_log,
+    stored_log,
 )
 from .registry import query, table
 
@@ -399,9 +402,9 @@ def _ddl(schema) -> str:
     FROM log, first WHERE length(trim(text)) > 0""",
 )
 def infer_first_message(spark: SparkSession, folder: str) -> DataFrame:
-    log = event_log(spark, folder)
-    schema = infer_first_message_schema(log)
-    rows = decode_lenient(log, schema, keep=["ledger_id", "entry_id"])
+    options = stored_log(spark, folder)
+    schema = infer_log_schema(spark, options)
+    rows = read_log(spark, options, schema, keep=["ledger_id", "entry_id"])
     return rows.withColumn("inferred", F.lit(_ddl(schema)))
 
 
@@ -452,6 +455,9 @@ def encode_nested(spark: SparkSession, folder: str) -> DataFrame:
 # ---------------------------------------------------------------- offsets
 
 
+_OFFSET = {"last_ledger_id": "bigint", "last_entry_id": "bigint", "last_partition_index": "int"}
+
+
 @query(
     "log_offsets",
     f"""WITH log AS ({EVENT_LOG_SQL}), a AS (SELECT * FROM log ORDER BY ledger_id, entry_id,
@@ -462,7 +468,11 @@ def encode_nested(spark: SparkSession, folder: str) -> DataFrame:
       z.entry_id AS last_entry_id, z.partition_index AS last_partition_index FROM a, z""",
 )
 def log_offsets(spark: SparkSession, folder: str) -> DataFrame:
-    return offset_bounds(event_log(spark, folder))
+    options = stored_log(spark, folder)
+    last = latest_offset(spark, options)
+    names = [f"last_{name}" for name in Offset._fields]
+    first = offset_bounds(messages(spark, options)).drop(*names)
+    return first.withColumns({n: F.lit(v).cast(_OFFSET[n]) for n, v in zip(names, last)})
 
 
 # A start inside the first ledger; the end is the last message.
@@ -476,11 +486,9 @@ _START = Offset(0, 499, 0)
     WHERE (ledger_id, entry_id, partition_index) > {tuple(_START)}""",
 )
 def log_range_scan(spark: SparkSession, folder: str) -> DataFrame:
-    log = event_log(spark, folder)
-    bounds = offset_bounds(log).first()
-    end = Offset(bounds.last_ledger_id, bounds.last_entry_id, bounds.last_partition_index)
-    rows = log.where(in_range(_START, end))
-    return decode_lenient(rows, "k BIGINT", keep=["ledger_id", "entry_id"])
+    options = stored_log(spark, folder)
+    end = latest_offset(spark, options)
+    return read_log(spark, options, "k BIGINT", _START, end, keep=["ledger_id", "entry_id"])
 
 
 @query(

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ..sources import log_options, log_path
+from ..sources.storage import scratch_folder
 from .registry import table
 
 # One field k, in every state that the decoders tell apart.
@@ -79,6 +81,18 @@ def event_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def stored_log(spark: SparkSession, folder: str) -> dict[str, object]:
+    """The options of a stored log of the same messages, a folder per ledger."""
+    options = {
+        "regionUrl": scratch_folder(spark), "fabric": "_system", "tenant": "tenant",
+        "replication": "global", "stream": "events", "subscriptionName": "reader",
+    }
+    parts = ("partition_index", "ledger_id")
+    writer = event_log(spark, folder).repartition(*parts).write.partitionBy(*parts)
+    writer.parquet(log_path(log_options(options)))
+    return options
+
+
 EVENT_LOG_SQL = f"""SELECT 0 AS partition_index, event_id // {MESSAGES_PER_LEDGER} AS ledger_id,
     event_id % {MESSAGES_PER_LEDGER} AS entry_id,
     CASE WHEN event_id = 0 THEN ' ' ELSE props END AS text FROM events"""

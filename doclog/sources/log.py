@@ -25,6 +25,8 @@ LOG_SCHEMA = "entry_id BIGINT, payload BINARY, partition_index INT, ledger_id BI
 # A search for the first message looks into this many ledgers, then eight
 # times as many, and so on.
 _FIRST_LEDGERS, _GROWTH = 1, 8
+# Loads of a collection that one step of the search names, at most.
+_MOST_LOADS = 4096
 
 
 def _checked_path(spark: SparkSession, options: Options) -> str:
@@ -102,12 +104,17 @@ def _first_of_log(spark: SparkSession, path: str) -> str | None:
 
 
 def _first_of_collection(spark: SparkSession, path: str) -> str | None:
-    stored = spark.read.schema(DOCUMENT_SCHEMA).parquet(path)
-    for load, _ in sorted(folders(spark, path), key=lambda f: f[1]):
-        name = load.partition("=")[2]
-        row = stored.where((F.col("load") == name) & F.col("doc").rlike(NOT_BLANK)).first()
-        if row is not None:
-            return row.doc
+    stored = spark.read.schema(DOCUMENT_SCHEMA).parquet(path).where(F.col("doc").rlike(NOT_BLANK))
+    found = sorted(folders(spark, path), key=lambda f: f[1])
+    loads = [name.partition("=")[2] for name, _ in found]
+    width, at = _FIRST_LEDGERS, 0
+    while at < len(loads):
+        window = loads[at : at + width]
+        firsts = stored.where(F.col("load").isin(window)).groupBy("load").agg(F.first("doc").alias("doc"))
+        docs = {row.load: row.doc for row in firsts.collect()}
+        if docs:
+            return docs[min(docs, key=window.index)]
+        at, width = at + width, min(width * _GROWTH, _MOST_LOADS)
     return None
 
 
