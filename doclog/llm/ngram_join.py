@@ -8,7 +8,8 @@ The join is exact for a Jaccard similarity given as num/100:
    all but m with some other class. Classes that don't are done.
 3. Of the rest, n-grams are ordered: rare ones by hash, frequent ones (a list of
    bounded size) after them by frequency. Two classes can only be alike if they
-   share one of their first m + 1 n-grams; classes so tied make clusters.
+   share enough of the rare n-grams or, where those are few, one of their first
+   m + 1 n-grams; classes so tied make clusters.
 4. In a cluster the ordered sets are put into a prefix tree. A class is joined
    with all others by one walk in which sets with equal beginnings share the
    counting, and a subtree is left as soon as the n-grams that remain in its
@@ -22,7 +23,8 @@ Pairs within one component are not compared again.
 
 Cases: null and wordless texts have no n-grams and are alike to nothing; texts
 with fewer words than n have one, the whole; equal ids count as one document in
-the components; null ids link nothing and get no component.
+the components; a row without an id ties nothing and has the component of a
+document with an equal set, null if there is none.
 """
 
 from __future__ import annotations
@@ -270,48 +272,89 @@ def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return listed["h"].to_numpy(np.uint64), listed["k"].to_numpy(np.int64)
 
 
-def _ordered(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Places of n-grams (sorted by hash) in the global order."""
+def _often(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Of n-grams, how many sets have them, 0 where that is not listed as frequent."""
     names, k = frequent
     if not len(names):
-        return np.arange(len(hashes))
+        return np.zeros(len(hashes), np.int64)
     at = np.minimum(np.searchsorted(names, hashes), len(names) - 1)
-    often = np.where(names[at] == hashes, k[at], 0)
-    return np.argsort(often, kind="stable")
+    return np.where(names[at] == hashes, k[at], 0)
+
+
+def _ordered(hashes: np.ndarray, frequent: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Places of n-grams (sorted by hash) in the global order."""
+    return np.argsort(_often(hashes, frequent), kind="stable")
 
 
 def allowed_misses(n: np.ndarray, num: int) -> np.ndarray:
     return n - -(-num * n // 100)
 
 
-def _clusters(sets: DataFrame, frequent, num: int) -> DataFrame:
-    """``id, cluster`` of classes that share an n-gram among their first."""
+def _clusters(sets: DataFrame, frequent, num: int, share: float) -> tuple[DataFrame, DataFrame]:
+    """``id, cluster`` of classes that may be alike, and ``id, n, need`` of all.
+
+    Of the rare n-grams in the compared share a class has r. If r is more than
+    the class can miss, a partner has all but those missed, ``need`` of them, so
+    pairs are counted over the few classes of each rare n-gram. Classes with
+    fewer, which consist of frequent n-grams or are short, are tied to each
+    other where they share one of their first n-grams.
+    """
     sent = send(sets.sparkSession.sparkContext, frequent)
+    limit = np.uint64(int(share * (1 << _HASH_BITS)))
+    kind = "h bigint, id bigint, rare boolean, n bigint, need bigint"
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = received(sent)
         for batch in batches:
-            ids, grams = [], []
+            ids, grams, rare, sizes, needs = [], [], [], [], []
+
+            def add(name: int, hashes: np.ndarray, is_rare: bool, n: int, need: int) -> None:
+                grams.append(hashes.astype(np.int64))
+                for out, value in ((ids, name), (rare, is_rare), (sizes, n), (needs, need)):
+                    out.append(np.full(len(hashes), value))
+
             for name, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 hashes = np.frombuffer(data, np.uint64)
-                m = int(allowed_misses(np.int64(len(hashes)), num)) + 1
-                chosen = hashes[_ordered(hashes, listed)[:m]]
-                grams.append(chosen.astype(np.int64))
-                ids.append(np.full(len(chosen), name, np.int64))
+                misses = int(allowed_misses(np.int64(len(hashes)), num))
+                some = hashes[: np.searchsorted(hashes, limit)]
+                some = some[~np.isin(some, listed[0])]
+                need = len(some) - misses
+                add(name, some, True, len(hashes), need)
+                if need < 1:
+                    chosen = _ordered(hashes, listed)[: misses + 1]
+                    add(name, hashes[chosen], False, len(hashes), need)
             if ids:
+                columns = (np.concatenate(x) for x in (grams, ids, rare, sizes, needs))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate(grams)), pa.array(np.concatenate(ids))],
-                    names=["h", "id"],
+                    [pa.array(x) for x in columns], names=["h", "id", "rare", "n", "need"]
                 )
 
-    postings = saved(sets.select("id", "data").mapInArrow(first, "h bigint, id bigint"))
-    least = postings.groupBy("h").agg(F.min("id").alias("v"), F.max("id").alias("top"))
+    postings = saved(sets.select("id", "data").mapInArrow(first, kind))
+    meta = saved(
+        postings.groupBy("id").agg(
+            F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("need").alias("need")
+        )
+    )
+    rare = postings.where("rare").select("h", "id").distinct()
+    pairs = (
+        rare.withColumnRenamed("id", "u").join(rare.withColumnRenamed("id", "v"), "h")
+        .where("u > v").groupBy("u", "v").count()
+    )
+    for side in ("u", "v"):
+        own = meta.select(F.col("id").alias(side), *[F.col(c).alias(f"{c}_{side}") for c in meta.columns[1:]])
+        pairs = pairs.join(own, side)
+    pairs = pairs.where(
+        f"count >= need_u AND count >= need_v AND (need_u > 0 OR need_v > 0) "
+        f"AND 100 * least(hi_u, hi_v) >= {num} * greatest(lo_u, lo_v)"
+    ).select("u", "v")
+    poor = postings.where("NOT rare").select("h", "id")
+    least = poor.groupBy("h").agg(F.min("id").alias("v"), F.max("id").alias("top"))
     least = least.where("v <> top").select("h", "v")
-    links = postings.join(least, "h").where("id <> v").select(F.col("id").alias("u"), "v")
-    tied = components(links)
+    stars = poor.join(least, "h").where("id <> v").select(F.col("id").alias("u"), "v")
+    tied = components(pairs.union(stars))
     return tied.union(tied.select(F.col("component").alias("id"), "component").distinct()).select(
         "id", F.col("component").alias("cluster")
-    )
+    ), meta
 
 
 class PrefixTree:
@@ -497,47 +540,59 @@ def _with_parts(sets: DataFrame, parts: DataFrame) -> DataFrame:
 
 def _weight():
     """How many classes of 2,000 n-grams some classes count as, one each at least."""
-    return F.greatest(F.count("*"), F.ceil(F.sum(F.octet_length("data")) / (8 * 2000)))
+    return F.greatest(F.count("*"), F.ceil(F.sum("hi") / 2000))
 
 
-def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
-    """``u, v``: links between ``sets`` (``id, data``) that connect all that are alike."""
+def similar_classes(sets: DataFrame, num: int, block: int = BLOCK, share: float = SHARE) -> DataFrame:
+    """``u, v``: links between ``sets`` (``id, data``) that connect all that are alike.
+
+    Groups are planned on ids and sizes; the sets join them last.
+    """
     frequent = _frequent(sets)
-    clusters = saved(_clusters(sets, frequent, num))
+    clusters, meta = _clusters(sets, frequent, num, share)
     # Alike sets differ in size by a band at most: each set goes to its own band and
     # the next. Pairs of sets from the lower band are left to that band.
     width = max(-math.log(num / 100), 1e-6) * (1 + 1e-9)
-    band = F.floor(F.log(F.octet_length("data") / 8.0) / width)
+    lowest, highest = F.floor(F.log("lo") / width), F.floor(F.log("hi") / width)
+    banded = clusters.join(meta, "id").select(
+        "id", "cluster", "hi", F.explode(F.sequence(lowest, highest + 1)).alias("band"),
+        highest.alias("top"),
+    )
     tied = saved(
-        sets.join(clusters, "id")
-        .select("id", "data", "cluster", F.explode(F.array(F.lit(False), F.lit(True))).alias("low"))
-        .withColumn("cluster", F.xxhash64("cluster", band + F.col("low").cast("bigint")))
+        banded.select(
+            "id", "hi", F.xxhash64("cluster", "band").alias("cluster"),
+            (F.col("band") > F.col("top")).alias("low"),
+        )
     )
     sizes = tied.groupBy("cluster").agg(
         _weight().alias("size"), F.min("low").alias("all_low"), F.count("*").alias("k")
     )
     sizes = sizes.where("k > 1 AND NOT all_low").select("cluster", "size")
-    members = tied.join(sizes, "cluster")
+    members = saved(tied.join(sizes, "cluster"))
+
+    def joined(groups: DataFrame) -> DataFrame:
+        return _join_groups(groups.join(sets, "id"), frequent, num)
+
     # clusters that fit into a block are joined whole
     small = members.where(F.col("size") <= block).select(
-        F.xxhash64(F.lit(-1), "cluster").alias("g"), "id", F.col("id").alias("part"), "low", "data"
+        F.xxhash64(F.lit(-1), "cluster").alias("g"), "id", F.col("id").alias("part"), "low"
     )
     # the blocks of larger ones are dealt at random
     blocks = F.ceil(F.col("size") / (block * 0.8))
     large = members.where(F.col("size") > block)
     first = large.select(
         F.xxhash64(F.lit(0), "cluster", F.pmod(F.xxhash64("id"), blocks)).alias("g"),
-        "id", F.col("id").alias("part"), "low", "data",
+        "id", F.col("id").alias("part"), "low",
     )
-    links = saved(_join_groups(small.union(first), frequent, num))
+    links = saved(joined(small.union(first)))
     if large.isEmpty():
         return links
     parts = saved(_connected(links))
     again = _with_parts(large, parts).select(
         F.xxhash64(F.lit(1), "cluster", F.pmod(F.xxhash64("id", F.lit(1)), blocks)).alias("g"),
-        "id", "part", "low", "data",
+        "id", "part", "low",
     )
-    links = saved(links.union(_join_groups(again, frequent, num)))
+    links = saved(links.union(joined(again)))
     parts = saved(_connected(links))
     # blocks of one component, or of several small ones; pairs that are connected need no task
     known = _with_parts(large.drop("size"), parts)
@@ -551,8 +606,7 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
         pure, F.xxhash64("part", F.pmod(F.xxhash64("id"), F.ceil(F.col("k") / (block * 0.4))))
     ).otherwise(F.pmod(F.xxhash64("id"), F.ceil(F.col("mixed") / (block * 0.4))))
     placed = saved(
-        known.join(held, ["cluster", "part"])
-        .select("cluster", "id", "part", "low", spot.alias("spot"), "data")
+        known.join(held, ["cluster", "part"]).select("cluster", "id", "part", "low", spot.alias("spot"))
     )
     spots = placed.groupBy("cluster", "spot").agg(
         F.min("part").alias("lo"), F.max("part").alias("hi")
@@ -567,8 +621,8 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK) -> DataFrame:
     ends = pairs.select("cluster", "spot", "g").union(
         pairs.where("spot <> spot2").select("cluster", F.col("spot2").alias("spot"), "g")
     )
-    last = placed.join(ends, ["cluster", "spot"]).select("g", "id", "part", "low", "data")
-    return links.union(_join_groups(last, frequent, num))
+    last = placed.join(ends, ["cluster", "spot"]).select("g", "id", "part", "low")
+    return links.union(joined(last))
 
 
 def join_ngrams(
@@ -590,8 +644,10 @@ def join_ngrams(
     near = classes.join(shared, "d1", "left").where(
         F.coalesce("k", F.lit(0)) >= F.col("s") - misses
     )
-    sets = saved(_full_sets(docs, near.select("id").distinct(), n))
-    links = similar_classes(sets, num, block)
+    # used for the size check and for the sets
+    chosen = saved(near.select("id").distinct())
+    sets = saved(_full_sets(docs, chosen, n))
+    links = similar_classes(sets, num, block, share)
     parts = _connected(links)
     found = classes.join(parts, "id", "left").select(
         "n", "d1", "d2", F.coalesce("part", "id").alias("component_id")
