@@ -304,7 +304,32 @@ def remove_leaks(
     return kept.select(*docs.columns, leaks).mapInArrow(cut, docs.schema)
 
 
-@query("op5_decontamination")
+_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+      'abcdefghijklmnopqrstuvwxyz'), '[0-9a-z\\x{80}-\\x{10FFFF}]+')"""
+
+
+@query(
+    "op5_decontamination",
+    f"""WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+    b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+    windows AS (
+      SELECT DISTINCT item, n, w[i:i + n - 1] AS words FROM (
+        SELECT item, w, least(len(w), 10) AS n, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i
+        FROM b WHERE len(w) > 0)),
+    places AS (
+      SELECT doc_id, n, i, w[i:i + n - 1] AS words FROM (
+        SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM windows))),
+    hits AS (SELECT doc_id, places.n, i, item FROM places JOIN windows USING (n, words)),
+    covered AS (SELECT doc_id, count(DISTINCT spot) AS k FROM (
+      SELECT doc_id, unnest(range(i, i + n)) AS spot FROM hits) GROUP BY doc_id),
+    items AS (SELECT doc_id, count(DISTINCT item) AS k,
+      string_agg(DISTINCT item, ',' ORDER BY item) AS names FROM hits GROUP BY doc_id)
+    SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(covered.k, 0) AS n_hit,
+      coalesce(items.k, 0) AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+      covered.k IS NOT NULL AS contaminated
+    FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN items USING (doc_id)""",
+)
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
     found = find_leaks(docs, table(spark, folder, "benchmark"), window=10)

@@ -4,8 +4,8 @@ A window is ``window`` consecutive words of a document. Its minimiser is the
 least hash among its runs of ``gram`` words, so equal windows have equal
 minimisers. Consecutive windows with one minimiser are a super-k-mer.
 
-1. Minimisers are counted over all documents; one that occurs in a single row
-   and super-k-mer cannot stand for a repeated window.
+1. Minimisers are counted over all documents; one that occurs in a single
+   super-k-mer, and there at one place, cannot stand for a repeated window.
 2. The other super-k-mers travel, each as one packed string (its words joined by
    single spaces), to the bucket of their minimiser. Of equal strings in a batch
    the first travels; the windows of the others are repeats.
@@ -40,16 +40,20 @@ _RANGE = np.dtype([("key", "<i8"), ("start", "<u4"), ("n", "<u4")])
 
 
 class Runs:
-    """The super-k-mers of some rows: row, first window, number of windows, minimiser."""
+    """The super-k-mers of some rows: row, first window, number of windows, minimiser.
+
+    ``within`` marks those in which the minimiser stands at several places, so
+    that one of their windows may repeat another.
+    """
 
     def __init__(self, words: Words, window: int, gram: int) -> None:
         hashes = words.hashes()
         enough = words.count >= window
         if not enough.any():
             self.row = self.first = self.n = np.zeros(0, np.int64)
-            self.minimiser = np.zeros(0, np.uint64)
+            self.minimiser, self.within = np.zeros(0, np.uint64), np.zeros(0, bool)
             return
-        least = run_hashes(hashes, gram)
+        grams = least = run_hashes(hashes, gram)
         width, have = window - gram + 1, 1
         while have < width:  # least over ever wider ranges of starts
             step = min(have, width - have)
@@ -66,6 +70,12 @@ class Runs:
         self.row, self.minimiser = row[at], value[at]
         self.first = start[at]
         self.n = np.diff(np.append(at, len(start)))
+        span = self.n + width - 1  # of starts of runs of words in a super-k-mer
+        begin = np.cumsum(span) - span
+        places = np.repeat(self.first - begin, span) + np.arange(int(span.sum()))
+        same = grams[places] == np.repeat(self.minimiser, span)
+        count = np.add.reduceat(same, begin, dtype=np.int64) if len(begin) else span
+        self.within = (self.n > 1) & (count > 1)
 
 
 def _pieces(column: pa.Array) -> Iterator[tuple[int, Words]]:
@@ -159,7 +169,7 @@ def _shared_minimisers(docs: DataFrame, window: int, gram: int) -> DataFrame:
                 runs = Runs(words, window, gram)
                 part = np.empty(len(runs.row), _PAIR)
                 part["key"], part["h"] = keys[a + runs.row], runs.minimiser
-                held.append(part)
+                held += [part, part[runs.within]]
             if held:
                 yield _packed(_marked(np.concatenate(held)), "h", buckets)
 

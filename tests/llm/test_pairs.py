@@ -91,6 +91,13 @@ def test_repeats(spark, monkeypatch, sent_bytes):
     assert sorted(got, key=repr) == sorted(_kept(rows, 20), key=repr)
 
 
+def test_windows_repeat_within_one_run(spark):
+    rows = [(1, "a " * 21), (2, "b c " * 30), (3, " ".join(f"u{i}" for i in range(40)) + " z" * 50)]
+    found = repeats.remove_repeats(frame(spark, rows))
+    got = [tuple(r) for r in found.select("doc_id", "n_words", "n_removed", "kept_text").collect()]
+    assert sorted(got) == sorted(_kept(rows, 20))
+
+
 def _leaks(rows, items, window):
     out = []
     for doc, text in rows:
