@@ -317,7 +317,7 @@ def _clusters(sets: DataFrame, frequent, num: int, share: float) -> tuple[DataFr
                 hashes = np.frombuffer(data, np.uint64)
                 misses = int(allowed_misses(np.int64(len(hashes)), num))
                 some = hashes[: np.searchsorted(hashes, limit)]
-                some = some[~np.isin(some, listed[0])]
+                some = some[_often(some, listed) == 0]
                 need = len(some) - misses
                 add(name, some, True, len(hashes), need)
                 if need < 1:
