@@ -242,11 +242,18 @@ def _full_sets(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
     return picked.mapInArrow(pack, "id bigint, data binary")
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Smaller batches, for work that needs many times a batch's memory."""
+    for batch in batches:
+        for at in range(0, len(batch), rows):
+            yield batch.slice(at, rows)
+
+
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent n-grams of all sets, sorted, and their numbers of sets."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _slices(batches, 2000):
             hashes, k = np.unique(
                 np.frombuffer(b"".join(batch.column(0).to_pylist()), np.uint64), return_counts=True
             )
@@ -305,7 +312,7 @@ def _clusters(sets: DataFrame, frequent, num: int, share: float) -> tuple[DataFr
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = received(sent)
-        for batch in batches:
+        for batch in _slices(batches):
             ids, grams, rare, sizes, needs = [], [], [], [], []
 
             def add(name: int, hashes: np.ndarray, is_rare: bool, n: int, need: int) -> None:
