@@ -1,21 +1,25 @@
 """Language-model scores by a log-bilinear model, and smoothed word counts.
 
 Tokens are a text's words (A-Z lowered, split at blanks) and one end. Counts are
-those of all training documents. The frequent words, the end and a class for all
-other words make the model's vocabulary. The model predicts a token's vector
-from those of the two tokens before it, each through a matrix of its own, and
-the token's log-probability is the product of the two vectors plus a bias, less
-the logarithm of the sum over the vocabulary. A word of the class of others has
-the class's probability times its smoothed share of the class.
-
-The model is fitted with noise-contrastive estimation: tokens are told from
-noise drawn by frequency. Each task fits its own share of all training
-documents, from the same start; the means of what they find, weighted by their
-tokens, are the next start. A first round takes one document in eight, the last
-takes all.
-
-Sums over contexts come from one table for all pairs of vocabulary entries,
-made by matrix products in batches.
+those of all training documents. All words seen often enough, the end and one
+entry for all other words make the model's vocabulary, which grows with the
+training documents. The model predicts a token's vector from those of the two
+tokens before it, each through a matrix of its own.
+
+Words of like frequency form classes; the most frequent entries are classes of
+their own. A token has the probability of its class times its own within the
+class. Either is the exponential of the product of the predicted vector with the
+class's or word's own, plus a bias, over the sum of those of all classes, or of
+all words of the class; both sums are made for each token. As a context a word
+has the vector of its class plus its own. A word of the entry of others has the
+entry's probability times its smoothed share of it.
+
+The model is fitted with noise-contrastive estimation: classes are told from
+noise drawn by frequency, words from noise drawn within their class. Each task
+fits its own share of all training documents, from the same start; the means of
+what they find are the next start, weighted by their tokens, and for a word's
+own vectors by how often they met the word. A first round takes one document in
+eight, the last takes all.
 
 Cases: null, empty and blank texts are the end alone; without training documents
 there is no end in the counts, every base score is 0 and the model is uniform;
@@ -28,6 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,11 +40,17 @@ from .registry import query
 from .shared import NOT_BLANK, Words, chunks, fold, received, saved, send, table, texts
 
 OTHER, END = 0, 1
-# Words with vectors, and words whose counts are sent to all tasks; the counts
-# of the rest are joined.
-MODEL_WORDS, SENT_WORDS = 1022, 1 << 19
+# All words seen so often have vectors, and the most frequent ones in any case.
+LEAST_SEEN, LEAST_WORDS = 50, 1022
+# Words whose counts are sent to all tasks, besides those with vectors; the
+# counts of the rest are joined.
+SENT_WORDS = 1 << 19
 SIZE, NOISE, BATCH, RATE = 16, 64, 4096, 0.15
+# Entries that are classes of their own, and noise words for a word in a class.
+ALONE, INNER_NOISE = 128, 4
 FIRST_SHARE = 8
+# Words whose vectors travel together, and rows of sums made at once.
+SHARD, SUM_ROWS = 512, 1024
 
 
 class WordIndex:
@@ -88,10 +99,15 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     return counted.groupBy("h").agg(F.sum("c").alias("c"))
 
 
-def _tokens(words: Words, index: WordIndex) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Model tokens of all rows, an end after each, and the two before each token."""
+def _tokens(
+    words: Words, index: WordIndex, known: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Model tokens of all rows, an end after each, and the two before each token.
+
+    The first ``known`` words of the index are in the model.
+    """
     place = index.find(words.hashes())
-    place = np.where((place >= 0) & (place < MODEL_WORDS), place + 2, OTHER)
+    place = np.where((place >= 0) & (place < known), place + 2, OTHER)
     ends = words.first[1:] + np.arange(words.rows)
     token = np.empty(len(place) + words.rows, np.int64)
     inner = np.ones(len(token), bool)
@@ -106,59 +122,93 @@ def _tokens(words: Words, index: WordIndex) -> tuple[np.ndarray, np.ndarray, np.
     return token, one, two
 
 
+def _scatter(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    """Sums of vectors by place."""
+    flat = (index[:, None] * SIZE + np.arange(SIZE)).ravel()
+    return np.bincount(flat, values.ravel(), n * SIZE).reshape(n, SIZE)
+
+
+def _log_sums(h: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Products of rows with vectors, and the logarithms of the sums of their exponentials."""
+    z = h @ vectors.T
+    top = z.max(axis=1)
+    return z, top + np.log(np.exp(z - top[:, None]).sum(axis=1))
+
+
 class LogBilinear:
-    """Vectors of contexts and targets, a matrix for each place, and biases."""
+    """Vectors of classes and words, a matrix for each place before, and biases."""
 
     NAMES = ("context", "target", "near", "far", "bias")
+    OWN = ("own_context", "own_target", "own_bias")
 
     def __init__(self, share: np.ndarray) -> None:
-        """``share``: each vocabulary entry's share of all training tokens."""
+        """``share``: each entry's share of all training tokens; the rarer words come later."""
         n, draw = len(share), np.random.default_rng(11)
-        self.share = share
-        self.context = draw.normal(0, 0.3, (n, SIZE))
-        self.target = draw.normal(0, 0.05, (n, SIZE))
-        self.near, self.far = np.eye(SIZE) * 0.7, np.eye(SIZE) * 0.5
-        self.bias = np.log(share)
+        # a class has about 1 / sqrt(share) words, so both sums of a token are short
+        label = np.arange(n)
+        label[ALONE:] = ALONE + np.cumsum(np.sqrt(share[ALONE:])).astype(np.int64)
+        _, first, inverse, size = np.unique(
+            label, return_index=True, return_inverse=True, return_counts=True
+        )
+        self.of, self.first, self.size = inverse.astype(np.int32), first, size
+        k = len(size)
+        self.share = np.bincount(inverse, share, k)
+        self.context = draw.normal(0, 0.3, (k, SIZE)).astype(np.float32)
+        self.target = draw.normal(0, 0.05, (k, SIZE)).astype(np.float32)
+        self.near, self.far = np.eye(SIZE, dtype=np.float32) * 0.7, np.eye(SIZE, dtype=np.float32) * 0.5
+        self.bias = np.log(self.share).astype(np.float32)
+        self.own_context, self.own_target = np.zeros((2, n, SIZE), np.float32)
+        self.own_bias = np.log(share / self.share[inverse]).astype(np.float32)
 
     def flat(self) -> np.ndarray:
-        return np.concatenate([getattr(self, name).ravel() for name in self.NAMES])
+        return np.concatenate([getattr(self, name).ravel() for name in self.NAMES]).astype(float)
 
     def load(self, flat: np.ndarray) -> None:
         at = 0
         for name in self.NAMES:
             old = getattr(self, name)
-            setattr(self, name, flat[at : at + old.size].reshape(old.shape).copy())
+            setattr(self, name, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
+    def own(self, words: np.ndarray) -> np.ndarray:
+        """What words have of their own, a row for each."""
+        return np.column_stack([getattr(self, name)[words] for name in self.OWN])
+
+    def load_own(self, words: np.ndarray, rows: np.ndarray) -> None:
+        self.own_context[words], self.own_target[words] = rows[:, :SIZE], rows[:, SIZE : 2 * SIZE]
+        self.own_bias[words] = rows[:, 2 * SIZE]
+
     def fit(self, token: np.ndarray, one: np.ndarray, two: np.ndarray, state: dict, draw) -> None:
         """One pass of noise-contrastive estimation over tokens, in batches."""
         n = len(self.share)
-        log_noise = np.log(NOISE * self.share)
+        log_noise = np.log(NOISE * self.share).astype(np.float32)
         cumulative = np.cumsum(self.share)
-
-        def scatter(index: np.ndarray, values: np.ndarray) -> np.ndarray:
-            flat = (index[:, None] * SIZE + np.arange(SIZE)).ravel()
-            return np.bincount(flat, values.ravel(), n * SIZE).reshape(n, SIZE)
+        if "met" not in state:
+            state["met"] = np.zeros(len(self.of), np.float32)
+            state |= {name: np.ones_like(getattr(self, name)) for name in self.OWN}
 
         order = draw.permutation(len(token))
         for at in range(0, len(token), BATCH):
             chosen = order[at : at + BATCH]
             w, a, b = token[chosen], one[chosen], two[chosen]
+            cw, ca, cb = self.of[w], self.of[a], self.of[b]
             m = len(chosen)
-            va, vb = self.context[a], self.context[b]
+            va, vb = self.context[ca] + self.own_context[a], self.context[cb] + self.own_context[b]
             predicted = va @ self.near + vb @ self.far
             noise = np.minimum(np.searchsorted(cumulative, draw.random(NOISE)), n - 1)
-            tw, tn = self.target[w], self.target[noise]
-            real = (predicted * tw).sum(1) + self.bias[w] - log_noise[w]
+            tw, tn = self.target[cw], self.target[noise]
+            real = (predicted * tw).sum(1) + self.bias[cw] - log_noise[cw]
             fake = predicted @ tn.T + self.bias[noise] - log_noise[noise]
             # gradients of the logistic loss: tokens are 1, noise is 0
             g = 1 / (1 + np.exp(np.clip(real, -30, 30)))
             f = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
             d_predicted = g[:, None] * tw + f @ tn
+            d_predicted += self._fit_words(w, cw, predicted, state, draw)
+            d_near, d_far = d_predicted @ self.near.T, d_predicted @ self.far.T
             d = {
-                "target": scatter(w, g[:, None] * predicted) + scatter(noise, f.T @ predicted),
-                "bias": np.bincount(w, g, n) + np.bincount(noise, f.sum(0), n),
-                "context": scatter(a, d_predicted @ self.near.T) + scatter(b, d_predicted @ self.far.T),
+                "target": _scatter(cw, g[:, None] * predicted, n) + _scatter(noise, f.T @ predicted, n),
+                "bias": np.bincount(cw, g, n) + np.bincount(noise, f.sum(0), n),
+                "context": _scatter(ca, d_near, n) + _scatter(cb, d_far, n),
                 "near": va.T @ d_predicted,
                 "far": vb.T @ d_predicted,
             }
@@ -167,65 +217,154 @@ class LogBilinear:
                 past = state.setdefault(name, np.full(step.shape, 1e-6))
                 past += step * step
                 getattr(self, name)[...] += RATE * step / np.sqrt(past)
+            where, steps = np.concatenate([a, b]), np.concatenate([d_near, d_far])
+            inner = self.size[self.of[where]] > 1
+            self._step("own_context", where[inner], steps[inner], state)
+
+    def _fit_words(self, w: np.ndarray, cw: np.ndarray, predicted: np.ndarray, state: dict, draw) -> np.ndarray:
+        """Tell words from others of their class; the gradients of what was predicted."""
+        out = np.zeros_like(predicted)
+        inner = np.flatnonzero(self.size[cw] > 1)
+        if not len(inner):
+            return out
+        w, h, size = w[inner], predicted[inner], self.size[cw[inner]]
+        noise = self.first[cw[inner], None] + (draw.random((len(w), INNER_NOISE)) * size[:, None]).astype(np.int64)
+        log_noise = np.log(INNER_NOISE / size).astype(np.float32)
+        tw, tn = self.own_target[w], self.own_target[noise]
+        real = (h * tw).sum(1) + self.own_bias[w] - log_noise
+        fake = (tn @ h[:, :, None])[:, :, 0] + self.own_bias[noise] - log_noise[:, None]
+        g = 1 / (1 + np.exp(np.clip(real, -30, 30)))
+        f = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+        out[inner] = g[:, None] * tw + (f[:, None, :] @ tn)[:, 0]
+        where = np.concatenate([w, noise.ravel()])
+        pull = np.concatenate([g, f.ravel()])
+        # each word's vector is drawn to (or pushed from) what was predicted
+        steps = np.concatenate([h, np.repeat(h, INNER_NOISE, axis=0)]) * pull[:, None]
+        self._step("own_target", where, steps, state, pull)
+        np.add.at(state["met"], w, np.float32(1))
+        np.add.at(state["met"], noise.ravel(), np.float32(1 / INNER_NOISE))
+        return out
+
+    def _step(self, name: str, where: np.ndarray, steps: np.ndarray, state: dict, pull=None) -> None:
+        """Add the steps of words that were met, and of their biases."""
+        words, inverse = np.unique(where, return_inverse=True)
+        found = {name: _scatter(inverse, steps, len(words))}
+        if pull is not None:
+            found["own_bias"] = np.bincount(inverse, pull, len(words))
+        for each, step in found.items():
+            past = state[each][words] + step * step
+            state[each][words] = past
+            getattr(self, each)[words] += RATE * step / np.sqrt(past)
 
     def freeze(self) -> None:
-        """Single precision and the table of sums over all pairs of contexts."""
-        n = len(self.share)
-        self.a = (self.context @ self.near).astype(np.float32)
-        self.b = (self.context @ self.far).astype(np.float32)
-        self.q, self.c = self.target.astype(np.float32), self.bias.astype(np.float32)
-        self.norm = np.empty((n, n), np.float32)
-        far = self.b @ self.q.T + self.c
-        for k, near in enumerate(self.a @ self.q.T):
-            z = far + near
-            top = z.max(axis=1)
-            self.norm[k] = top + np.log(np.exp(z - top[:, None]).sum(axis=1))
+        """What scoring needs: vectors through their matrices, and biases as one more place."""
+        context = self.context[self.of] + self.own_context
+        self.a, self.b = context @ self.near, context @ self.far
+        self.q = np.column_stack([self.target, self.bias])
+        self.own_q = np.column_stack([self.own_target, self.own_bias])
+        for name in ("context", "target", "bias", *self.OWN):
+            delattr(self, name)
 
     def log10(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
         """Normalised log-probabilities of tokens after two others."""
-        z = np.einsum("ij,ij->i", self.a[one] + self.b[two], self.q[token]) + self.c[token]
-        return (z - self.norm[one, two]).astype(np.float64) / np.log(10)
+        out = np.empty(len(token))
+        cw = self.of[token]
+        h = np.ones((len(token), SIZE + 1), np.float32)
+        h[:, :SIZE] = self.a[one] + self.b[two]
+        for at in range(0, len(token), SUM_ROWS):
+            own = cw[at : at + SUM_ROWS]
+            z, norm = _log_sums(h[at : at + SUM_ROWS], self.q)
+            out[at : at + SUM_ROWS] = z[np.arange(len(own)), own] - norm
+        inner = np.flatnonzero(self.size[cw] > 1)
+        inner = inner[np.argsort(cw[inner], kind="stable")]
+        classes, start = np.unique(cw[inner], return_index=True)
+        for k, where in zip(classes, np.split(inner, start[1:]), strict=False):
+            first = self.first[k]
+            vectors = self.own_q[first : first + self.size[k]]
+            for at in range(0, len(where), SUM_ROWS):
+                some = where[at : at + SUM_ROWS]
+                z, norm = _log_sums(h[some], vectors)
+                out[some] += z[np.arange(len(some)), token[some] - first] - norm
+        return out / np.log(10)
+
+
+_OWN_ROW = np.dtype([("word", "<i4"), ("met", "<f4"), ("own", "<f4", (2 * SIZE + 1,))])
 
 
 def _fit_round(docs: DataFrame, model: LogBilinear, index: WordIndex) -> LogBilinear:
-    """Fit in each task and average; 64 tasks add up the vectors before the driver does."""
+    """Fit in each task and average, in shards of words, before the driver gets the means.
+
+    Shards below 0 hold what all tasks fit, the others what words have of their own.
+    """
     sent = send(docs.sparkSession.sparkContext, (model, index))
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (own, words_of), state, n = received(sent), {}, 0
         draw = np.random.default_rng(5)
         for batch in batches:
-            held = [_tokens(words, words_of) for _, words in _pieces(batch.column(0))]
+            held = [_tokens(words, words_of, len(own.of) - 2) for _, words in _pieces(batch.column(0))]
             for k in range(0, len(held), 4):
                 token, one, two = (np.concatenate(x) for x in zip(*held[k : k + 4], strict=True))
                 own.fit(token, one, two, state, draw)
                 n += len(token)
         if n:
-            yield _row(own.flat() * n, n)
+            flat = own.flat() * n
+            yield _rows([(-1 - TaskContext.get().partitionId() % 64, flat.tobytes(), n)])
+            met = np.flatnonzero(state["met"])
+            for shard in np.split(met, np.flatnonzero(np.diff(met // SHARD)) + 1):
+                if len(shard):
+                    rows = np.empty(len(shard), _OWN_ROW)
+                    rows["word"], rows["met"], rows["own"] = shard, state["met"][shard], own.own(shard)
+                    yield _rows([(int(shard[0]) // SHARD, rows.tobytes(), 0)])
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total, n = 0.0, 0
+        total: dict[int, list] = {}
         for batch in batches:
-            for data, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                total, n = total + np.frombuffer(data), n + k
-        if n:
-            yield _row(total, n)
-
-    def _row(flat: np.ndarray, n: int) -> pa.RecordBatch:
+            for shard, data, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if shard < 0:
+                    held = total.setdefault(shard, [0.0, 0])
+                    held[0], held[1] = held[0] + np.frombuffer(data), held[1] + k
+                else:
+                    own, met = total.setdefault(shard, [np.zeros((SHARD, 2 * SIZE + 1)), np.zeros(SHARD)])
+                    rows = np.frombuffer(data, _OWN_ROW)
+                    at = rows["word"] - shard * SHARD
+                    own[at] += rows["own"] * rows["met"][:, None]
+                    met[at] += rows["met"]
+        for shard, (held, n) in total.items():
+            if shard < 0:
+                yield _rows([(shard, held.tobytes(), n)])
+            else:
+                at = np.flatnonzero(n)
+                rows = np.empty(len(at), _OWN_ROW)
+                rows["word"], rows["met"], rows["own"] = at + shard * SHARD, n[at], held[at] / n[at, None]
+                yield _rows([(shard, rows.tobytes(), 0)])
+
+    def _rows(rows: list[tuple]) -> pa.RecordBatch:
+        shard, data, n = zip(*rows, strict=True)
         return pa.RecordBatch.from_arrays(
-            [pa.array([flat.tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["data", "n"]
+            [pa.array(shard, pa.int32()), pa.array(data, pa.binary()), pa.array(n, pa.int64())],
+            names=["shard", "data", "n"],
         )
 
-    kind = "data binary, n bigint"
-    found = docs.select("text").mapInArrow(fit, kind).repartition(64).mapInArrow(add, kind).collect()
-    n = sum(row.n for row in found)
+    kind = "shard int, data binary, n bigint"
+    fitted = docs.select("text").mapInArrow(fit, kind)
+    flat, n = 0.0, 0
+    for row in fitted.repartition(64, "shard").mapInArrow(add, kind).toLocalIterator(prefetchPartitions=True):
+        if row.shard < 0:
+            flat, n = flat + np.frombuffer(row.data), n + row.n
+        else:
+            rows = np.frombuffer(row.data, _OWN_ROW)
+            model.load_own(rows["word"], rows["own"])
     if n:
-        model.load(sum(np.frombuffer(row.data) for row in found) / n)
+        model.load(flat / n)
     return model
 
 
 def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """The hashes and numbers of the SENT_WORDS most frequent words, at most, and the rest."""
+    """The hashes and numbers of the most frequent words, and the rest.
+
+    Those seen LEAST_SEEN times are among the first, and others up to SENT_WORDS.
+    """
     level = F.floor(F.log2("c") * 8)
     least, listed = None, 0
     for row in counts.groupBy(level.alias("l")).count().orderBy(F.desc("l")).collect():
@@ -233,9 +372,11 @@ def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame
         if listed > SENT_WORDS:
             break
         least = row["l"]
-    sent = counts.where(level >= least) if least is not None else counts.limit(0)
-    rare = counts.where(level < least) if least is not None else counts
-    found = sent.toPandas().sort_values(["c", "h"], ascending=[False, True])
+    often = F.col("c") >= LEAST_SEEN
+    if least is not None:
+        often |= level >= least
+    rare = counts.where(~often)
+    found = counts.where(often).toPandas().sort_values(["c", "h"], ascending=[False, True])
     return found["h"].to_numpy(np.int64).view(np.uint64), found["c"].to_numpy(np.int64), rare
 
 
@@ -254,12 +395,13 @@ def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> Dat
     kinds, total = totals[0] + (ends > 0), totals[1] + ends
     names, often, rare = _most_frequent(counts)
     index = WordIndex(names)
-    shown = often[:MODEL_WORDS]
+    shown = often[: max(LEAST_WORDS, int((often >= LEAST_SEEN).sum()))]
+    n_shown = len(shown)
     others, other_kinds = totals[1] - int(shown.sum()), totals[0] - len(shown)
     share = np.array([others, ends, *shown.tolist()], float) + 1
     model = LogBilinear(share / share.sum())
     if ends:
-        short = WordIndex(names[:MODEL_WORDS])
+        short = WordIndex(names[:n_shown])
         some = F.pmod(F.xxhash64("text"), F.lit(FIRST_SHARE)) == 0
         model = _fit_round(training.where(some), model, short)
         model = _fit_round(training, model, short)
@@ -281,13 +423,13 @@ def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> Dat
             parts: list[tuple] = []
             blobs: list[bytes] = []
             for _, words in _pieces(batch.column(position)):
-                token, one, two = _tokens(words, all_words)
+                token, one, two = _tokens(words, all_words, n_shown)
                 row = np.repeat(np.arange(words.rows), words.count + 1)
                 hashes = words.hashes()
                 place = all_words.find(hashes)
                 known = place >= 0
                 row_of, logs = words.row[known], logs_of[place[known]]
-                shown = place[known] < MODEL_WORDS
+                shown = place[known] < n_shown
                 sums = [
                     words.count + 1,
                     np.bincount(row_of, minlength=words.rows),

@@ -214,6 +214,33 @@ def test_model_is_normalised_and_helps():
     assert model.log10(token, one, two).mean() > np.log10(share / share.sum())[token].mean() + 0.3
 
 
+def test_every_word_seen_often_has_vectors(spark):
+    draw = np.random.default_rng(4)
+    pairs = [(f"a{i}", f"b{i}") for i in range(1000)]
+    order = np.concatenate([draw.permutation(1000) for _ in range(lm.LEAST_SEEN)])
+    lines = [" ".join(w for i in part for w in pairs[i]) for part in np.split(order, 500)]
+    training = frame(spark, list(enumerate(lines)), 1)
+    docs = [(i, " ".join(pairs[i])) for i in range(1000)]
+    docs += [(1000 + i, f"a{i} b{(i + 1) % 1000}") for i in range(1000)]
+    score = {r.doc_id: r.score for r in lm.score_texts(frame(spark, docs), training).collect()}
+    better = [score[i] > score[1000 + i] + 0.1 for i in range(1000)]
+    assert np.mean(better) > 0.9
+
+
+def test_two_levels_are_normalised():
+    draw = np.random.default_rng(2)
+    share = np.sort(1 / np.arange(1, 3001))[::-1]
+    share /= share.sum()
+    model = lm.LogBilinear(share)
+    assert len(model.size) < 500 and model.size.sum() == 3000 and (model.size > 1).any()
+    token = np.minimum(np.searchsorted(np.cumsum(share), draw.random(20000)), 2999)
+    model.fit(token, np.roll(token, 1), np.roll(token, 2), {}, draw)
+    model.freeze()
+    for a, b in ((2, 2990), (700, 1), (1500, 1501)):
+        p = 10 ** model.log10(np.arange(3000), np.full(3000, a), np.full(3000, b))
+        assert abs(p.sum() - 1) < 1e-4
+
+
 def test_scores_without_training_rows(spark):
     docs = frame(spark, [(1, "a b"), (2, None)]).selectExpr("*", "3 AS score")
     found = lm.score_texts(docs, docs.where("false"))
