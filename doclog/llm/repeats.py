@@ -9,9 +9,12 @@ minimisers. Consecutive windows with one minimiser are a super-k-mer.
 2. The other super-k-mers travel, each as one packed string (its words joined by
    single spaces), to the bucket of their minimiser. Of equal strings in a batch
    the first travels; the windows of the others are repeats.
-3. In its bucket each window's words are compared as text, and all windows but
+3. Super-k-mers are counted per minimiser. Those of a frequent one are cut into
+   windows, which travel by a hash of their own words instead, the earliest of each
+   batch alone; so no bucket grows with the share of documents that have a phrase.
+4. In its bucket each window's words are compared as text, and all windows but
    the earliest of each word sequence are repeats.
-4. Words covered by repeats are removed from their documents.
+5. Words covered by repeats are removed from their documents.
 
 "Earliest" is by document id, then start; null ids come last. Cases: null,
 empty and short texts have no windows and stay; rows with equal ids are one
@@ -22,6 +25,7 @@ Other columns are carried along.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,6 +38,8 @@ from .shared import NOT_BLANK, Words, chunks, run_hashes, saved, table, texts
 
 # A per-row side table is sent to the scan up to this size, else joined.
 SENT_BYTES = 64 << 20
+# A minimiser of more super-k-mers is frequent; lists of so many are sent to all tasks.
+FREQUENT, SENT_MINIMISERS = 1000, 1 << 20
 _NULL_LAST = (1 << 63) - 1
 _PAIR = np.dtype([("key", "<i8"), ("h", "<u8")])
 _RANGE = np.dtype([("key", "<i8"), ("start", "<u4"), ("n", "<u4")])
@@ -240,7 +246,8 @@ def _super_kmers(docs: DataFrame, window: int, gram: int) -> DataFrame:
             for i, x in enumerate(rows):
                 before = seen.setdefault(x[2], x)
                 if before[0] != x[0] or before[1] != x[1]:
-                    rows[i] = (x[0], x[1], None, *x[3:])
+                    # needs no comparing: dealt by its row
+                    rows[i] = (x[0], x[1], None, np.int64(x[4]).view(np.uint64), *x[4:])
             if rows:
                 doc, start, s, h, key, n = zip(*rows, strict=True)
                 yield pa.RecordBatch.from_arrays(
@@ -261,6 +268,54 @@ def _super_kmers(docs: DataFrame, window: int, gram: int) -> DataFrame:
     )
 
 
+def _dealt_again(super_kmers: DataFrame, window: int) -> DataFrame:
+    """The same, with the super-k-mers of frequent minimisers cut into windows.
+
+    ``h`` of a window is a hash of its words, so each has a bucket of its own.
+    """
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = list(zip(*(c.to_pylist() for c in batch.columns), strict=True))
+            rows.sort(key=lambda x: (x[1], x[2]))
+            seen: dict[bytes, tuple] = {}
+            out: list[tuple] = []
+            for _, doc, start, key, n, s in rows:
+                begins, ends = _word_bounds(s)
+                for i in range(n):
+                    w = s[begins[i] : ends[i + window - 1]]
+                    place = seen.setdefault(w, (doc, start + i))
+                    if place == (doc, start + i):
+                        h = int.from_bytes(hashlib.blake2b(w, digest_size=8).digest(), "little", signed=True)
+                        out.append((h, doc, start + i, key, 1, w))
+                    elif out and out[-1][5] is None and out[-1][3] == key and out[-1][2] + out[-1][4] == start + i:
+                        out[-1] = (*out[-1][:4], out[-1][4] + 1, None)
+                    else:
+                        out.append((key, doc, start + i, key, 1, None))
+            if out:
+                columns = zip(*out, strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(c, f.type) for c, f in zip(columns, batch.schema, strict=True)],
+                    names=batch.schema.names,
+                )
+
+    often = super_kmers.where("s IS NOT NULL").groupBy("h").count().where(F.col("count") > FREQUENT)
+    often = saved(often.select("h"))
+    n = often.count()
+    if not n:
+        return super_kmers
+    often = F.broadcast(often) if n <= SENT_MINIMISERS else often
+    compared = super_kmers.where("s IS NOT NULL")
+    windows = compared.join(often, "h", "left_semi").mapInArrow(cut, super_kmers.schema)
+    rest = compared.join(often, "h", "left_anti").unionByName(super_kmers.where("s IS NULL"))
+    return rest.unionByName(windows)
+
+
+def _word_bounds(s: bytes) -> tuple[list[int], list[int]]:
+    ends = [i for i, c in enumerate(s) if c == 32]
+    return [0, *(e + 1 for e in ends)], [*ends, len(s)]
+
+
 def _repeated(super_kmers: DataFrame, window: int) -> DataFrame:
     """``_key, _data``: packed ranges of windows that repeat an earlier one."""
     buckets = 8 * _parts(super_kmers)
@@ -306,9 +361,7 @@ def _windows(group: list[tuple], window: int, out: list[tuple]) -> None:
         if place != (doc, start):
             out.append((key, start, n))
             continue
-        ends = [i for i, c in enumerate(s) if c == 32]
-        begins = [0, *(e + 1 for e in ends)]
-        ends.append(len(s))
+        begins, ends = _word_bounds(s)
         since = -1
         for i in range(n):
             w = s[begins[i] : ends[i + window - 1]]
@@ -336,7 +389,8 @@ def remove_repeats(
     keyed = docs.select(row_key, F.col(doc_id).cast("bigint").alias("_doc"), F.col(text).alias("text"))
     shared = saved(_shared_minimisers(keyed, window, gram))
     marked = _joined(keyed, shared, "inner")
-    repeats = saved(_repeated(_super_kmers(marked, window, gram), window))
+    super_kmers = saved(_super_kmers(marked, window, gram))
+    repeats = saved(_repeated(_dealt_again(super_kmers, window), window))
     out = _joined(docs.withColumn("__llm_key", row_key), repeats, "left").select(*given, "__llm_data")
     position = given.index(text)
     schema = docs.selectExpr("*", "0L AS n_words", "0L AS n_removed", "'' AS kept_text").schema

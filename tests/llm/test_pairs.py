@@ -91,6 +91,29 @@ def test_repeats(spark, monkeypatch, sent_bytes):
     assert sorted(got, key=repr) == sorted(_kept(rows, 20), key=repr)
 
 
+@pytest.mark.parametrize("sent", [1 << 20, -1])
+def test_repeats_of_frequent_minimisers(spark, monkeypatch, sent):
+    monkeypatch.setattr(repeats, "FREQUENT", 3)
+    monkeypatch.setattr(repeats, "SENT_MINIMISERS", sent)
+    rows = texts(3, 120)
+    found = repeats.remove_repeats(frame(spark, rows))
+    got = [tuple(r) for r in found.select("doc_id", "n_words", "n_removed", "kept_text").collect()]
+    assert sorted(got, key=repr) == sorted(_kept(rows, 20), key=repr)
+
+
+def test_stock_line_fills_no_bucket(spark, monkeypatch):
+    monkeypatch.setattr(repeats, "FREQUENT", 50)
+    line = " ".join(f"stock{i}" for i in range(8))
+    rows = [(i, " ".join(f"u{i}x{j}" for j in range(20)) + f" {line} " + " ".join(f"v{i}x{j}" for j in range(20))) for i in range(400)]
+    keyed = frame(spark, rows).selectExpr("xxhash64(doc_id, text) AS __llm_key", "doc_id AS _doc", "text")
+    shared = repeats._shared_minimisers(keyed, 20, 6)
+    packed = repeats.saved(repeats._super_kmers(keyed.join(shared, "__llm_key"), 20, 6))
+    assert max(r["count"] for r in packed.groupBy("h").count().collect()) > 100
+    again = repeats._dealt_again(packed, 20)
+    assert max(r["count"] for r in again.groupBy("h").count().collect()) <= 50
+    assert again.agg({"n": "sum"}).first() == packed.agg({"n": "sum"}).first()
+
+
 def test_windows_repeat_within_one_run(spark):
     rows = [(1, "a " * 21), (2, "b c " * 30), (3, " ".join(f"u{i}" for i in range(40)) + " z" * 50)]
     found = repeats.remove_repeats(frame(spark, rows))
