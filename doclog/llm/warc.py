@@ -7,7 +7,7 @@ The index has a line per record: its sort key (host labels reversed, then the
 path), page, file, offset, length. Lines are sorted by key and cut into blocks
 of a fixed number of lines, compressed one by one; a sparse directory holds the
 first key of each block. A lookup searches the directory by bisection, opens
-one block (more if a key spans several), and reads the records' byte ranges.
+one block (more if a key spans several). Records are cut from files read whole.
 
 Cases: a null payload is empty, and empty payloads are equal like any others; a
 null address is an empty one; of equal payloads the greatest page id is the
