@@ -4,7 +4,19 @@ import sys
 
 from pyspark import cloudpickle
 
-from . import decontaminate, fingerprint, language, lm, ngram_join, packing, pii, repeats, toxicity, warc  # noqa: F401
+from . import (  # noqa: F401
+    decontaminate,
+    fingerprint,
+    language,
+    lm,
+    ngram_join,
+    packing,
+    pii,
+    repeats,
+    spelling,
+    toxicity,
+    warc,
+)
 from .registry import CHECKS, QUERIES
 
 __all__ = ["CHECKS", "QUERIES"]
