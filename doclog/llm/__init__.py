@@ -5,6 +5,7 @@ import sys
 from pyspark import cloudpickle
 
 from . import (  # noqa: F401
+    alignment,
     decontaminate,
     fingerprint,
     language,
