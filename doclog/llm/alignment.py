@@ -48,8 +48,8 @@ FAN_IN = 32
 MAX_SENT = 1 << 21
 # Distinct pairs that a task holds before it gives out its sums.
 HELD_PAIRS = 1 << 20
-# Text that is encoded at once.
-CHUNK_CHARS = 1 << 20
+# Text that is encoded at once, and ids that are aligned at once.
+CHUNK_BYTES = 1 << 18
 
 
 def _saved(df: DataFrame) -> DataFrame:
@@ -101,48 +101,45 @@ class TwoTokenizers:
         self._path, self._slow = first, None
         self._fast = _fast_encoding(ranks, pattern) if ranks else None
         self._second = SentencePieceProcessor(model_file=second)
-        self.a_bytes, self.b_bytes = byte_level_entries(first), piece_entries(second)
 
-    def _first(self, text: str) -> list[int]:
+    def _first(self, text: str) -> np.ndarray:
         if self._fast and _PLAIN.fullmatch(text):
-            return self._fast.encode(text, allowed_special=set(), disallowed_special=())
+            return self._fast.encode_to_numpy(text, allowed_special=set(), disallowed_special=())
         if self._slow is None:
             from tokenizers import Tokenizer
 
             self._slow = Tokenizer.from_file(self._path)
             self._slow.encode_special_tokens = True
-        return self._slow.encode(text, add_special_tokens=False).ids
-
-    def encode(self, texts: list[str | None]) -> Iterator[tuple[list[int], list[int]]]:
-        """The ids of each text under both, or two empty lists."""
-        at = 0
-        while at < len(texts):
-            end, chars = at, 0
-            while end < len(texts) and (end == at or chars < CHUNK_CHARS):
-                chars += len(texts[end] or "")
-                end += 1
-            pieces = self._second.encode([t or "" for t in texts[at:end]], num_threads=1)
-            for text, b in zip(texts[at:end], pieces, strict=True):
-                a = self._first(" " + text) if text else []
-                raw = b" " + text.encode() if text else b""
-                same = raw == b"".join(map(self.b_bytes.__getitem__, b))
-                same = same and raw == b"".join(map(self.a_bytes.__getitem__, a))
-                yield (a, b) if same else ([], [])
-            at = end
+        return np.array(self._slow.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def encode(self, texts: list[str], a_bytes: list[bytes], b_bytes: list[bytes]) -> list[tuple[bytes, bytes]]:
+        """The ids of each text under both, two bytes an id, or nothing."""
+        out = []
+        for text, b in zip(texts, self._second.encode(texts, num_threads=1), strict=True):
+            raw = b" " + text.encode()
+            if text and raw == b"".join(map(b_bytes.__getitem__, b)):
+                a = self._first(" " + text)
+                if raw == b"".join(map(a_bytes.__getitem__, a.tolist())):
+                    out.append((a.astype("<u2").tobytes(), np.array(b, "<u2").tobytes()))
+                    continue
+            out.append((b"", b""))
+        return out
 
 
 def encoded(docs: DataFrame, files: tuple, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, a, b``: the ids of each text under both, as bytes."""
     kind = docs.schema[doc_id].dataType.simpleString()
+    sent = send(docs.sparkSession.sparkContext, (byte_level_entries(files[0]), piece_entries(files[3])))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = TwoTokenizers(*files)
+        both, entries = TwoTokenizers(*files), received(sent)
         for batch in batches:
-            pairs = list(both.encode(batch.column(1).to_pylist()))
-            blobs = [
-                pa.array([np.array(p[side], "<u2").tobytes() for p in pairs], pa.binary()) for side in (0, 1)
-            ]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *blobs], names=["doc_id", "a", "b"])
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy()
+            for lo, hi in chunks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), CHUNK_BYTES):
+                part = batch.slice(lo, hi - lo)
+                found = both.encode([t or "" for t in part.column(1).to_pylist()], *entries)
+                blobs = [pa.array([ids[side] for ids in found], pa.binary()) for side in (0, 1)]
+                yield pa.RecordBatch.from_arrays([part.column(0), *blobs], names=["doc_id", "a", "b"])
 
     return docs.select(doc_id, text).mapInArrow(encode, f"doc_id {kind}, a binary, b binary")
 
@@ -151,7 +148,7 @@ def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The same rows in pieces of bounded size, by the bytes of their ids ``a``."""
     for batch in batches:
         sizes = pc.binary_length(batch.column("a")).to_numpy()
-        for lo, hi in chunks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])):
+        for lo, hi in chunks(np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)]), CHUNK_BYTES):
             yield batch.slice(lo, hi - lo)
 
 

@@ -77,7 +77,7 @@ def test_against_plain_loop(spark, monkeypatch, sent, bucket, fan):
     monkeypatch.setattr(alignment, "BUCKET_PAIRS", bucket)
     monkeypatch.setattr(alignment, "FAN_IN", fan)
     monkeypatch.setattr(alignment, "HELD_PAIRS", 60 if fan == 2 else 1 << 20)
-    monkeypatch.setattr(alignment, "CHUNK_CHARS", 500)
+    monkeypatch.setattr(alignment, "CHUNK_BYTES", 500)
     rows = texts(3, 40) + [(1000 + i, t) for i, t in enumerate(ODD)]
     found = alignment.align(frame(spark, rows, parts=7), alignment.public_files())
     assert found.columns[:4] == ["doc_id", "n_a", "n_b", "n_groups"]
