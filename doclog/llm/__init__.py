@@ -6,6 +6,7 @@ from pyspark import cloudpickle
 
 from . import (  # noqa: F401
     alignment,
+    credentials,
     decontaminate,
     fingerprint,
     language,
