@@ -49,3 +49,10 @@ def new_keys_only(
         common = known.join(F.broadcast(keys), "_key", "left_semi").distinct()
         return one_per_key(batch.join(F.broadcast(common), "_key", "left_anti"))
     return one_per_key(batch).join(known, "_key", "left_anti").select("doc", "_key")
+
+
+def without_keys_of(rows: DataFrame, files: list[str]) -> DataFrame:
+    """The rows whose ``_key`` is in none of some files of documents."""
+    keys = rows.sparkSession.read.schema("_key STRING").parquet(*files).where("_key IS NOT NULL")
+    keyed, keyless = rows.where("_key IS NOT NULL"), rows.where("_key IS NULL")
+    return keyed.join(keys, "_key", "left_anti").select(*rows.columns).unionByName(keyless)

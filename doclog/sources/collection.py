@@ -16,9 +16,10 @@ from pyspark.sql import types as T
 
 from ..operators.decode import as_schema, decode_strict
 from ..operators.infer import infer_majority_schema
-from ..operators.keyed import new_keys_only, one_per_key, with_key
+from ..operators.keyed import new_keys_only, with_key, without_keys_of
+from .commits import opened
 from .options import Options, collection_options, collection_path
-from .storage import delete, exists, grouped, publish, scratch_folder
+from .storage import delete, exists, grouped, is_published, publish, scratch_folder
 
 DOCUMENT_SCHEMA = "doc STRING, _key STRING, load STRING"
 _HAS_KEY, _NO_KEY = "_key IS NOT NULL", "_key IS NULL"
@@ -85,14 +86,15 @@ def read_collection(
     return decode_results(results, as_schema(schema) if schema is not None else None)
 
 
-def _write(df: DataFrame, options: Options, load: str) -> bool:
-    def write(path: str) -> None:
-        writer = df.write.mode("overwrite")
-        if options.get("batchSize") is not None:
-            writer = grouped(writer, options.batch_size)
-        writer.parquet(path)
+def _writer(options: Options):
+    """How the rows of an append are written."""
 
-    return publish(df.sparkSession, collection_path(options), f"load={load}", write)
+    def prepare(rows: DataFrame):
+        if options.get("batchSize") is None:
+            return rows.write
+        return grouped(rows.write, options.batch_size)
+
+    return prepare
 
 
 def append_collection(
@@ -102,32 +104,34 @@ def append_collection(
 
     With the option ``primaryKey`` that column becomes the key: of rows with
     the same key one is kept, a key that is stored already keeps its stored
-    document, and rows without a key are appended like unkeyed ones. ``load``
-    names the append; one that was done before is not done again, and False is
-    returned.
+    document, and rows without a key are appended like unkeyed ones. This holds
+    for writers that append at the same time, too: what another has committed
+    meanwhile is left out before the append counts. ``load`` names the append;
+    one that was done before is not done again, and False is returned.
     """
     spark = df.sparkSession
     checked = collection_options(options)
     checked.batch_size  # noqa: B018 - raises on a bad value
     stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    load = load or f"{stamp}-{uuid.uuid4().hex[:8]}"
+    part = f"load={load or f'{stamp}-{uuid.uuid4().hex[:8]}'}"
     path = collection_path(checked)
-    if exists(spark, f"{path}/load={load}/_SUCCESS"):
-        return False
     primary_key = checked.get("primaryKey") or None
+    rows = with_key(df, primary_key)
+    if is_published(spark, path, part):
+        return False
     if primary_key is None:
-        return _write(with_key(df, None), checked, load)
+        return publish(rows, path, part, _writer(checked))
     # The batch is used several times, and may be costly or give other rows when
     # it is read again: write it once where every executor can read it.
     staged = scratch_folder(spark)
     try:
-        with_key(df, primary_key).write.parquet(staged)
+        rows.write.parquet(staged)
         batch = spark.read.schema("doc STRING, _key STRING").parquet(staged)
-        keyed = batch.where(_HAS_KEY)
-        if exists(spark, path):
-            fresh = new_keys_only(keyed, documents(spark, checked).where(_HAS_KEY))
-        else:
-            fresh = one_per_key(keyed)
-        return _write(fresh.unionByName(batch.where(_NO_KEY)), checked, load)
+        known = opened(spark, path).version
+        stored = documents(spark, checked).where(_HAS_KEY)
+        fresh = new_keys_only(batch.where(_HAS_KEY), stored)
+        return publish(
+            fresh.unionByName(batch.where(_NO_KEY)), path, part, _writer(checked), known, without_keys_of
+        )
     finally:
         delete(spark, staged)

@@ -1,4 +1,4 @@
-"""Folders of tables: look-up, scratch space and publishing in one step.
+"""Folders of tables: look-up, scratch space and publishing.
 
 All of it goes through the Hadoop file system of the path, so it works on any
 store that Spark itself can read.
@@ -7,66 +7,116 @@ store that Spark itself can read.
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
-_DONE = "_SUCCESS"
-_PENDING = "_pending"
+from .commits import Commits, files_below, hadoop_path, opened
 
+_DONE = "_SUCCESS"
 
-def _path(spark: SparkSession, path: str):
-    java_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return java_path, java_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+Prepare = Callable[[DataFrame], DataFrameWriter]
+Renew = Callable[[DataFrame, list[str]], DataFrame]
 
 
 def exists(spark: SparkSession, path: str) -> bool:
-    java_path, fs = _path(spark, path)
+    java_path, fs = hadoop_path(spark, path)
     return fs.exists(java_path)
 
 
 def delete(spark: SparkSession, path: str) -> None:
-    java_path, fs = _path(spark, path)
+    java_path, fs = hadoop_path(spark, path)
     fs.delete(java_path, True)
 
 
 def folders(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     """Names and times of the ``name=value`` folders below ``path``."""
-    java_path, fs = _path(spark, path)
+    java_path, fs = hadoop_path(spark, path)
     found = [(s.getPath().getName(), s.getModificationTime()) for s in fs.listStatus(java_path)]
     return [(name, time) for name, time in found if "=" in name]
 
 
 def is_published(spark: SparkSession, root: str, part: str) -> bool:
-    return exists(spark, f"{root}/{part}/{_DONE}")
+    """Whether files of the folder ``part`` of ``root`` are committed."""
+    if not exists(spark, f"{root}/{part}"):
+        return False
+    log = Commits(spark, root)
+    if log.version < 0:
+        return exists(spark, f"{root}/{part}/{_DONE}")
+    return any(f"/{part}/" in path for path in log.files())
 
 
 def publish(
-    spark: SparkSession, root: str, part: str, write: Callable[[str], None]
+    rows: DataFrame,
+    root: str,
+    part: str,
+    prepare: Prepare = lambda rows: rows.write,
+    known: int | None = None,
+    renew: Renew | None = None,
 ) -> bool:
-    """Write the folder ``part`` of ``root`` so that readers see all of it or none.
+    """Write rows into the folder ``part`` of ``root`` so that readers see all of them or none.
 
-    ``write`` gets a hidden folder beside the target. When it is done that
-    folder is renamed, which the file systems that Spark runs on do in one
-    step. A part that was published before is left as it is: the caller's
-    second try changes nothing, and a streaming reader meets no new files. A
-    part left incomplete by a store without such a rename is written anew.
+    The files get names of their own and count once they are committed. A part
+    that was committed before, also by another writer meanwhile, is left as it
+    is: the caller's second try changes nothing, and a streaming reader meets no
+    new files.
+
+    Rows that depend on what is stored were made from entry ``known`` of the log.
+    If others have committed since, ``renew`` gets the rows as written and the
+    files of the others, and its result is written in their place.
     """
+    spark = rows.sparkSession
+    log = opened(spark, root)
+    known = log.version if known is None else known
     if is_published(spark, root, part):
         return False
-    pending, target = f"{root}/{_PENDING}/{part}", f"{root}/{part}"
-    write(pending)
-    if exists(spark, target):
-        delete(spark, target)
-    java_pending, fs = _path(spark, pending)
-    java_target, _ = _path(spark, target)
-    fs.mkdirs(java_target.getParent())
-    if not fs.rename(java_pending, java_target):
-        raise OSError(f"Could not publish {target}")
+    written = _write(rows, f"{root}/{part}", prepare)
+    while not log.add(known + 1, written):
+        others, known = log.files(known), log.version
+        if is_published(spark, root, part):
+            _drop(spark, written)
+            return False
+        if renew is not None and written and others:
+            paths = [state.getPath().toString() for state in written]
+            left = renew(spark.read.schema(rows.schema).parquet(*paths), others)
+            again = _write(left, f"{root}/{part}", prepare)
+            _drop(spark, written)
+            written = again
     return True
 
 
+def _write(rows: DataFrame, folder: str, prepare: Prepare) -> list:
+    """Write rows under file names of their own and give the files' states."""
+    name = f"part-{uuid.uuid4().hex}"
+    prepare(rows).mode("append").option("mapreduce.output.basename", name).parquet(folder)
+    return files_below(rows.sparkSession, folder, name)
+
+
+def _drop(spark: SparkSession, states: list) -> None:
+    for state in states:
+        delete(spark, state.getPath().toString())
+
+
+def remove_leftovers(spark: SparkSession, root: str, older_than: float) -> int:
+    """Delete files that no entry of the log names and that are older than some seconds.
+
+    They are left by appends that failed. The age must exceed the time of any
+    append that is still running.
+    """
+    log = opened(spark, root)
+    found = files_below(spark, root)
+    committed = set(log.files())
+    limit = (time.time() - older_than) * 1000
+    left = [
+        state for state in found
+        if state.getPath().toString() not in committed and state.getModificationTime() < limit
+    ]
+    _drop(spark, left)
+    return len(left)
+
+
 # Fixed value: after this many rows the file format first looks at a page's size.
 _FIRST_LOOK = 100
 

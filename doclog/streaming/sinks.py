@@ -32,9 +32,7 @@ def write_ledger(batch: DataFrame, path: str, partition_index: int, ledger_id: i
         F.monotonically_increasing_id().alias("entry_id"), "payload"
     )
     part = f"partition_index={partition_index}/ledger_id={ledger_id}"
-    return publish(
-        batch.sparkSession, path, part, lambda p: rows.write.mode("overwrite").parquet(p)
-    )
+    return publish(rows, path, part)
 
 
 def _checkpoint(spark: SparkSession, options: Options, target: str, prefix: str) -> str:

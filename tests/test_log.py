@@ -23,6 +23,7 @@ from doclog import (
 )
 from doclog.functions import offset_from_json, offset_to_json
 from doclog.sources import log_options, log_path, offset_bounds
+from doclog.sources.storage import publish
 from doclog.streaming import write_ledger
 
 
@@ -37,9 +38,9 @@ def put(spark, options, ledger, rows, partition=0):
 
 
 def put_text(spark, options, ledger, texts, partition=0):
-    folder = f"{log_path(log_options(options))}/partition_index={partition}/ledger_id={ledger}"
     rows = [(i, bytearray(t.encode())) for i, t in enumerate(texts)]
-    spark.createDataFrame(rows, "entry_id bigint, payload binary").coalesce(1).write.parquet(folder)
+    rows = spark.createDataFrame(rows, "entry_id bigint, payload binary").coalesce(1)
+    publish(rows, log_path(log_options(options)), f"partition_index={partition}/ledger_id={ledger}")
 
 
 def ids(log):
