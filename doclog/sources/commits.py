@@ -29,16 +29,21 @@ def hadoop_path(spark: SparkSession, path: str):
 
 
 def files_below(spark: SparkSession, path: str, prefix: str = "") -> list:
-    """The states of the visible files below a folder whose names start with ``prefix``."""
+    """The states of the visible files below a folder whose names start with ``prefix``.
+
+    Hidden folders are not entered: others may be at work there.
+    """
     java_path, fs = hadoop_path(spark, path)
     if not fs.exists(java_path):
         return []
-    above = len(fs.makeQualified(java_path).toString())
-    found, files = [], fs.listFiles(java_path, True)
-    while files.hasNext():
-        state = files.next()
-        parts = state.getPath().toString()[above:].strip("/").split("/")
-        if parts[-1].startswith(prefix) and not any(p.startswith(("_", ".")) for p in parts):
+    found = []
+    for state in fs.listStatus(java_path):
+        name = state.getPath().getName()
+        if name.startswith(("_", ".")):
+            continue
+        if state.isDirectory():
+            found += files_below(spark, state.getPath().toString(), prefix)
+        elif name.startswith(prefix):
             found.append(state)
     return found
 

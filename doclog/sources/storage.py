@@ -13,7 +13,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
-from .commits import Commits, files_below, hadoop_path, opened
+from .commits import LOG_FOLDER, Commits, files_below, hadoop_path, opened
 
 _DONE = "_SUCCESS"
 
@@ -42,10 +42,10 @@ def is_published(spark: SparkSession, root: str, part: str) -> bool:
     """Whether files of the folder ``part`` of ``root`` are committed."""
     if not exists(spark, f"{root}/{part}"):
         return False
-    log = Commits(spark, root)
-    if log.version < 0:
+    # to open a log is to begin it, and a folder from before has none
+    if not exists(spark, f"{root}/{LOG_FOLDER}"):
         return exists(spark, f"{root}/{part}/{_DONE}")
-    return any(f"/{part}/" in path for path in log.files())
+    return any(f"/{part}/" in path for path in Commits(spark, root).files())
 
 
 def publish(
