@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.encode import quoted, row_to_json
 
 # Keys that are sent to every task may take this much memory, no more.
 BROADCAST_KEY_BYTES = 32 * 1024 * 1024
+# Groups of key folders that one append looks up one by one, at most.
+MOST_GROUPS = 4
 
 
 def with_key(df: DataFrame, primary_key: str | None) -> DataFrame:
@@ -51,6 +53,65 @@ def new_keys_only(
     return one_per_key(batch).join(known, "_key", "left_anti").select("doc", "_key")
 
 
+def key_bucket(buckets: int) -> Column:
+    """The folder of a ``_key`` among ``buckets`` folders; -1 for rows without a key."""
+    place = F.pmod(F.xxhash64("_key"), F.lit(buckets)).cast("int")
+    return F.when(F.col("_key").isNotNull(), place).otherwise(-1)
+
+
+def in_buckets(rows: DataFrame, buckets: int) -> DataFrame:
+    """Add ``bucket`` and move keyed rows so that each folder is written by one task.
+
+    Rows without a key, which may be most of all rows, stay where they are.
+    """
+    rows = rows.withColumn("bucket", key_bucket(buckets))
+    return rows.where("bucket >= 0").repartition("bucket").unionByName(rows.where("bucket < 0"))
+
+
+def bucket_groups(key_bytes_of: dict[int, int], limit: int) -> list[list[int]]:
+    """Buckets in groups whose keys take ``limit`` bytes at most, or single ones that take more."""
+    groups, room = [], 0
+    for bucket in sorted(key_bytes_of):
+        size = key_bytes_of[bucket]
+        if not groups or size > room:
+            groups.append([])
+            room = limit
+        groups[-1].append(bucket)
+        room -= size
+    return groups
+
+
+def new_keys_in_buckets(
+    batch: DataFrame, stored: DataFrame, buckets: int, broadcast_limit: int = BROADCAST_KEY_BYTES
+) -> DataFrame:
+    """The same as ``new_keys_only`` where stored keys lie in folders by ``bucket``.
+
+    Only folders in which the batch has keys are read. The batch's keys go to
+    them group by group of folders, so stored keys are not shuffled however many
+    keys the batch has, up to ``MOST_GROUPS`` groups. A folder alone whose keys
+    are too many to be sent, and batches of more groups, are joined by shuffle.
+    """
+    batch = batch.withColumn("bucket", key_bucket(buckets))
+    size = F.sum(F.octet_length("_key") + F.lit(64)).alias("size")
+    found = {row.bucket: row.size for row in batch.groupBy("bucket").agg(size).collect()}
+    if not found:
+        return one_per_key(batch)
+    known = stored.where(F.col("bucket").isin(sorted(found))).select("_key", "bucket")
+    groups = bucket_groups(found, broadcast_limit)
+    large = [g[0] for g in groups if len(g) == 1 and found[g[0]] > broadcast_limit]
+    if large or len(groups) > MOST_GROUPS:
+        fresh = one_per_key(batch).join(known.select("_key"), "_key", "left_anti")
+        return fresh.select("doc", "_key")
+    common = None
+    for group in groups:
+        inside = F.col("bucket").isin(group)
+        keys = batch.where(inside).select("_key").distinct()
+        part = known.where(inside).select("_key").join(F.broadcast(keys), "_key", "left_semi").distinct()
+        common = part if common is None else common.unionByName(part)
+    common = F.broadcast(common) if len(groups) == 1 else common
+    return one_per_key(batch.join(common, "_key", "left_anti"))
+
+
 def without_keys_of(rows: DataFrame, files: list[str]) -> DataFrame:
     """The rows whose ``_key`` is in none of some files of documents."""
     keys = rows.sparkSession.read.schema("_key STRING").parquet(*files).where("_key IS NOT NULL")

@@ -1,7 +1,9 @@
 """Collections: tables of JSON documents, read and appended to.
 
 A collection is a folder of Parquet files with ``doc`` (the JSON text) and
-``_key`` (its key, or null), in one sub-folder ``load=<name>`` per append.
+``_key`` (its key, or null), in one sub-folder ``load=<name>`` per append. A
+collection begun with the option ``keyBuckets`` deals the files of each append
+into folders ``bucket=<n>`` by a hash of the key; the number stays.
 """
 
 from __future__ import annotations
@@ -16,10 +18,26 @@ from pyspark.sql import types as T
 
 from ..operators.decode import as_schema, decode_strict
 from ..operators.infer import infer_majority_schema
-from ..operators.keyed import new_keys_only, with_key, without_keys_of
+from ..operators.keyed import (
+    in_buckets,
+    new_keys_in_buckets,
+    new_keys_only,
+    with_key,
+    without_keys_of,
+)
 from .commits import opened
 from .options import Options, collection_options, collection_path
-from .storage import delete, exists, grouped, is_published, publish, scratch_folder
+from .storage import (
+    delete,
+    exists,
+    folders,
+    grouped,
+    is_published,
+    mark,
+    marks,
+    publish,
+    scratch_folder,
+)
 
 DOCUMENT_SCHEMA = "doc STRING, _key STRING, load STRING"
 _HAS_KEY, _NO_KEY = "_key IS NOT NULL", "_key IS NULL"
@@ -31,7 +49,7 @@ def documents(spark: SparkSession, options: Mapping[str, object]) -> DataFrame:
     path = collection_path(checked)
     if not exists(spark, path):
         raise ValueError(f"Collection {checked['collection']} does not exist at {path}")
-    return spark.read.schema(DOCUMENT_SCHEMA).parquet(path)
+    return spark.read.schema(DOCUMENT_SCHEMA).parquet(path).select("doc", "_key", "load")
 
 
 def query_results(spark: SparkSession, query: str, collection: DataFrame) -> DataFrame:
@@ -86,13 +104,36 @@ def read_collection(
     return decode_results(results, as_schema(schema) if schema is not None else None)
 
 
-def _writer(options: Options):
+_BUCKETS = "keyBuckets"
+
+
+def stored_key_buckets(spark: SparkSession, path: str) -> int | None:
+    """The number of key folders of a collection, a property of it; None if it has none."""
+    found = marks(spark, path, _BUCKETS)
+    if len(found) > 1:
+        raise ValueError(f"{path} was begun twice, with {' and '.join(found)} key folders")
+    return int(found[0]) if found else None
+
+
+def _key_buckets(spark: SparkSession, path: str, options: Options) -> int | None:
+    """The same, set from the options if the collection is new."""
+    wanted, stored = options.key_buckets, stored_key_buckets(spark, path)
+    if wanted is None or wanted == stored:
+        return stored
+    if stored is None and not (exists(spark, path) and folders(spark, path)):
+        mark(spark, path, _BUCKETS, str(wanted))
+        return stored_key_buckets(spark, path)
+    raise ValueError(f"{path} has {stored or 'no'} key folders, which cannot be changed")
+
+
+def _writer(options: Options, buckets: int | None):
     """How the rows of an append are written."""
 
     def prepare(rows: DataFrame):
+        writer = rows.write if buckets is None else in_buckets(rows, buckets).write.partitionBy("bucket")
         if options.get("batchSize") is None:
-            return rows.write
-        return grouped(rows.write, options.batch_size)
+            return writer
+        return grouped(writer, options.batch_size)
 
     return prepare
 
@@ -119,8 +160,9 @@ def append_collection(
     rows = with_key(df, primary_key)
     if is_published(spark, path, part):
         return False
+    buckets = _key_buckets(spark, path, checked)
     if primary_key is None:
-        return publish(rows, path, part, _writer(checked))
+        return publish(rows, path, part, _writer(checked, buckets))
     # The batch is used several times, and may be costly or give other rows when
     # it is read again: write it once where every executor can read it.
     staged = scratch_folder(spark)
@@ -128,10 +170,13 @@ def append_collection(
         rows.write.parquet(staged)
         batch = spark.read.schema("doc STRING, _key STRING").parquet(staged)
         known = opened(spark, path).version
-        stored = documents(spark, checked).where(_HAS_KEY)
-        fresh = new_keys_only(batch.where(_HAS_KEY), stored)
-        return publish(
-            fresh.unionByName(batch.where(_NO_KEY)), path, part, _writer(checked), known, without_keys_of
-        )
+        stored = spark.read.schema(DOCUMENT_SCHEMA + ", bucket INT").parquet(path).where(_HAS_KEY)
+        keyed = batch.where(_HAS_KEY)
+        if buckets is None:
+            fresh = new_keys_only(keyed, stored)
+        else:
+            fresh = new_keys_in_buckets(keyed, stored, buckets)
+        rows = fresh.unionByName(batch.where(_NO_KEY))
+        return publish(rows, path, part, _writer(checked, buckets), known, without_keys_of)
     finally:
         delete(spark, staged)

@@ -23,6 +23,9 @@ LOG_WRITE_OPTIONS = LOG_READ_OPTIONS[:-1]
 REPLICATION = ("global", "local")
 BATCH_SIZE_MIN, BATCH_SIZE_MAX, BATCH_SIZE_DEFAULT = 1, 10000, 100
 
+# How many key folders a collection may have.
+KEY_BUCKETS_MAX = 4096
+
 DEFAULT_QUERY = "SELECT doc FROM {collection}"
 
 
@@ -69,6 +72,16 @@ class Options(Mapping[str, str]):
             )
         return size
 
+    @property
+    def key_buckets(self) -> int | None:
+        """The number of key folders that a new collection gets; none if not given."""
+        if self.get("keyBuckets") is None:
+            return None
+        buckets = int(self["keyBuckets"])
+        if not 1 <= buckets <= KEY_BUCKETS_MAX:
+            raise ValueError(f"keyBuckets should be from 1 to {KEY_BUCKETS_MAX}")
+        return buckets
+
     @property
     def is_collection_stream(self) -> bool:
         return self.get("isCollectionStream", "false").lower() == "true"

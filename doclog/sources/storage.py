@@ -38,6 +38,20 @@ def folders(spark: SparkSession, path: str) -> list[tuple[str, int]]:
     return [(name, time) for name, time in found if "=" in name]
 
 
+def marks(spark: SparkSession, path: str, name: str) -> list[str]:
+    """The values of the empty files ``_<name>=<value>`` in a folder."""
+    java_path, fs = hadoop_path(spark, path)
+    if not fs.exists(java_path):
+        return []
+    found = [s.getPath().getName() for s in fs.listStatus(java_path)]
+    return sorted(n.partition("=")[2] for n in found if n.startswith(f"_{name}="))
+
+
+def mark(spark: SparkSession, path: str, name: str, value: str) -> None:
+    java_path, fs = hadoop_path(spark, f"{path}/_{name}={value}")
+    fs.create(java_path, True).close()
+
+
 def is_published(spark: SparkSession, root: str, part: str) -> bool:
     """Whether files of the folder ``part`` of ``root`` are committed."""
     if not exists(spark, f"{root}/{part}"):

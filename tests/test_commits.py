@@ -11,7 +11,7 @@ from doclog import append_collection, documents, latest_offset, messages, read_c
 from doclog.sources import collection_options, collection_path, log_options, log_path
 from doclog.sources import commits
 from doclog.sources.commits import Commits
-from doclog.sources.storage import publish, remove_leftovers
+from doclog.sources.storage import remove_leftovers
 from doclog.streaming import write_ledger
 
 
@@ -150,17 +150,3 @@ def test_a_folder_from_before_the_log_stays_readable(spark, tmp_path):
     assert append_collection(spark.range(3).selectExpr("id AS v"), options, load="b") is True
     assert append_collection(spark.range(9).selectExpr("id AS v"), options, load="a") is False
     assert documents(spark, options).count() == 7
-
-
-def test_a_failure_is_not_taken_for_another_writer(spark, tmp_path, monkeypatch):
-    root = str(tmp_path / "r")
-    publish(spark.range(1), root, "load=a")
-    os.chmod(f"{root}/_spark_metadata", 0o500)
-    log = Commits(spark, root)
-    try:
-        if os.access(f"{root}/_spark_metadata", os.W_OK):
-            pytest.skip("this user may write everywhere")
-        with pytest.raises(Exception, match="ermission"):
-            log.add(2, [])
-    finally:
-        os.chmod(f"{root}/_spark_metadata", 0o700)
