@@ -11,7 +11,11 @@ from .operators import (
     infer_majority_schema,
 )
 from .sources import (
+    Covered,
+    acknowledge,
     append_collection,
+    covered,
+    cursor,
     documents,
     infer_log_schema,
     latest_offset,
@@ -20,18 +24,23 @@ from .sources import (
     read_log,
     stream_log,
 )
-from .streaming import write_collection, write_log
+from .streaming import follow_log, write_collection, write_log
 
 __all__ = [
+    "Covered",
     "EARLIEST",
     "Offset",
+    "acknowledge",
     "append_collection",
     "array_results",
+    "covered",
+    "cursor",
     "decode_lenient",
     "decode_strict",
     "documents",
     "encode_documents",
     "encode_messages",
+    "follow_log",
     "infer_first_message_schema",
     "infer_log_schema",
     "infer_majority_schema",

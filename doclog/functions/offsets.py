@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from typing import NamedTuple
 
 from pyspark.sql import Column
@@ -36,14 +37,33 @@ def _literal(offset: Offset) -> Column:
     )
 
 
-def in_range(start: Offset | None, end: Offset | None) -> Column:
+def after_each(cursor: Mapping[int, Offset]) -> Column:
+    """True for messages after the offset of their partition index, if it has one.
+
+    Ledgers of two partition indexes are numbered apart, so one offset for all
+    would leave out messages of the slower one.
+    """
+    index, ledger = F.col("partition_index"), F.col("ledger_id")
+    condition = ~index.isin([int(p) for p in cursor])
+    for partition, last in cursor.items():
+        after = (ledger > last.ledger_id) | (
+            (ledger == last.ledger_id) & (F.col("entry_id") > last.entry_id)
+        )
+        # the bound on the ledger alone is for the scan
+        condition = condition | ((index == partition) & (ledger >= last.ledger_id) & after)
+    return condition
+
+
+def in_range(start: Offset | Mapping[int, Offset] | None, end: Offset | None) -> Column:
     """True for messages after ``start`` and up to ``end``.
 
     The bounds on ``ledger_id`` alone say nothing new about the rows; they are
     there for the scan, which prunes ledger directories by them.
     """
     condition = F.lit(True)
-    if start is not None:
+    if isinstance(start, Mapping):
+        condition = condition & after_each(start)
+    elif start is not None:
         condition = (
             condition
             & (F.col("ledger_id") >= start.ledger_id)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -117,3 +120,12 @@ def without_keys_of(rows: DataFrame, files: list[str]) -> DataFrame:
     keys = rows.sparkSession.read.schema("_key STRING").parquet(*files).where("_key IS NOT NULL")
     keyed, keyless = rows.where("_key IS NOT NULL"), rows.where("_key IS NULL")
     return keyed.join(keys, "_key", "left_anti").select(*rows.columns).unionByName(keyless)
+
+
+def first_of_batch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of the rows of a key in each Arrow batch the first, so a hot key is thinned out early."""
+    for batch in batches:
+        keys = batch.column(batch.schema.get_field_index("_key"))
+        numbered = pa.table({"key": keys, "row": pa.array(range(len(batch)), pa.int64())})
+        first = numbered.group_by("key").aggregate([("row", "min")]).column("row_min")
+        yield batch.take(first.combine_chunks())

@@ -7,6 +7,7 @@ from .collection import (
     query_results,
     read_collection,
 )
+from .cursors import Covered, acknowledge, covered, cursor
 from .log import (
     infer_log_schema,
     latest_offset,
@@ -14,6 +15,7 @@ from .log import (
     offset_bounds,
     read_log,
     stream_log,
+    stream_messages,
 )
 from .options import (
     Options,
@@ -25,10 +27,14 @@ from .options import (
 )
 
 __all__ = [
+    "Covered",
     "Options",
+    "acknowledge",
     "append_collection",
     "collection_options",
     "collection_path",
+    "covered",
+    "cursor",
     "decode_results",
     "documents",
     "infer_log_schema",
@@ -41,5 +47,6 @@ __all__ = [
     "read_collection",
     "read_log",
     "stream_log",
+    "stream_messages",
     "topic_address",
 ]

@@ -9,7 +9,8 @@ into folders ``bucket=<n>`` by a hash of the key; the number stays.
 from __future__ import annotations
 
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
+from contextlib import contextmanager
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -153,8 +154,7 @@ def append_collection(
     spark = df.sparkSession
     checked = collection_options(options)
     checked.batch_size  # noqa: B018 - raises on a bad value
-    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
-    part = f"load={load or f'{stamp}-{uuid.uuid4().hex[:8]}'}"
+    part = _part(load)
     path = collection_path(checked)
     primary_key = checked.get("primaryKey") or None
     rows = with_key(df, primary_key)
@@ -165,10 +165,7 @@ def append_collection(
         return publish(rows, path, part, _writer(checked, buckets))
     # The batch is used several times, and may be costly or give other rows when
     # it is read again: write it once where every executor can read it.
-    staged = scratch_folder(spark)
-    try:
-        rows.write.parquet(staged)
-        batch = spark.read.schema("doc STRING, _key STRING").parquet(staged)
+    with staged(rows) as batch:
         known = opened(spark, path).version
         stored = spark.read.schema(DOCUMENT_SCHEMA + ", bucket INT").parquet(path).where(_HAS_KEY)
         keyed = batch.where(_HAS_KEY)
@@ -178,5 +175,39 @@ def append_collection(
             fresh = new_keys_in_buckets(keyed, stored, buckets)
         rows = fresh.unionByName(batch.where(_NO_KEY))
         return publish(rows, path, part, _writer(checked, buckets), known, without_keys_of)
+
+
+def append_new_documents(
+    rows: DataFrame, options: Mapping[str, object], load: str, known: int, others: str
+) -> bool:
+    """Append ``doc, _key`` rows whose keys are known to be new up to entry ``known``.
+
+    Later entries are looked at, but for those with ``others`` in their files'
+    paths, which are the caller's own and share no key with the rows.
+    """
+    spark = rows.sparkSession
+    checked = collection_options(options)
+    path = collection_path(checked)
+    log = opened(spark, path)
+    latest = log.version
+    later = [f for f in log.files(known) if others not in f] if latest > known else []
+    fresh = without_keys_of(rows, later) if later else rows
+    prepare = _writer(checked, _key_buckets(spark, path, checked))
+    return publish(fresh, path, _part(load), prepare, latest, without_keys_of)
+
+
+def _part(load: str | None) -> str:
+    stamp = datetime.now(timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    return f"load={load or f'{stamp}-{uuid.uuid4().hex[:8]}'}"
+
+
+@contextmanager
+def staged(rows: DataFrame) -> Iterator[DataFrame]:
+    """Rows of documents written once to scratch space, and deleted afterwards."""
+    spark = rows.sparkSession
+    place = scratch_folder(spark)
+    try:
+        rows.select("doc", "_key").write.parquet(place)
+        yield spark.read.schema("doc STRING, _key STRING").parquet(place)
     finally:
-        delete(spark, staged)
+        delete(spark, place)

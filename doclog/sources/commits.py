@@ -15,6 +15,8 @@ streams, ``spark.sql.streaming.checkpointFileManagerClass``).
 
 from __future__ import annotations
 
+import time
+
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
@@ -37,7 +39,7 @@ def files_below(spark: SparkSession, path: str, prefix: str = "") -> list:
     if not fs.exists(java_path):
         return []
     found = []
-    for state in fs.listStatus(java_path):
+    for state in sorted(fs.listStatus(java_path), key=lambda s: s.getPath().getName()):
         name = state.getPath().getName()
         if name.startswith(("_", ".")):
             continue
@@ -81,10 +83,19 @@ class Commits:
         return [state.toFileStatus().getPath().toString() for state in states]
 
     def add(self, number: int, states: list) -> bool:
-        """Commit files as entry ``number``; False if another has that number."""
+        """Commit files as entry ``number``; False if another has that number.
+
+        They get the time of the commit, so that a stream, which goes by times,
+        reads commits in their order and the files of one in the order given.
+        """
         entry = self._spark.sparkContext._gateway.new_array(self._state_class, len(states))
+        now = int(time.time() * 1000)
         for i, state in enumerate(states):
-            entry[i] = self._state_class.apply(state)
+            found = self._state_class.apply(state)
+            entry[i] = self._state_class(
+                found.path(), found.size(), found.isDir(), now,
+                found.blockReplication(), found.blockSize(), found.action(),
+            )
         try:
             return self._log.add(number, entry)
         except Py4JJavaError:

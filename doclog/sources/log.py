@@ -42,10 +42,13 @@ def _checked_path(spark: SparkSession, options: Options) -> str:
 def messages(
     spark: SparkSession,
     options: Mapping[str, object],
-    start: Offset | None = None,
+    start: Offset | Mapping[int, Offset] | None = None,
     end: Offset | None = None,
 ) -> DataFrame:
-    """The messages after ``start`` and up to ``end``, undecoded, in batch."""
+    """The messages after ``start`` and up to ``end``, undecoded, in batch.
+
+    ``start`` may be one offset for each partition index, as a cursor is.
+    """
     checked = log_options(options)
     if checked.is_collection_stream:
         raise ValueError("A collection has no message offsets")
@@ -130,7 +133,7 @@ def read_log(
     spark: SparkSession,
     options: Mapping[str, object],
     schema: T.StructType | str | None = None,
-    start: Offset | None = None,
+    start: Offset | Mapping[int, Offset] | None = None,
     end: Offset | None = None,
     keep: Sequence[str] = (),
 ) -> DataFrame:
@@ -144,20 +147,42 @@ def stream_log(
     options: Mapping[str, object],
     schema: T.StructType | str | None = None,
     keep: Sequence[str] = (),
+    start: Offset | Mapping[int, Offset] | None = None,
+    end: Offset | None = None,
 ) -> DataFrame:
     """Follow a log, or with ``isCollectionStream`` a collection, as typed rows.
 
     The options ``maxFilesPerTrigger`` and ``maxBytesPerTrigger`` bound a
     micro-batch. What was read is kept in the checkpoint of the query that is
-    started on the result.
+    started on the result. Of a log, only messages after ``start`` (one offset,
+    or one for each partition index) and up to ``end`` are read, from folders of
+    ledgers in that range.
     """
     checked = log_options(options)
     path = _checked_path(spark, checked)
     wanted = infer_log_schema(spark, checked) if schema is None else as_schema(schema)
+    if not checked.is_collection_stream:
+        return decode_lenient(stream_messages(spark, checked, start, end), wanted, "payload", keep)
+    if start is not None or end is not None:
+        raise ValueError("A collection has no message offsets")
+    return decode_lenient(_reader(spark, checked).schema(DOCUMENT_SCHEMA).parquet(path), wanted, "doc", keep)
+
+
+def _reader(spark: SparkSession, options: Options):
     reader = spark.readStream
     for name in ("maxFilesPerTrigger", "maxBytesPerTrigger"):
-        if checked.get(name):
-            reader = reader.option(name, checked[name])
-    if checked.is_collection_stream:
-        return decode_lenient(reader.schema(DOCUMENT_SCHEMA).parquet(path), wanted, "doc", keep)
-    return decode_lenient(reader.schema(LOG_SCHEMA).parquet(path), wanted, "payload", keep)
+        if options.get(name):
+            reader = reader.option(name, options[name])
+    return reader
+
+
+def stream_messages(
+    spark: SparkSession,
+    options: Mapping[str, object],
+    start: Offset | Mapping[int, Offset] | None = None,
+    end: Offset | None = None,
+) -> DataFrame:
+    """The messages of a log as a stream, undecoded, with their offsets."""
+    checked = log_options(options)
+    log = _reader(spark, checked).schema(LOG_SCHEMA).parquet(_checked_path(spark, checked))
+    return log.where(in_range(start, end))

@@ -7,15 +7,22 @@ that is run again after a failure is recognised and not written twice.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.encode import check_encodable
+from ..functions.offsets import Offset
+from ..operators.decode import as_schema, decode_lenient
 from ..operators.encode import encode_messages
-from ..sources.collection import append_collection
+from ..operators.keyed import first_of_batch, with_key
+from ..sources.collection import DOCUMENT_SCHEMA, append_collection, append_new_documents, staged
+from ..sources.commits import opened
+from ..sources.cursors import acknowledge, covered_by, cursor
+from ..sources.log import infer_log_schema, stream_messages
 from ..sources.options import (
     Options,
     collection_options,
@@ -93,6 +100,10 @@ def write_collection(
 
     The appends are named by the query and the number of the batch. A query
     name belongs to one checkpoint; one is made from its location if not given.
+
+    With the option ``keysInState`` the keys that are stored are held in the
+    query's state, so a micro-batch does not read them again; see
+    ``_with_new_keys``. Of rows of one key in a micro-batch any one is kept then.
     """
     checked = collection_options(options)
     checked.batch_size  # noqa: B018 - raises on a bad value
@@ -106,4 +117,77 @@ def write_collection(
     def each(batch: DataFrame, batch_id: int) -> None:
         append_collection(batch, checked, load=f"{name}-{batch_id}")
 
+    if checked.get("primaryKey") and checked.get("keysInState", "false").lower() == "true":
+        df, each = _with_new_keys(df, checked, name, not {"availableNow", "once"} & trigger.keys())
     return _start(df, checkpoint, trigger, each)
+
+
+def _with_new_keys(df: DataFrame, options: Options, name: str, lists_each_time: bool):
+    """A stream of the documents whose keys are new to its state, and its sink.
+
+    The state holds the keys that the stream has seen, in the store that the
+    session names. The collection's own keys are followed as a second stream, so
+    that each enters the state once: those that are stored when the query starts
+    for the first time, and later what any writer appends.
+
+    What another writer commits after a micro-batch was planned is not in the
+    state: the append looks at commits since ``known``. The first batch after a
+    start may have been planned long before, so it looks at all stored keys.
+    """
+    spark, target = df.sparkSession, collection_path(options)
+    log = opened(spark, target)
+    known = log.version
+    looked_at_all = False
+    rows = with_key(df, options["primaryKey"]).withColumn("seed", F.lit(False))
+    seeds = spark.readStream.schema(DOCUMENT_SCHEMA).parquet(target)
+    seeds = seeds.select(F.lit("").alias("doc"), "_key", F.lit(True).alias("seed"))
+    keyed = rows.where("_key IS NOT NULL").mapInArrow(first_of_batch, rows.schema)
+    keyed = keyed.unionByName(seeds.where("_key IS NOT NULL")).dropDuplicates(["_key"])
+    stream = keyed.unionByName(rows.where("_key IS NULL"))
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        nonlocal known, looked_at_all
+        load = f"{name}-{batch_id}"
+        with staged(batch.where("NOT seed")) as fresh:
+            if not fresh.isEmpty():
+                since = known if looked_at_all else -1
+                append_new_documents(fresh, options, load, since, f"/load={name}-")
+        looked_at_all = True
+        if lists_each_time:  # the next batch is planned after this, with all that is stored now
+            known = log.version
+
+    return stream, each
+
+
+def follow_log(
+    spark: SparkSession,
+    options: Mapping[str, object],
+    each: Callable[[DataFrame, int], None],
+    schema: T.StructType | str | None = None,
+    start: Offset | Mapping[int, Offset] | None = None,
+    end: Offset | None = None,
+    keep: Sequence[str] = (),
+    **trigger: object,
+) -> StreamingQuery:
+    """Start a query that hands each micro-batch of a log to ``each``, as typed rows.
+
+    When ``each`` returns, the range of messages that the batch covered is
+    acknowledged to the subscription: ``cursor`` gives the last of them, and a
+    later query, with another checkpoint or in batch, goes on from there, which is
+    where it starts if no ``start`` is given. A query that is started again from
+    its checkpoint with a ``start`` needs the same one. A batch whose ``each``
+    failed is given again; one that was acknowledged is not, unless ``start`` says.
+    """
+    checked = log_options(options)
+    checked.require(("checkpointLocation",))
+    wanted = infer_log_schema(spark, checked) if schema is None else as_schema(schema)
+    if start is None:
+        start = cursor(spark, checked)
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        ranges = covered_by(batch)
+        each(decode_lenient(batch, wanted, "payload", keep), batch_id)
+        acknowledge(spark, checked, ranges)
+
+    log = stream_messages(spark, checked, start, end)
+    return _start(log, checked["checkpointLocation"], trigger, on_batch)
