@@ -60,6 +60,15 @@ def _one_value(text: str) -> str:
     return f"json_array_length(concat('[', {text}, ']')) <=> 1"
 
 
+def _one_object(text: str) -> str:
+    """The same for a text that begins with a whole JSON object.
+
+    If its first closing brace is its last character, nothing can follow; only
+    for other texts, as those with objects inside, it is parsed for that.
+    """
+    return f"(instr({text}, '}}') = length({text}) OR {_one_value(text)})"
+
+
 def _whole_value(text: str) -> str:
     """The variant of a text; raises where it is no JSON, or more than one value."""
     return f"parse_json(CASE WHEN {_one_value(text)} THEN {text} ELSE concat('[', {text}, ',') END)"
@@ -80,12 +89,19 @@ def array_results(df: DataFrame, doc: str = "doc", keep: Sequence[str] = ()) ->
     return items.withColumnRenamed("__item", "result")
 
 
+# Schemas with fewer top-level fields are read as variants throughout. For a few
+# fields that takes as long as reading them by type, and a third of the time where
+# values are of other types, each of which costs from_json() an exception.
+DIRECT_FROM = 6
+
+
 class _Fields:
     """The top-level fields of a schema, as the two decoders take them.
 
     Most documents are read in one pass by from_json(), which skips what the
-    schema does not name: some types as such (``__t<i>`` is NULL for anything
-    else, and in a document with any such value), the others as variants. Only
+    schema does not name: in wide schemas some types as such (``__t<i>`` is NULL
+    for anything else, and in a document with any such value), the others as
+    variants. Only
     a document that leaves one of these columns NULL is parsed as a whole, and
     its fields (``__f<i>``) are looked at: there a field may be missing, null or
     of another type, the document may be an array or a scalar, or the text may
@@ -95,9 +111,8 @@ class _Fields:
     def __init__(self, df: DataFrame, schema: T.StructType, doc: str, lenient: bool):
         self.fields = schema.fields
         self.in_one_pass = not _is_variant(df, doc) and bool(self.fields)
-        self.direct = [
-            direct_type(f.dataType, lenient) if self.in_one_pass else None for f in self.fields
-        ]
+        by_type = self.in_one_pass and len(self.fields) >= DIRECT_FROM
+        self.direct = [direct_type(f.dataType, lenient) if by_type else None for f in self.fields]
         self.lenient = lenient
         self.read = [f"__t{i}" for i in range(len(self.fields))] if self.in_one_pass else []
         self.text = _text(df, doc)
@@ -136,7 +151,7 @@ class _Fields:
         if self.lenient:
             rest = f"CASE WHEN {complete} THEN NULL ELSE parse_json(__text) END"
         else:
-            complete = f"({complete}) AND {_one_value('__text')}"
+            complete = f"({complete}) AND {_one_object('__text')}"
             rest = f"CASE WHEN {complete} THEN NULL ELSE {_whole_value('__text')} END"
         return _once(df, [*kept, *self.read], rest, "__parsed")
 

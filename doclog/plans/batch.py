@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,14 +34,17 @@ from ..sources import (
 from ..sources.storage import scratch_folder
 from .inputs import (
     DOC,
+    DOC_EDGES,
     DOC_KINDS,
     DOC_NESTED,
     DOC_RECORD,
+    EVENT_LOG_OF_TWO_SQL,
     EVENT_LOG_SQL,
     derived,
     derived_sql,
     event_log,
     stored_log,
+    stored_log_of_two,
 )
 from .registry import query, table
 
@@ -260,6 +265,17 @@ def decode_lenient_boolean(spark: SparkSession, folder: str) -> DataFrame:
     return _nulls_apart(rows, "k", False)
 
 
+@query(
+    "decode_edge_numbers",
+    f"""WITH d AS ({derived_sql(DOC_EDGES)}), f AS (SELECT event_id,
+      json_extract_string(doc, '$.whole') AS w, json_extract_string(doc, '$.real') AS r FROM d)
+    SELECT event_id, coalesce(try_cast(CASE WHEN w SIMILAR TO '-?[0-9]+' THEN w END AS BIGINT),
+      CAST(CAST(w AS DOUBLE) AS BIGINT)) AS whole, CAST(r AS DOUBLE) AS "real" FROM f""",
+)
+def decode_edge_numbers(spark: SparkSession, folder: str) -> DataFrame:
+    return decode_strict(derived(spark, folder, DOC_EDGES), "whole BIGINT, real DOUBLE", keep=ID)
+
+
 _RECORD = "id BIGINT, type STRING, user BIGINT"
 
 
@@ -491,6 +507,25 @@ def log_range_scan(spark: SparkSession, folder: str) -> DataFrame:
     return read_log(spark, options, "k BIGINT", _START, end, keep=["ledger_id", "entry_id"])
 
 
+# Both ends are inside a ledger that two writers share.
+_BETWEEN = Offset(0, 99, 1), Offset(5, 250, 0)
+
+
+@query(
+    "log_range_of_two_writers",
+    f"""WITH log AS ({EVENT_LOG_OF_TWO_SQL})
+    SELECT partition_index, ledger_id, entry_id, CAST(json_extract(text, '$.k') AS BIGINT) AS k
+    FROM log WHERE (ledger_id, entry_id, partition_index) > {tuple(_BETWEEN[0])}
+      AND (ledger_id < {_BETWEEN[1].ledger_id} OR (ledger_id = {_BETWEEN[1].ledger_id}
+        AND (entry_id < {_BETWEEN[1].entry_id} OR (entry_id = {_BETWEEN[1].entry_id}
+          AND partition_index <= {_BETWEEN[1].partition_index}))))""",
+)
+def log_range_of_two_writers(spark: SparkSession, folder: str) -> DataFrame:
+    options = stored_log_of_two(spark, folder)
+    keep = ["partition_index", "ledger_id", "entry_id"]
+    return read_log(spark, options, "k BIGINT", *_BETWEEN, keep=keep)
+
+
 @query(
     "log_offset_json",
     f"""WITH log AS ({EVENT_LOG_SQL})
@@ -528,6 +563,34 @@ def keyed_append_new_only(spark: SparkSession, folder: str) -> DataFrame:
     return read_collection(spark, options, _CUSTOMER)
 
 
+@query(
+    "keyed_append_in_folders",
+    """SELECT c_custkey, c_name, CASE WHEN c_mktsegment = 'BUILDING' THEN 'stored'
+      ELSE 'batch' END AS origin FROM customer""",
+)
+def keyed_append_in_folders(spark: SparkSession, folder: str) -> DataFrame:
+    options = _scratch_collection(spark, "customers", primaryKey="c_custkey", keyBuckets=8)
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    stored = customers.where("c_mktsegment = 'BUILDING'").withColumn("origin", F.lit("stored"))
+    append_collection(stored, options)
+    append_collection(customers.withColumn("origin", F.lit("batch")), options)
+    return read_collection(spark, options, _CUSTOMER)
+
+
+@query(
+    "keyed_append_two_writers",
+    "SELECT c_custkey, c_name FROM customer",
+)
+def keyed_append_two_writers(spark: SparkSession, folder: str) -> DataFrame:
+    """Two appends at the same time, each of two thirds of the customers."""
+    options = _scratch_collection(spark, "customers", primaryKey="c_custkey")
+    customers = table(spark, folder, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    parts = [customers.where(f"c_custkey % 3 <> {i}") for i in (0, 1)]
+    with ThreadPoolExecutor(len(parts)) as pool:
+        list(pool.map(lambda rows: append_collection(rows, options), parts))
+    return read_collection(spark, options, "c_custkey BIGINT, c_name STRING")
+
+
 @query(
     "keyed_append_dedupe",
     """SELECT CAST(json_extract(doc, '$.o_custkey') AS BIGINT) AS o_custkey,

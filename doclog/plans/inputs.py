@@ -7,44 +7,74 @@ sides start from the same documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..sources import log_options, log_path
 from ..sources.storage import scratch_folder
 from .registry import table
 
-# One field k, in every state that the decoders tell apart.
-DOC = """CASE event_id % 10
-    WHEN 0 THEN '{"k":null}'  WHEN 1 THEN '{"j":1}'
-    WHEN 2 THEN '{"k":"12"}'  WHEN 3 THEN '{"k":1.9}'
-    WHEN 4 THEN '{"k":2.0}'   WHEN 5 THEN '[{"k":1},{"k":2}]'
-    WHEN 6 THEN '7'           WHEN 7 THEN '{"k":true}'
-    WHEN 8 THEN '{"k":"abc"}' ELSE props END"""
+_EVENT, _USER = "cast(event_id AS string)", "cast(user_id AS string)"
+_TRUTH = "CASE WHEN user_id % 2 = 0 THEN 'true' ELSE 'false' END"
+
+# One field k, in every state that the decoders tell apart, with the row's own values.
+DOC = f"""CASE event_id % 10
+    WHEN 0 THEN '{{"k":null}}'
+    WHEN 1 THEN concat('{{"j":', {_USER}, '}}')
+    WHEN 2 THEN concat('{{"k":"', {_USER}, '"}}')
+    WHEN 3 THEN concat('{{"k":', {_USER}, '.9}}')
+    WHEN 4 THEN concat('{{"k":', {_USER}, '.0}}')
+    WHEN 5 THEN concat('[{{"k":', {_EVENT}, '}},{{"k":', {_USER}, '}}]')
+    WHEN 6 THEN {_USER}
+    WHEN 7 THEN concat('{{"k":', {_TRUTH}, '}}')
+    WHEN 8 THEN concat('{{"k":"', event_type, '"}}')
+    ELSE props END"""
 
 # The same with more kinds of value, for the types other than Long.
-DOC_KINDS = """CASE event_id % 14
-    WHEN 0 THEN '{"k":null}'    WHEN 1 THEN '{"j":1}'
-    WHEN 2 THEN '{"k":"12"}'    WHEN 3 THEN '{"k":1.9}'
-    WHEN 4 THEN '{"k":2.0}'     WHEN 5 THEN '[{"k":1},{"k":"b"},{"k":false},5]'
-    WHEN 6 THEN '"k"'           WHEN 7 THEN '{"k":true}'
-    WHEN 8 THEN '{"k":"abc"}'   WHEN 9 THEN '{"k":{"x":1}}'
-    WHEN 10 THEN '{"k":[1,2]}'  WHEN 11 THEN '{"k":-3}'
-    WHEN 12 THEN '{"k":"true"}' ELSE props END"""
+DOC_KINDS = f"""CASE event_id % 14
+    WHEN 0 THEN '{{"k":null}}'
+    WHEN 1 THEN concat('{{"j":', {_USER}, '}}')
+    WHEN 2 THEN concat('{{"k":"', {_USER}, '"}}')
+    WHEN 3 THEN concat('{{"k":', {_USER}, '.9}}')
+    WHEN 4 THEN concat('{{"k":', {_USER}, '.0}}')
+    WHEN 5 THEN concat('[{{"k":', {_EVENT}, '}},{{"k":"', event_type, '"}},{{"k":', {_TRUTH}, '}},',
+                       {_USER}, ']')
+    WHEN 6 THEN concat('"', event_type, '"')
+    WHEN 7 THEN concat('{{"k":', {_TRUTH}, '}}')
+    WHEN 8 THEN concat('{{"k":"', event_type, '"}}')
+    WHEN 9 THEN concat('{{"k":{{"x":', {_USER}, '}}}}')
+    WHEN 10 THEN concat('{{"k":[', {_EVENT}, ',', {_USER}, ']}}')
+    WHEN 11 THEN concat('{{"k":-', {_EVENT}, '}}')
+    WHEN 12 THEN concat('{{"k":"', {_TRUTH}, '"}}')
+    ELSE props END"""
 
 # An object and an array below the top level.
-DOC_NESTED = """CASE event_id % 12
-    WHEN 0 THEN '{"o":{"p":"x","q":1},"a":[1,2,3]}'
-    WHEN 1 THEN '{"o":{"p":"y"},"a":[4]}'
-    WHEN 2 THEN '{"o":{"p":null,"q":2},"a":[]}'
-    WHEN 3 THEN '{"o":{"p":5,"q":"6"},"a":[1,"2",null,2.5,true]}'
-    WHEN 4 THEN '{"o":null,"a":null}'
-    WHEN 5 THEN '{"o":7,"a":[1]}'
-    WHEN 6 THEN '{"o":{},"a":{"z":1}}'
-    WHEN 7 THEN '{"a":[1]}'
-    WHEN 8 THEN '[{"o":{"p":"m","q":3},"a":[9]},{"o":{"p":"n","q":4},"a":[8,7]}]'
-    WHEN 9 THEN '{"o":{"p":true,"q":4.0},"a":[[1],{"b":2},3]}'
-    WHEN 10 THEN concat('{"o":{"p":"', event_type, '","q":', cast(user_id AS string),
-                        '},"a":[', cast(event_id AS string), ',', cast(user_id AS string), ']}')
-    ELSE concat('{"o":', props, ',"a":[', cast(event_id AS string), ']}') END"""
+DOC_NESTED = f"""CASE event_id % 12
+    WHEN 0 THEN concat('{{"o":{{"p":"', event_type, '","q":1}},"a":[', {_EVENT}, ',2,', {_USER}, ']}}')
+    WHEN 1 THEN concat('{{"o":{{"p":"', event_type, '"}},"a":[', {_USER}, ']}}')
+    WHEN 2 THEN concat('{{"o":{{"p":null,"q":', {_USER}, '}},"a":[]}}')
+    WHEN 3 THEN concat('{{"o":{{"p":', {_EVENT}, ',"q":"', {_USER}, '"}},"a":[', {_EVENT}, ',"', {_USER},
+                       '",null,', {_USER}, '.5,', {_TRUTH}, ']}}')
+    WHEN 4 THEN '{{"o":null,"a":null}}'
+    WHEN 5 THEN concat('{{"o":', {_USER}, ',"a":[', {_EVENT}, ']}}')
+    WHEN 6 THEN concat('{{"o":{{}},"a":{{"z":', {_USER}, '}}}}')
+    WHEN 7 THEN concat('{{"a":[', {_USER}, ']}}')
+    WHEN 8 THEN concat('[{{"o":{{"p":"', event_type, '","q":', {_USER}, '}},"a":[', {_EVENT}, ']}},',
+                       '{{"o":{{"p":"n","q":', {_EVENT}, '}},"a":[', {_USER}, ',7]}}]')
+    WHEN 9 THEN concat('{{"o":{{"p":', {_TRUTH}, ',"q":', {_USER}, '.0}},"a":[[', {_EVENT}, '],{{"b":2}},',
+                       {_USER}, ']}}')
+    WHEN 10 THEN concat('{{"o":{{"p":"', event_type, '","q":', {_USER}, '}},"a":[', {_EVENT}, ',',
+                        {_USER}, ']}}')
+    ELSE concat('{{"o":', props, ',"a":[', {_EVENT}, ']}}') END"""
+
+# Numbers at the edges of their types: near the ends of a long, with an exponent,
+# with many digits.
+DOC_EDGES = f"""concat('{{"whole":', CASE event_id % 4
+      WHEN 0 THEN cast(9223372036854775807 - event_id AS string)
+      WHEN 1 THEN cast(event_id - 9223372036854775807 AS string)
+      WHEN 2 THEN concat({_USER}, 'e2') ELSE concat({_EVENT}, '.000') END,
+    ',"real":', CASE event_id % 3
+      WHEN 0 THEN concat({_USER}, 'e-7') WHEN 1 THEN concat('-', {_EVENT}, '.5e10')
+      ELSE concat({_EVENT}, {_USER}, '.25') END, '}}')"""
 
 # Three fields, one of which may be missing, null or of another type.
 DOC_RECORD = """CASE event_id % 6
@@ -93,6 +123,21 @@ def stored_log(spark: SparkSession, folder: str) -> dict[str, object]:
     return options
 
 
+def stored_log_of_two(spark: SparkSession, folder: str) -> dict[str, object]:
+    """The options of a log of the same messages that two writers share."""
+    options = {
+        "regionUrl": scratch_folder(spark), "fabric": "_system", "tenant": "tenant",
+        "replication": "global", "stream": "two", "subscriptionName": "reader",
+    }
+    log = event_log(spark, folder).withColumn("partition_index", F.expr("CAST(entry_id % 2 AS INT)"))
+    parts = ("partition_index", "ledger_id")
+    log.repartition(*parts).write.partitionBy(*parts).parquet(log_path(log_options(options)))
+    return options
+
+
+EVENT_LOG_OF_TWO_SQL = f"""SELECT CAST(event_id % {MESSAGES_PER_LEDGER} % 2 AS INTEGER) AS partition_index,
+    event_id // {MESSAGES_PER_LEDGER} AS ledger_id, event_id % {MESSAGES_PER_LEDGER} AS entry_id,
+    CASE WHEN event_id = 0 THEN ' ' ELSE props END AS text FROM events"""
 EVENT_LOG_SQL = f"""SELECT 0 AS partition_index, event_id // {MESSAGES_PER_LEDGER} AS ledger_id,
     event_id % {MESSAGES_PER_LEDGER} AS entry_id,
     CASE WHEN event_id = 0 THEN ' ' ELSE props END AS text FROM events"""

@@ -5,9 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import append_collection, log_options, log_path, read_collection, read_log, stream_log
+from ..functions.offsets import Offset
+from ..sources import (
+    append_collection,
+    cursor,
+    log_options,
+    log_path,
+    read_collection,
+    read_log,
+    stream_log,
+)
 from ..sources.storage import scratch_folder
-from ..streaming import write_collection, write_ledger, write_log
+from ..streaming import follow_log, write_collection, write_ledger, write_log
+from .inputs import EVENT_LOG_SQL, stored_log
 from .registry import query, table
 
 _EVENT = "event_id BIGINT, symbol STRING, ma DOUBLE"
@@ -128,3 +138,50 @@ def stream_to_keyed_collection(spark: SparkSession, folder: str) -> DataFrame:
     started = write_collection(stream_log(spark, source, schema), target, availableNow=True)
     started.awaitTermination()
     return read_collection(spark, target, schema)
+
+
+@query(
+    "stream_to_collection_keys_in_state",
+    "SELECT DISTINCT user_id, user_id % 2 = 0 AS was_stored FROM events",
+)
+def stream_to_collection_keys_in_state(spark: SparkSession, folder: str) -> DataFrame:
+    """Every other user is stored before; the stream adds the rest, each once."""
+    root = scratch_folder(spark)
+    source = _log(root, "source")
+    users = table(spark, folder, "events").select("user_id")
+    rows = users.withColumn("was_stored", F.lit(False))
+    write_ledger(rows, log_path(log_options(source)), partition_index=0, ledger_id=0)
+    target = {
+        "regionUrl": root,
+        "fabric": "_system",
+        "collection": "users",
+        "primaryKey": "user_id",
+        "keysInState": True,
+        "checkpointLocation": f"{root}/checkpoint",
+    }
+    append_collection(users.where("user_id % 2 = 0").withColumn("was_stored", F.lit(True)), target)
+    schema = "user_id BIGINT, was_stored BOOLEAN"
+    started = write_collection(stream_log(spark, source, schema), target, availableNow=True)
+    started.awaitTermination()
+    return read_collection(spark, target, schema)
+
+
+# Inside the first ledger of the stored log.
+_STOP = Offset(0, 499, 0)
+
+
+@query(
+    "log_resume_at_cursor",
+    f"""WITH log AS ({EVENT_LOG_SQL})
+    SELECT ledger_id, entry_id, CAST(json_extract(text, '$.k') AS BIGINT) AS k FROM log
+    WHERE (ledger_id, entry_id, partition_index) > {tuple(_STOP)}""",
+)
+def log_resume_at_cursor(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream that stops at an offset, and a batch read from its subscription's cursor."""
+    options = {**stored_log(spark, folder), "checkpointLocation": f"{scratch_folder(spark)}/checkpoint"}
+    started = follow_log(
+        spark, options, lambda rows, batch: None, "k BIGINT", end=_STOP, availableNow=True
+    )
+    started.awaitTermination()
+    keep = ["ledger_id", "entry_id"]
+    return read_log(spark, options, "k BIGINT", start=cursor(spark, options), keep=keep)

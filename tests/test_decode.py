@@ -8,6 +8,7 @@ import random
 import pytest
 
 from doclog import array_results, decode_lenient, decode_strict
+from doclog.operators import decode
 
 DROP = "drop"
 
@@ -65,6 +66,12 @@ def lenient(spark, docs, type_):
     return [found.get(i, DROP) for i in range(len(docs))]
 
 
+@pytest.fixture(autouse=True, params=[0, decode.DIRECT_FROM], ids=["by_type", "as_variants"])
+def both_ways(request, monkeypatch):
+    """Narrow schemas read by type, as wide ones are, and as variants."""
+    monkeypatch.setattr(decode, "DIRECT_FROM", request.param)
+
+
 @pytest.mark.parametrize("at, type_", [(1, "BIGINT"), (3, "STRING"), (5, "DOUBLE")])
 def test_table_of_cases(spark, at, type_):
     docs = [c[0] for c in CASES]
