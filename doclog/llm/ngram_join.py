@@ -46,6 +46,7 @@ from .shared import (
     gram_hashes,
     mixed,
     received,
+    released,
     saved,
     send,
     table,
@@ -100,6 +101,7 @@ def _heads(docs: DataFrame, n: int, share: float) -> DataFrame:
     """``doc_id``, set size, size of the compared share, digests, of each document."""
     limit = np.uint64(int(share * (1 << _HASH_BITS)))
 
+    @released
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
@@ -144,6 +146,7 @@ def _shared_counts(docs: DataFrame, n: int, share: float) -> DataFrame:
         out[:-1] |= same
         return out
 
+    @released
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held, seen = [], np.zeros(0, np.int64)
@@ -184,6 +187,7 @@ def _shared_counts(docs: DataFrame, n: int, share: float) -> DataFrame:
                 names=["bucket", "counted", "data"],
             )
 
+    @released
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at, held, found, size = None, [], [], 0
         for batch in batches:
@@ -230,6 +234,7 @@ def _full_sets(docs: DataFrame, chosen: DataFrame, n: int) -> DataFrame:
         chosen = F.broadcast(chosen)
     picked = docs.select(F.col("doc_id").alias("id"), "text").join(chosen, "id", "left_semi")
 
+    @released
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             blobs: list[bytes] = []
@@ -252,6 +257,7 @@ def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.R
 def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The most frequent n-grams of all sets, sorted, and their numbers of sets."""
 
+    @released
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _slices(batches, 2000):
             hashes, k = np.unique(
@@ -310,6 +316,7 @@ def _clusters(sets: DataFrame, frequent, num: int, share: float) -> tuple[DataFr
     limit = np.uint64(int(share * (1 << _HASH_BITS)))
     kind = "h bigint, id bigint, rare boolean, n bigint, need bigint"
 
+    @released
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed = received(sent)
         for batch in _slices(batches):
@@ -510,6 +517,7 @@ def _join_groups(grouped: DataFrame, frequent, num: int) -> DataFrame:
     sent = send(grouped.sparkSession.sparkContext, frequent)
     parts = int(grouped.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
+    @released
     def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         listed, at, held = received(sent), None, []
 
@@ -599,7 +607,8 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK, share: float
         F.xxhash64(F.lit(1), "cluster", F.pmod(F.xxhash64("id", F.lit(1)), blocks)).alias("g"),
         "id", "part", "low",
     )
-    links = saved(links.union(joined(again)))
+    tied = parts.where("id <> part").select(F.col("id").alias("u"), F.col("part").alias("v"))
+    links = saved(tied.union(joined(again)))
     parts = saved(_connected(links))
     # blocks of one component, or of several small ones; pairs that are connected need no task
     known = _with_parts(large.drop("size"), parts)
@@ -629,7 +638,8 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK, share: float
         pairs.where("spot <> spot2").select("cluster", F.col("spot2").alias("spot"), "g")
     )
     last = placed.join(ends, ["cluster", "spot"]).select("g", "id", "part", "low")
-    return links.union(joined(last))
+    tied = parts.where("id <> part").select(F.col("id").alias("u"), F.col("part").alias("v"))
+    return tied.union(joined(last))
 
 
 def join_ngrams(

@@ -7,10 +7,12 @@ have 64 bits; two given words share one with probability 2**-64.
 
 from __future__ import annotations
 
+import ctypes
+import functools
 import pickle
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +74,27 @@ def received(sent: Broadcast) -> object:
     return pickle.loads(sent.value)
 
 
+Work = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def released(work: Work) -> Work:
+    """The same work, after which the worker gives back the memory that it holds free.
+
+    Workers live on from task to task; without that, each keeps the most that
+    any of its tasks has needed.
+    """
+
+    @functools.wraps(work)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from work(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+        if trim is not None:
+            trim(0)
+
+    return run
+
+
 def fold(id_column: str, folds: int):
     """The remainder of crc32 of an id's text."""
     return F.crc32(F.col(id_column).cast("string").cast("binary")) % folds

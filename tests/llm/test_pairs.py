@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import random
 
 import pytest
 
@@ -55,6 +56,33 @@ def test_ngram_join(spark, monkeypatch, seed, n, num, block):
     assert len([r for r in found if r.doc_id is None]) == len(nameless)
 
 
+@pytest.mark.parametrize("sent", [0, 1 << 18])
+def test_components_of_scattered_links(spark, monkeypatch, sent):
+    import doclog.llm.components as module
+
+    monkeypatch.setattr(module, "MAX_SENT_ROOTS", sent)
+    monkeypatch.setattr(module, "LINKS_AT_ONCE", 300)
+    draw = random.Random(4)
+    links = [(i, i + 1) for i in range(1000, 3000)]  # a chain in order
+    links += [(5000, 5001 + i) for i in range(800)]  # a hub
+    links += [(draw.randrange(10000, 11000), draw.randrange(10000, 11000)) for _ in range(600)]
+    links += [(-7, 10**15), (10**15, 3), (4, 4)]
+    draw.shuffle(links)
+    parent = {x: x for link in links for x in link}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for u, v in links:
+        a, b = root(u), root(v)
+        parent[max(a, b)] = min(a, b)
+    frame = spark.createDataFrame(links, "u long, v long").repartition(9)
+    found = {r.id: r.component for r in components(frame).collect()}
+    assert found == {x: root(x) for x in parent if root(x) != x}
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7)]
     found = components(spark.createDataFrame(links, "u long, v long")).collect()
