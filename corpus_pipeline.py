@@ -34,25 +34,31 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return scored.where("__llm_score < 0.5").select(*docs.columns)
 
 
+def _by_row(rows: DataFrame, name: str) -> DataFrame:
+    """A side of few rows, sent to the other if it is small."""
+    few = rows.select(name).distinct()
+    return F.broadcast(few) if few.count() <= MAX_SENT_IDS else few
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents alike in 80 % of their runs of five words, the one with the least id.
+    """Of rows alike in 80 % of their runs of five words, the one with the least id.
 
-    Rows with equal ids count as one document, of which one row stays. Documents
-    without words, or without an id, are like no other and stay.
+    It is decided row by row: rows with equal ids and unlike texts all stay, and of
+    equal ids the first row as read. Rows without an id come last. Rows without
+    words are like no other and stay.
     """
-    found = saved(join_ngrams(docs.select("doc_id", "text"), n=5, num=80))
-    gone = found.where("doc_id <> component_id").select("doc_id").distinct()
-    gone = F.broadcast(gone) if gone.count() <= MAX_SENT_IDS else gone
-    kept = docs.join(gone, "doc_id", "left_anti")
-    again = found.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
-    again = saved(again.select("doc_id"))
-    n = again.count()
-    if not n:
-        return kept.select(*docs.columns)
-    again = F.broadcast(again) if n <= MAX_SENT_IDS else again
-    once = kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    rest = kept.join(again, "doc_id", "left_anti")
-    return rest.unionByName(once).select(*docs.columns)
+    rows = saved(docs.withColumn("__llm_row", F.monotonically_increasing_id()))
+    found = join_ngrams(rows.select(F.col("__llm_row").alias("doc_id"), "text"), n=5, num=80)
+    found = saved(found.select(F.col("doc_id").alias("__llm_row"), F.col("component_id").alias("part")))
+    copies = found.where("__llm_row <> part")
+    members = copies.union(copies.select("part", "part").distinct())
+    ids = rows.select("__llm_row", "doc_id").join(_by_row(members, "__llm_row"), "__llm_row", "left_semi")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "__llm_row")
+    members = saved(members.join(ids, "__llm_row").select("part", "__llm_row", order.alias("place")))
+    # the least of each group is found before any row of it is shuffled
+    first = members.groupBy("part").agg(F.min("place")["__llm_row"].alias("__llm_row"))
+    gone = saved(members.join(first.select("__llm_row"), "__llm_row", "left_anti").select("__llm_row"))
+    return rows.join(_by_row(gone, "__llm_row"), "__llm_row", "left_anti").select(*docs.columns)
 
 
 def cut_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
