@@ -222,6 +222,34 @@ def test_trees_and_sql_agree(spark):
     assert ((trees.fitted > 0.5) == (x[:, 1] > 2)).all()
 
 
+def test_near_copies_go_row_by_row(spark):
+    rows = texts(6, 120)
+    rows += [(5, "one two three four five six"), (5, rows[7][1]), (None, rows[9][1]), (None, None)]
+    docs = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n long, doc_id long, text string")
+    docs = docs.coalesce(1).sortWithinPartitions("n")
+    sets = []
+    for _, text in rows:
+        w = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        sets.append({tuple(w[i : i + 5]) for i in range(max(len(w) - 4, 1))} if w else set())
+    part = list(range(len(rows)))
+    for i, a in enumerate(sets):
+        for j, b in enumerate(sets[:i]):
+            if a and b and 100 * len(a & b) >= 80 * len(a | b):
+                part = [part[j] if p == part[i] else p for p in part]
+    groups = {}
+    for i, p in enumerate(part):
+        groups.setdefault(p, []).append(i)
+    wanted = {min(g, key=lambda i: (rows[i][0] is None, rows[i][0] or 0, i)) for g in groups.values()}
+    kept = corpus_pipeline.drop_near_copies(spark, docs, TABLES).collect()
+    assert {r.n for r in kept} == wanted and len(kept) == len(wanted) < len(rows)
+
+
+def test_the_pipeline_of_an_empty_table(spark, tmp_path):
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{TABLES}/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).collect() == []
+
+
 def test_pipeline(spark):
     docs = spark.read.parquet(f"{TABLES}/documents.parquet")
     assert [name for name, _ in corpus_pipeline.STAGES] == [
