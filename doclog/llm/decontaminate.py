@@ -21,11 +21,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .registry import query
-from .shared import ALNUM, Words, chunks, table, texts
+from .shared import ALNUM, Words, Work, chunks, released, table, texts
 
 # Items are joined to automata of this many bytes of text at most, each of which
 # is sent to all tasks; a larger benchmark makes more passes within each task.
 BLOCK_BYTES = 1 << 20
+# Documents that are searched at once.
+ROWS_AT_ONCE = 1000
 # A benchmark is a test set: more text than this is taken for a mistake.
 MAX_BENCHMARK_BYTES = 256 << 20
 
@@ -209,22 +211,41 @@ def find_leaks(
     One narrow stage: the benchmark, of checked size, goes to the tasks in
     blocks, and each block's automaton adds to the spans of those before.
     """
+    out, scan = _scans(docs, benchmark, text, item_id, item_text, window, names)
+    return out.mapInArrow(scan, out.schema)
+
+
+def _scans(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str,
+    item_id: str,
+    item_text: str,
+    window: int,
+    names: tuple[str, str, str],
+) -> tuple[DataFrame, Work]:
+    """``find_leaks`` but for its last block, and the work that is left of it."""
     docs = docs.drop(*names)
     empty = (F.lit(0).cast("bigint"), F.lit(None).cast(SPANS), F.lit(None).cast("array<string>"))
     out = docs.select("*", *[c.alias(name) for c, name in zip(empty, names, strict=True)])
     schema, sc = out.schema, docs.sparkSession.sparkContext
     position = docs.columns.index(text)
 
+    works = []
     for items in list(_blocks(benchmark, item_id, item_text)) or [[]]:
         sent = sc.broadcast(items)
 
+        @released
         def scan(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
             matcher = Matcher(sent.value, window)
             for batch in batches:
-                yield _scanned(batch, position, matcher)
+                for at in range(0, len(batch), ROWS_AT_ONCE):
+                    yield _scanned(batch.slice(at, ROWS_AT_ONCE), position, matcher)
 
-        out = out.mapInArrow(scan, schema)
-    return out
+        works.append(scan)
+    for work in works[:-1]:
+        out = out.mapInArrow(work, schema)
+    return out, works[-1]
 
 
 def _scanned(batch: pa.RecordBatch, position: int, matcher: Matcher) -> pa.RecordBatch:
@@ -277,31 +298,35 @@ def remove_leaks(
     A document whose hit words are more than ``max_coverage`` of its words goes
     as a whole. Columns, and rows without a hit, stay as they are.
     """
-    n_words, leaks = "__llm_n_words", "__llm_leaks"
-    own = (n_words, leaks, "__llm_items")
-    found = find_leaks(docs, benchmark, text, window=window, names=own, **names)
-    hit = F.aggregate(leaks, F.lit(0).cast("bigint"), lambda s, x: s + x.end - x.start)
-    kept = found.where(F.col(leaks).isNull() | (hit <= F.col(n_words) * max_coverage))
+    own = ("__llm_n_words", "__llm_leaks", "__llm_items")
+    options = {"item_id": "item_id", "item_text": "text", **names}
+    docs = docs.drop(*own)
+    found, scan = _scans(docs, benchmark, text, window=window, names=own, **options)
     position, columns = docs.columns.index(text), docs.columns
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            old, found = batch.column(position), batch.column(len(columns)).to_pylist()
+        # in the worker that finds the spans: a second one would hold the texts once more
+        for batch in scan(batches):
+            arrays = [batch.column(i) for i in range(len(columns))]
+            words, found = (batch.column(len(columns) + i).to_pylist() for i in (0, 1))
             if any(found):
-                new = old.to_pylist()
+                new = arrays[position].to_pylist()
+                stays = []
                 for i, spans in enumerate(found):
+                    spans = spans or []
+                    stays.append(sum(s["end"] - s["start"] for s in spans) <= words[i] * max_coverage)
                     if spans:
                         raw, parts, at = new[i].encode(), [], 0
                         for s in spans:
                             parts.append(raw[at : s["from_byte"]])
                             at = s["to_byte"]
                         new[i] = b"".join([*parts, raw[at:]]).decode()
-                old = pa.array(new, old.type)
-            arrays = [batch.column(i) for i in range(len(columns))]
-            arrays[position] = old
+                arrays[position] = pa.array(new, arrays[position].type)
+                batch = pa.RecordBatch.from_arrays(arrays, names=columns).filter(pa.array(stays))
+                arrays = batch.columns
             yield pa.RecordBatch.from_arrays(arrays, names=columns)
 
-    return kept.select(*docs.columns, leaks).mapInArrow(cut, docs.schema)
+    return found.mapInArrow(cut, docs.schema)
 
 
 _WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
