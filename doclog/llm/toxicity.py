@@ -30,10 +30,17 @@ from .shared import ALNUM, Words, chunks, fold, received, send, table, texts
 TRAINING_ROWS = 16_000
 BUCKET_BITS = 20
 STEMS = (4, 5, 6)
-# Buckets kept by the model: those that tell the classes apart best.
-MAX_FEATURES = 8192
+# Training documents that must hold a bucket for it to have a weight and a vector.
 LEAST_ROWS = 4
 FACTORS = 8
+# Chi-square from which a term is fitted in the first step.
+PLAIN = 4
+# Lengths at which vectors start, and what terms of the second step pay in each step
+# for a weight and for a vector.
+START, LATE_START, WEIGHT_COST, VECTOR_COST = 0.02, 0.01, 1e-2, 1e-3
+# Late terms of a document with more terms than this share the pull of so many, as
+# all of them move at once.
+PULLS = 64
 
 
 def term_buckets(words: Words) -> tuple[np.ndarray, np.ndarray]:
@@ -56,60 +63,82 @@ class FactorizationMachine:
 
     @classmethod
     def fit(
-        cls, rows: list[np.ndarray], labels: np.ndarray, epochs: int = 15, rate: float = 0.1
+        cls,
+        rows: list[np.ndarray],
+        labels: np.ndarray,
+        epochs: int = 15,
+        late_epochs: int = 8,
+        rate: float = 0.1,
+        seed: int = 7,
     ) -> FactorizationMachine:
         """``rows`` are the distinct buckets of each document."""
         size = 1 << BUCKET_BITS
         n, positive = len(labels), int(labels.sum())
-        empty = np.full(size, -1, np.int32)
+        slots = np.full(size, -1, np.int32)
         if not 0 < positive < n:
             share = positive / n if n else 0.0
             bias = float(np.log((share + 1e-9) / (1 - share + 1e-9)))
-            return cls(empty, bias, np.zeros(1, np.float32), np.zeros((1, FACTORS), np.float32))
-        counts = np.diff([0, *np.cumsum([len(r) for r in rows])])
-        flat = np.concatenate(rows) if rows else np.zeros(0, np.int64)
-        label_of = np.repeat(labels, counts)
+            return cls(slots, bias, np.zeros(1, np.float32), np.zeros((1, FACTORS), np.float32))
+        counts = np.array([len(r) for r in rows])
+        flat, row_of = np.concatenate(rows), np.repeat(np.arange(n), counts)
         seen = np.bincount(flat, minlength=size).astype(float)
-        toxic = np.bincount(flat, weights=label_of, minlength=size)
-        expected = seen * positive / n
+        toxic = np.bincount(flat, weights=labels[row_of], minlength=size)
         spread = seen * (1 - seen / n) * (positive / n) * (1 - positive / n) + 1e-9
-        score = np.where(seen >= LEAST_ROWS, (toxic - expected) ** 2 / spread, 0)
-        best = np.argsort(-score, kind="stable")[:MAX_FEATURES]
-        best = np.sort(best[score[best] > 4])
-        slots = empty
-        slots[best] = np.arange(len(best), dtype=np.int32)
-        kept = slots[flat]
-        row_of = np.repeat(np.arange(n), counts)[kept >= 0]
-        kept = kept[kept >= 0]
-        start = np.searchsorted(row_of, np.arange(n + 1))
-        draw = np.random.default_rng(7)
-        m = max(len(best), 1)
-        w, v = np.zeros(m), draw.normal(0, 0.02, (m, FACTORS))
-        bias = float(np.log(positive / (n - positive)))
-        gw, gv, gb = np.full(m, 1e-2), np.full((m, FACTORS), 1e-2), 1e-2
-        for _ in range(epochs):
-            order = draw.permutation(n)
-            for at in range(0, n, 256):
-                chosen = order[at : at + 256]
-                sizes = start[chosen + 1] - start[chosen]
-                row = np.repeat(np.arange(len(chosen)), sizes)
-                inner = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-                f = kept[np.repeat(start[chosen], sizes) + inner]
-                z, sums = cls._sums(bias, w, v, row, f, len(chosen))
-                g = 1 / (1 + np.exp(-z)) - labels[chosen]
-                db = float(g.mean())
-                gb += db * db
-                bias -= rate * db / np.sqrt(gb)
-                touched = np.bincount(f, minlength=m) > 0
-                dw = np.bincount(f, weights=g[row], minlength=m) / len(chosen) + 1e-5 * w
-                gw[touched] += dw[touched] ** 2
-                w[touched] -= rate * dw[touched] / np.sqrt(gw[touched])
-                for k in range(FACTORS):
-                    part = g[row] * (sums[row, k] - v[f, k])
-                    dv = np.bincount(f, weights=part, minlength=m) / len(chosen) + 1e-5 * v[:, k]
-                    gv[touched, k] += dv[touched] ** 2
-                    v[touched, k] -= rate * dv[touched] / np.sqrt(gv[touched, k])
-        return cls(slots, bias, w.astype(np.float32), v.astype(np.float32))
+        score = (toxic - seen * positive / n) ** 2 / spread
+        buckets = np.flatnonzero(seen >= LEAST_ROWS)
+        buckets = buckets[np.argsort(-score[buckets], kind="stable")]
+        first, m = int((score[buckets] > PLAIN).sum()), len(buckets)
+        slots[buckets] = np.arange(m, dtype=np.int32)
+        slot = slots[flat]
+        late = np.arange(m) >= first
+        draw = np.random.default_rng(seed)
+        # a weight and a vector in each row
+        own = draw.normal(0, np.where(late, LATE_START, START)[:, None], (m, FACTORS + 1))
+        own[:, 0] = 0
+        length = np.linalg.norm(own[:, 1:], axis=1)
+        past = np.full(own.shape, 1e-2)
+        bias, past_bias = float(np.log(positive / (n - positive))), 1e-2
+        for end, passes in ((first, epochs), (m, late_epochs)):
+            held = (slot >= 0) & (slot < end)
+            given, start = slot[held], np.searchsorted(row_of[held], np.arange(n + 1))
+            for _ in range(passes):
+                order = draw.permutation(n)
+                for at in range(0, n, 256):
+                    chosen = order[at : at + 256]
+                    sizes = start[chosen + 1] - start[chosen]
+                    row = np.repeat(np.arange(len(chosen)), sizes)
+                    inner = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+                    met, f = np.unique(given[np.repeat(start[chosen], sizes) + inner], return_inverse=True)
+                    x = own[met]
+                    z, sums = cls._sums(bias, x[:, 0], x[:, 1:], row, f, len(chosen))
+                    g = 1 / (1 + np.exp(-z)) - labels[chosen]
+                    past_bias += float(g.mean()) ** 2
+                    bias -= rate * float(g.mean()) / np.sqrt(past_bias)
+                    calm = np.minimum(PULLS / np.maximum(sizes, 1), 1)
+                    pull = np.where(late[met][f], (g * calm)[row], g[row])
+                    pulls = [pull, *(pull * (sums[row, k] - x[f, k + 1]) for k in range(FACTORS))]
+                    step = np.stack([np.bincount(f, p, len(met)) for p in pulls], 1) / len(chosen)
+                    past[met] += step**2
+                    pace = rate / np.sqrt(past[met])
+                    own[met] = cls._shrunk(x - pace * step, pace, late[met])
+        # vectors of late terms that training has not lengthened stand for nothing
+        own[late & (np.linalg.norm(own[:, 1:], axis=1) <= length), 1:] = 0
+        used = np.flatnonzero(own.any(axis=1))
+        slots[buckets] = -1
+        slots[buckets[used]] = np.arange(len(used), dtype=np.int32)
+        if not len(used):
+            own, used = np.zeros((1, FACTORS + 1)), np.zeros(1, int)
+        kept = own[used].astype(np.float32)
+        return cls(slots, bias, kept[:, 0], kept[:, 1:])
+
+    @staticmethod
+    def _shrunk(x: np.ndarray, pace: np.ndarray, late: np.ndarray) -> np.ndarray:
+        """Draw weights and vectors of late terms to zero: each by its cost, at its pace."""
+        w, v, some = x[late, 0], x[late, 1:], pace[late]
+        x[late, 0] = np.sign(w) * np.maximum(np.abs(w) - some[:, 0] * WEIGHT_COST, 0)
+        length = np.maximum(np.linalg.norm(v, axis=1), 1e-9)
+        x[late, 1:] = v * np.maximum(1 - some[:, 1:].mean(1) * VECTOR_COST / length, 0)[:, None]
+        return x
 
     @staticmethod
     def _sums(bias, w, v, row, f, n):
@@ -192,7 +221,7 @@ def score_toxicity(
 ) -> DataFrame:
     """Add a score, in place of a column of its name if there is one.
 
-    One narrow stage; the model has at most MAX_FEATURES features.
+    One narrow stage; the model has at most 2**BUCKET_BITS buckets, some 40 MB.
     """
     docs = docs.drop(name)
     schema = docs.withColumn(name, F.lit(0.0)).schema

@@ -73,6 +73,37 @@ def test_interactions_are_learnt():
     assert ((z > 0) == (labels > 0)).mean() > 0.99
 
 
+def _machine_scores(model, rows):
+    """Scores by a loop over all pairs of terms."""
+    out = []
+    for row in rows:
+        f = [i for i in model.slots[row] if i >= 0]
+        z = model.bias + sum(float(model.w[i]) for i in f)
+        z += sum(float(model.v[i] @ model.v[j]) for k, i in enumerate(f) for j in f[:k])
+        out.append(1 / (1 + math.exp(-max(-30, min(30, z)))))
+    return np.array(out)
+
+
+def test_pairs_of_plain_terms_are_learnt():
+    # each of two words is as common in both classes; only the pair tells them apart
+    draw = np.random.default_rng(1)
+    a, b = draw.integers(0, 2, (2, 8000))
+    labels = (a == b).astype(float)
+    rows = [np.unique([10 + i, 20 + j, *(100 + draw.integers(0, 400, 12))]) for i, j in zip(a, b, strict=True)]
+    model = toxicity.FactorizationMachine.fit(rows[:6000], labels[:6000])
+    assert ((_machine_scores(model, rows[6000:]) > 0.5) == labels[6000:]).mean() > 0.95
+
+
+def test_toxicity_scores_are_those_of_all_pairs():
+    held = ["kind words", "vile words here", "", "Vile vile people, kind place", "w1 w2 w3 vile"] * 40
+    data, offsets = bytes_of(pa.array(held))
+    words = Words(data, offsets, toxicity.ALNUM, lower=True)
+    row, bucket = toxicity.term_buckets(words)
+    rows = [np.unique(bucket[row == i]) for i in range(len(held))]
+    model = toxicity.FactorizationMachine.fit(rows, np.array([float("vile" in t.lower()) for t in held]))
+    assert np.allclose(model.scores(words), _machine_scores(model, rows), atol=1e-6)
+
+
 def test_language_on_held_out_rows(spark):
     found = QUERIES["op8_language_id"](spark, TABLES)
     truth = table(spark, TABLES, "documents").select("doc_id", "lang")
