@@ -2,11 +2,15 @@
 
 Four rules (email, ip, card, phone) give the base spans: a pattern each and a
 test of what it matched. Four wide generators give candidates as well, which may
-overlap. Boosted trees learn from all candidates of the table, counted by their
-features, how often a candidate of a format and context passes its kind's rule;
-the marks by which the rule itself decides (a plus sign, the check digit) are no
-features. Candidates whose calibrated share reaches a threshold are added where
-they touch no base span; of added spans that overlap the first stays.
+overlap. Boosted trees learn, by format and context, which candidates are the same
+data written otherwise: a phone number without its plus sign, an address with
+``[at]``, a card with dots, an ip with ``[.]``. What they learn from is made of the
+table itself: base spans written in such ways are positives; base spans spoilt
+(a wrong check digit, a part above 255, no domain), base spans of another kind and
+candidates that fail in the same ways are negatives. They are fitted on the texts of
+one half by hash; on those of the other the least share is found down to which enough
+of the examples are positives. Candidates that reach it are added where they touch
+no base span; of added spans that overlap the first stays.
 
 Patterns are written so that the regular-expression engine neither recurses nor
 starts anew at each character of a long run. Matches are numbered, and positions
@@ -14,8 +18,8 @@ are running sums of the lengths of gaps and matches; that, and everything per
 span, runs on small rows, once per distinct text.
 
 Cases: null and empty texts have no spans; equal texts have equal spans; long
-texts are searched whole; without candidates, or if no threshold reaches the
-wanted precision, nothing is added.
+texts are searched whole; of a kind without base spans in either half, or if no
+threshold reaches the wanted precision, nothing is added.
 """
 
 from __future__ import annotations
@@ -41,17 +45,21 @@ _PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 # The generators: other separators, other or no marks.
 _OPEN = r"\x00-\x20@<>,;:\x22\x27()\[\]"
 _WIDE = {
-    "email": rf"(?:\G|(?<![^{_OPEN}]))[^{_OPEN}]++@[^{_OPEN}]++",
+    "email": (
+        rf"(?:\G|(?<![^{_OPEN}]))[^{_OPEN}]++(?:@|\x20?[\[(](?:at|AT)[\])]\x20?)[^{_OPEN}]++"
+        rf"(?:\x20?[\[(](?:dot|DOT)[\])]\x20?[^{_OPEN}]++){{0,3}}+"
+    ),
     "ip": r"(?<![0-9])[0-9]{1,3}(?:(?:\.|\[\.\]|,)[0-9]{1,3}){3}(?![0-9])",
     "card": r"[0-9](?:[0-9\x20./_-](?<![\x20./_-][\x20./_-]))+(?<=[0-9])",
     "phone": r"[+(0-9][\x20()./0-9-]*[0-9]",
 }
 _BASE = {"email": _EMAIL, "ip": _IP, "card": _CARD, "phone": _PHONE}
 _PART = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9]{2}|[0-9]{1,2})"
+_IP_SHAPE = r"^[0-9]{1,3}(?:\.[0-9]{1,3}){3}$"
 _CUES = "(?i)(mail|contact|write|phone|tel|call|mobile|fax|card|visa|credit|account|host|server|addr|ip)"
 
-FEATURES = ("kind", "digits", "size", "groups", "before", "after", "cue", "dots")
-ROUNDS, DEPTH, RATE = 20, 3, 0.3
+FEATURES = ("kind", "digits", "size", "groups", "before", "after", "cue", "dots", "fits", "form")
+ROUNDS, DEPTH, RATE = 20, 4, 0.3
 PRECISION = 0.95
 
 
@@ -104,7 +112,7 @@ def _passes(kind: Column, m: Column) -> Column:
 def _spans(docs: DataFrame, text: str) -> DataFrame:
     """All matches of each distinct text: ``key, kind, wide, start, end, m, left, right, ok``."""
     t = F.col(text)
-    at, digit = t.contains("@"), t.rlike("[0-9]")
+    at, digit = t.contains("@") | t.rlike(r"[\[(](at|AT)[\])]"), t.rlike("[0-9]")
     quoted = "`" + text.replace("`", "``") + "`"
     found = [
         _matches(quoted, k, wide, patterns[kind], at if kind == "email" else digit)
@@ -149,9 +157,93 @@ def _features() -> dict[str, Column]:
         "after": side(F.col("right")),
         "cue": F.col("left").rlike(_CUES).cast("int"),
         "dots": F.least(F.length(m) - F.length(F.replace(m, F.lit("."), F.lit(""))), F.lit(6)),
+        "fits": _fits(F.col("kind"), m).cast("int"),
+        "form": (
+            F.when(m.rlike("^[0-9]+$"), 0)
+            .when(m.rlike(_IP_SHAPE), 1)
+            .when(m.contains(","), 2)
+            .when(m.rlike(r"[/_]"), 3)
+            .otherwise(4)
+        ),
     }
 
 
+def _fits(kind: Column, m: Column) -> Column:
+    """Whether a candidate fits its kind, however it is written."""
+    digits = F.regexp_replace(m, "[^0-9]", "")
+    n = F.length(digits)
+    dotted = F.regexp_replace(m, r"\[\.\]|,", ".")
+    return (
+        F.when(kind == 0, m.rlike(r"(?:\.|[\[(](?:dot|DOT)[\])]\x20?)[A-Za-z]{2,}$"))
+        .when(kind == 1, dotted.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$"))
+        .when(kind == 2, F.when(n.between(14, 19), _luhn(digits)).otherwise(False))
+        .otherwise(n.between(10, 15))
+    )
+
+
+def _examples(candidates: DataFrame) -> DataFrame:
+    """Candidates and rewritten base spans with a ``label``; ``plain``: as the rules have them.
+
+    Candidates that may be data written otherwise have no label and are left out.
+    """
+    kind, m = F.col("kind"), F.col("m")
+    digits = F.regexp_replace(m, "[^0-9]", "")
+    bare = F.replace(m, F.lit("+"), F.lit(""))
+    last = (F.right(digits, F.lit(1)).cast("int") + 1) % 10
+    spoilt = F.concat(F.left(digits, F.length(digits) - 1), last.cast("string"))
+
+    def example(of: int, text: Column, label: int, left: Column | None = None) -> Column:
+        left = F.col("left") if left is None else left
+        return F.struct(F.lit(of).alias("kind"), text.alias("m"), left.alias("left"), F.lit(label).alias("label"))
+
+    def put(text: Column, old: str, new: str) -> Column:
+        return F.replace(text, F.lit(old), F.lit(new))
+
+    def fours(text: Column, mark: str) -> Column:
+        return F.regexp_replace(text, "([0-9]{4})(?=[0-9])", f"$1{mark}")
+
+    email = [
+        *[example(0, put(m, "@", mark), 1) for mark in ("[at]", "(at)", " [at] ", " (at) ")],
+        *[
+            example(0, F.regexp_replace(put(m, "@", mark), r"\.([A-Za-z]+)$", f"{dot}$1"), 1)
+            for mark, dot in ((" [at] ", " [dot] "), ("(at)", "(dot)"))
+        ],
+        *[example(0, F.regexp_replace(m, "@([A-Za-z0-9-]+).*$", f"{mark}$1"), 0) for mark in ("@", " (at) ")],
+    ]
+    wrong = F.regexp_replace(m, "[0-9]+$", "999")
+    ip = [
+        example(1, put(m, ".", "[.]"), 1), example(1, put(m, ".", ","), 0),
+        example(1, wrong, 0), example(1, put(wrong, ".", "[.]"), 0), example(3, m, 0),
+    ]
+    card = [
+        example(2, fours(number, mark), label)
+        for number, label in ((digits, 1), (spoilt, 0)) for mark in (".", "/", "_")
+    ]
+    card += [example(2, spoilt, 0), example(3, digits, 0)]
+    phone = [
+        example(3, bare, 1), example(3, F.concat(F.lit("00"), bare), 1),
+        *[example(3, F.regexp_replace(bare, r"[\x20().-]+", mark), 1) for mark in (".", "/", "-", " ")],
+        # a run of digits is a number of some kind, unless a word says that it is a phone's
+        example(3, digits, 1, F.lit("tel ")), example(3, digits, 0, F.lit("n ")),
+        example(3, F.left(bare, F.lit(9)), 0),
+    ]
+    made = F.when(kind == 0, F.array(*email)).when(kind == 1, F.array(*ip))
+    made = made.when(kind == 2, F.array(*card)).otherwise(F.array(*phone))
+    n = F.length(digits)
+    written = (
+        F.when(kind == 0, True)
+        .when(kind == 1, m.rlike(r"\[\.\]|,"))
+        .when(kind == 2, _fits(kind, m))
+        .otherwise(n.between(10, 15) & ~m.rlike(_IP_SHAPE) & ~(F.when(n >= 14, _luhn(digits)).otherwise(False)))
+    )
+    half = F.pmod("key", F.lit(2)).alias("half")
+    given = candidates.where(F.col("ok") | ~written).select(
+        "kind", "m", "left", "right", half, F.col("ok").cast("int").alias("label"), F.col("ok").alias("plain")
+    )
+    rewritten = candidates.where("ok").select(F.inline(made), "right", half, F.lit(False).alias("plain"))
+    return given.unionByName(rewritten)
+
+
 class BoostedTrees:
     """Logistic gradient boosting on rows with counts; trees become SQL."""
 
@@ -169,6 +261,9 @@ class BoostedTrees:
             z += self._value(tree, x)
         self.fitted = 1 / (1 + np.exp(-z))
 
+    def shares(self, x: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-(self.start + sum(self._value(t, x) for t in self.trees))))
+
     def _grow(self, x, grad, hess, rows, depth):
         g, h = grad[rows].sum(), hess[rows].sum()
         best, split = 1e-6, None
@@ -227,17 +322,21 @@ def find_personal_data(docs: DataFrame, text: str = "text", precision: float = P
     spans = saved(_spans(docs, text))
     candidates = spans.where("wide").withColumns(_features())
     # features are small whole numbers, so their combinations are few whatever the table
-    counted = candidates.groupBy(*FEATURES).agg(
-        F.count("*").alias("n"), F.sum(F.col("ok").cast("int")).alias("k")
+    cells = [*FEATURES, "half", "plain"]
+    counted = _examples(spans.where("wide")).withColumns(_features()).groupBy(*cells).agg(
+        F.count("*").alias("n"), F.sum("label").alias("k")
     )
-    rows = counted.orderBy(*FEATURES).collect()
+    rows = counted.orderBy(*cells).collect()
     base = spans.where("NOT wide").select("key", "kind", "start", "end", F.lit(True).alias("base"))
-    if not rows:
-        return base
-    x = np.array([[row[f] for f in FEATURES] for row in rows])
+    x = np.array([[row[f] for f in FEATURES] for row in rows]).reshape(-1, len(FEATURES))
     n, k = np.array([row.n for row in rows], float), np.array([row.k for row in rows], float)
-    trees = BoostedTrees(x, n, k)
-    least = _thresholds(x[:, 0], trees.fitted, n, k, precision)
+    fit = np.array([row.half == 0 for row in rows], bool)
+    # plain base spans teach, but do not decide from where on spans are added
+    held = np.array([row.half == 1 and not row.plain for row in rows], bool)
+    if not fit.any() or not held.any():
+        return base
+    trees = BoostedTrees(x[fit], n[fit], k[fit])
+    least = _thresholds(x[held, 0], trees.shares(x[held]), n[held], k[held], precision)
     wanted = F.element_at(F.array(*[F.lit(v) for v in least]), F.col("kind") + 1)
     added = candidates.where(F.expr(trees.sql()) >= wanted)
     added = added.select("key", "kind", "start", "end", F.lit(False).alias("base"))
