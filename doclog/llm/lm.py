@@ -1,25 +1,26 @@
 """Language-model scores by a log-bilinear model, and smoothed word counts.
 
 Tokens are a text's words (A-Z lowered, split at blanks) and one end. Counts are
-those of all training documents. All words seen often enough, the end and one
-entry for all other words make the model's vocabulary, which grows with the
-training documents. The model predicts a token's vector from those of the two
-tokens before it, each through a matrix of its own.
-
-Words of like frequency form classes; the most frequent entries are classes of
-their own. A token has the probability of its class times its own within the
+those of all training documents, of all their words. The model has a fixed number
+of entries: the end, the most frequent words, and entries that all other words
+share by their hash, so each word has a vector and the model does not grow. It
+predicts a token's vector from those of the two tokens before it, each through a
+matrix of its own.
+
+Entries of like frequency form classes; the most frequent ones are classes of
+their own. An entry has the probability of its class times its own within the
 class. Either is the exponential of the product of the predicted vector with the
-class's or word's own, plus a bias, over the sum of those of all classes, or of
-all words of the class; both sums are made for each token. As a context a word
-has the vector of its class plus its own. A word of the entry of others has the
-entry's probability times its smoothed share of it.
+class's or entry's own, plus a bias, over the sum of those of all classes, or of
+all entries of the class; both sums are made for each token. A word has the
+probability of its entry times its smoothed share of the counts of all words of
+that entry.
 
 The model is fitted with noise-contrastive estimation: classes are told from
-noise drawn by frequency, words from noise drawn within their class. Each task
+noise drawn by frequency, entries from noise drawn within their class. Each task
 fits its own share of all training documents, from the same start; the means of
-what they find are the next start, weighted by their tokens, and for a word's
-own vectors by how often they met the word. A first round takes one document in
-eight, the last takes all.
+what they find are the next start, weighted by their tokens, and for an entry's
+own vectors by how often they met it. A first round takes one document in eight,
+the last takes all.
 
 Cases: null, empty and blank texts are the end alone; without training documents
 there is no end in the counts, every base score is 0 and the model is uniform;
@@ -39,18 +40,18 @@ from pyspark.sql import functions as F
 from .registry import query
 from .shared import NOT_BLANK, Words, chunks, fold, received, saved, send, table, texts
 
-OTHER, END = 0, 1
-# All words seen so often have vectors, and the most frequent ones in any case.
-LEAST_SEEN, LEAST_WORDS = 50, 1022
-# Words whose counts are sent to all tasks, besides those with vectors; the
-# counts of the rest are joined.
+END = 0
+# Entries of the model: the most frequent words, and those shared by hash.
+OWN_WORDS, SHARED = 1 << 15, 1 << 14
+# Words whose counts are sent to all tasks; the counts of the rest are joined.
 SENT_WORDS = 1 << 19
-SIZE, NOISE, BATCH, RATE = 16, 64, 4096, 0.15
-# Entries that are classes of their own, and noise words for a word in a class.
-ALONE, INNER_NOISE = 128, 4
+SIZE, NOISE, BATCH, RATE = 12, 32, 4096, 0.15
+# Entries that are classes of their own, and noise entries for one in a class.
+ALONE, INNER_NOISE = 64, 2
 FIRST_SHARE = 8
-# Words whose vectors travel together, and rows of sums made at once.
-SHARD, SUM_ROWS = 512, 1024
+# Parts that the entries travel in, rows of sums made at once, and the largest
+# product of vectors that counts.
+PARTS, SUM_ROWS, LARGEST = 64, 512, 60
 
 
 class WordIndex:
@@ -100,14 +101,16 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _tokens(
-    words: Words, index: WordIndex, known: int
+    words: Words, index: WordIndex, own: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Model tokens of all rows, an end after each, and the two before each token.
+    """Model entries of all rows, an end after each, and the two before each.
 
-    The first ``known`` words of the index are in the model.
+    The first ``own`` words of the index have entries of their own.
     """
-    place = index.find(words.hashes())
-    place = np.where((place >= 0) & (place < known), place + 2, OTHER)
+    hashes = words.hashes()
+    place = index.find(hashes)
+    shared = (hashes & np.uint64(SHARED - 1)).astype(np.int64) + own + 1
+    place = np.where((place >= 0) & (place < own), place + 1, shared)
     ends = words.first[1:] + np.arange(words.rows)
     token = np.empty(len(place) + words.rows, np.int64)
     inner = np.ones(len(token), bool)
@@ -122,29 +125,33 @@ def _tokens(
     return token, one, two
 
 
-def _scatter(index: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
-    """Sums of vectors by place."""
-    flat = (index[:, None] * SIZE + np.arange(SIZE)).ravel()
-    return np.bincount(flat, values.ravel(), n * SIZE).reshape(n, SIZE)
+def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The places in an index, in order, and the sum of the rows at each."""
+    if not len(index):
+        return index, values
+    order = np.argsort(index)
+    index = index[order]
+    first = np.flatnonzero(np.concatenate([[True], index[1:] != index[:-1]]))
+    return index[first], np.add.reduceat(values[order], first, axis=0)
 
 
 def _log_sums(h: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Products of rows with vectors, and the logarithms of the sums of their exponentials."""
     z = h @ vectors.T
-    top = z.max(axis=1)
-    return z, top + np.log(np.exp(z - top[:, None]).sum(axis=1))
+    np.clip(z, -LARGEST, LARGEST, out=z)
+    return z, np.log(np.exp(z).sum(axis=1))
 
 
 class LogBilinear:
-    """Vectors of classes and words, a matrix for each place before, and biases."""
+    """Vectors of classes and entries, a matrix for each place before, and biases."""
 
-    NAMES = ("context", "target", "near", "far", "bias")
-    OWN = ("own_context", "own_target", "own_bias")
+    NAMES = ("target", "near", "far", "bias")
+    OWN = ("context", "own_target", "own_bias")
 
     def __init__(self, share: np.ndarray) -> None:
-        """``share``: each entry's share of all training tokens; the rarer words come later."""
+        """``share``: each entry's share of all training tokens; the rarer ones come later."""
         n, draw = len(share), np.random.default_rng(11)
-        # a class has about 1 / sqrt(share) words, so both sums of a token are short
+        # a class has about 1 / sqrt(share) entries, so both sums of a token are short
         label = np.arange(n)
         label[ALONE:] = ALONE + np.cumsum(np.sqrt(share[ALONE:])).astype(np.int64)
         _, first, inverse, size = np.unique(
@@ -153,11 +160,10 @@ class LogBilinear:
         self.of, self.first, self.size = inverse.astype(np.int32), first, size
         k = len(size)
         self.share = np.bincount(inverse, share, k)
-        self.context = draw.normal(0, 0.3, (k, SIZE)).astype(np.float32)
         self.target = draw.normal(0, 0.05, (k, SIZE)).astype(np.float32)
         self.near, self.far = np.eye(SIZE, dtype=np.float32) * 0.7, np.eye(SIZE, dtype=np.float32) * 0.5
         self.bias = np.log(self.share).astype(np.float32)
-        self.own_context, self.own_target = np.zeros((2, n, SIZE), np.float32)
+        self.context, self.own_target = np.zeros((2, n, SIZE), np.float32)
         self.own_bias = np.log(share / self.share[inverse]).astype(np.float32)
 
     def flat(self) -> np.ndarray:
@@ -170,13 +176,14 @@ class LogBilinear:
             setattr(self, name, flat[at : at + old.size].reshape(old.shape).astype(np.float32))
             at += old.size
 
-    def own(self, words: np.ndarray) -> np.ndarray:
-        """What words have of their own, a row for each."""
-        return np.column_stack([getattr(self, name)[words] for name in self.OWN])
+    def own(self) -> np.ndarray:
+        """What entries have of their own, a row for each."""
+        return np.column_stack([getattr(self, name) for name in self.OWN])
 
-    def load_own(self, words: np.ndarray, rows: np.ndarray) -> None:
-        self.own_context[words], self.own_target[words] = rows[:, :SIZE], rows[:, SIZE : 2 * SIZE]
-        self.own_bias[words] = rows[:, 2 * SIZE]
+    def load_own(self, first: int, rows: np.ndarray) -> None:
+        part = slice(first, first + len(rows))
+        self.context[part], self.own_target[part] = rows[:, :SIZE], rows[:, SIZE : 2 * SIZE]
+        self.own_bias[part] = rows[:, 2 * SIZE]
 
     def fit(self, token: np.ndarray, one: np.ndarray, two: np.ndarray, state: dict, draw) -> None:
         """One pass of noise-contrastive estimation over tokens, in batches."""
@@ -185,84 +192,85 @@ class LogBilinear:
         cumulative = np.cumsum(self.share)
         if "met" not in state:
             state["met"] = np.zeros(len(self.of), np.float32)
-            state |= {name: np.ones_like(getattr(self, name)) for name in self.OWN}
+            state |= {name: np.ones(len(self.of), np.float32) for name in self.OWN}
+            state |= {name: np.full_like(getattr(self, name), 1e-6) for name in self.NAMES}
 
         order = draw.permutation(len(token))
         for at in range(0, len(token), BATCH):
             chosen = order[at : at + BATCH]
             w, a, b = token[chosen], one[chosen], two[chosen]
-            cw, ca, cb = self.of[w], self.of[a], self.of[b]
-            m = len(chosen)
-            va, vb = self.context[ca] + self.own_context[a], self.context[cb] + self.own_context[b]
+            cw, m = self.of[w], np.float32(len(chosen))
+            va, vb = self.context[a], self.context[b]
             predicted = va @ self.near + vb @ self.far
             noise = np.minimum(np.searchsorted(cumulative, draw.random(NOISE)), n - 1)
             tw, tn = self.target[cw], self.target[noise]
             real = (predicted * tw).sum(1) + self.bias[cw] - log_noise[cw]
             fake = predicted @ tn.T + self.bias[noise] - log_noise[noise]
             # gradients of the logistic loss: tokens are 1, noise is 0
-            g = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-            f = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+            g, f = self._pulls(real, fake)
             d_predicted = g[:, None] * tw + f @ tn
-            d_predicted += self._fit_words(w, cw, predicted, state, draw)
-            d_near, d_far = d_predicted @ self.near.T, d_predicted @ self.far.T
-            d = {
-                "target": _scatter(cw, g[:, None] * predicted, n) + _scatter(noise, f.T @ predicted, n),
-                "bias": np.bincount(cw, g, n) + np.bincount(noise, f.sum(0), n),
-                "context": _scatter(ca, d_near, n) + _scatter(cb, d_far, n),
-                "near": va.T @ d_predicted,
-                "far": vb.T @ d_predicted,
-            }
-            for name, step in d.items():
-                step /= m
-                past = state.setdefault(name, np.full(step.shape, 1e-6))
-                past += step * step
-                getattr(self, name)[...] += RATE * step / np.sqrt(past)
-            where, steps = np.concatenate([a, b]), np.concatenate([d_near, d_far])
-            inner = self.size[self.of[where]] > 1
-            self._step("own_context", where[inner], steps[inner], state)
-
-    def _fit_words(self, w: np.ndarray, cw: np.ndarray, predicted: np.ndarray, state: dict, draw) -> np.ndarray:
-        """Tell words from others of their class; the gradients of what was predicted."""
-        out = np.zeros_like(predicted)
-        inner = np.flatnonzero(self.size[cw] > 1)
-        if not len(inner):
-            return out
-        w, h, size = w[inner], predicted[inner], self.size[cw[inner]]
-        noise = self.first[cw[inner], None] + (draw.random((len(w), INNER_NOISE)) * size[:, None]).astype(np.int64)
+            inner = np.flatnonzero(self.size[cw] > 1)
+            if len(inner):
+                d_predicted[inner] += self._fit_inner(w[inner], cw[inner], predicted[inner], state, draw)
+            self._step_at("near", slice(None), va.T @ d_predicted / m, state)
+            self._step_at("far", slice(None), vb.T @ d_predicted / m, state)
+            # each class's vector is drawn to (or pushed from) what was predicted
+            rows = np.empty((len(w) + NOISE, SIZE + 1), np.float32)
+            np.multiply(predicted, g[:, None], out=rows[: len(w), :SIZE])
+            rows[len(w) :, :SIZE], rows[: len(w), SIZE], rows[len(w) :, SIZE] = f.T @ predicted, g, f.sum(0)
+            classes, step = _sums(np.concatenate([cw, noise]), rows / m)
+            self._step_at("target", classes, step[:, :SIZE], state)
+            self._step_at("bias", classes, step[:, SIZE], state)
+            back = np.concatenate([d_predicted @ self.near.T, d_predicted @ self.far.T])
+            self._step_rows("context", *_sums(np.concatenate([a, b]), back), state)
+
+    @staticmethod
+    def _pulls(real: np.ndarray, fake: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """How far tokens are from 1, and noise (with a minus) from 0."""
+        g = 1 / (1 + np.exp(np.clip(real, -30, 30)))
+        return g, -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+
+    def _fit_inner(self, w: np.ndarray, cw: np.ndarray, h: np.ndarray, state: dict, draw) -> np.ndarray:
+        """Tell entries from others of their class; the gradients of what was predicted."""
+        size = self.size[cw]
+        spread = (draw.random((INNER_NOISE, len(w)), np.float32) * size).astype(np.int64)
+        # a float32 draw just below 1 times the size may round up to it
+        noise = self.first[cw] + np.minimum(spread, size - 1)
         log_noise = np.log(INNER_NOISE / size).astype(np.float32)
         tw, tn = self.own_target[w], self.own_target[noise]
         real = (h * tw).sum(1) + self.own_bias[w] - log_noise
-        fake = (tn @ h[:, :, None])[:, :, 0] + self.own_bias[noise] - log_noise[:, None]
-        g = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        f = -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
-        out[inner] = g[:, None] * tw + (f[:, None, :] @ tn)[:, 0]
+        fake = (tn * h).sum(2) + self.own_bias[noise] - log_noise
+        g, f = self._pulls(real, fake)
         where = np.concatenate([w, noise.ravel()])
         pull = np.concatenate([g, f.ravel()])
-        # each word's vector is drawn to (or pushed from) what was predicted
-        steps = np.concatenate([h, np.repeat(h, INNER_NOISE, axis=0)]) * pull[:, None]
-        self._step("own_target", where, steps, state, pull)
-        np.add.at(state["met"], w, np.float32(1))
-        np.add.at(state["met"], noise.ravel(), np.float32(1 / INNER_NOISE))
-        return out
-
-    def _step(self, name: str, where: np.ndarray, steps: np.ndarray, state: dict, pull=None) -> None:
-        """Add the steps of words that were met, and of their biases."""
-        words, inverse = np.unique(where, return_inverse=True)
-        found = {name: _scatter(inverse, steps, len(words))}
-        if pull is not None:
-            found["own_bias"] = np.bincount(inverse, pull, len(words))
-        for each, step in found.items():
-            past = state[each][words] + step * step
-            state[each][words] = past
-            getattr(self, each)[words] += RATE * step / np.sqrt(past)
+        rows = np.empty((len(where), SIZE + 2), np.float32)
+        np.multiply(h, pull.reshape(-1, len(w), 1), out=rows.reshape(-1, len(w), SIZE + 2)[:, :, :SIZE])
+        rows[:, SIZE] = pull
+        rows[: len(w), SIZE + 1], rows[len(w) :, SIZE + 1] = 1, 1 / INNER_NOISE
+        entries, step = _sums(where, rows)
+        self._step_rows("own_target", entries, step[:, :SIZE], state)
+        self._step_at("own_bias", entries, step[:, SIZE], state)
+        state["met"][entries] += step[:, SIZE + 1]
+        return g[:, None] * tw + (f[:, :, None] * tn).sum(0)
+
+    def _step_at(self, name: str, where, step: np.ndarray, state: dict) -> None:
+        """Add a step, over the root of the squares of all steps so far."""
+        past = state[name][where] + step * step
+        state[name][where] = past
+        getattr(self, name)[where] += RATE * step / np.sqrt(past)
+
+    def _step_rows(self, name: str, where: np.ndarray, step: np.ndarray, state: dict) -> None:
+        """The same with one mean square for each vector."""
+        past = state[name][where] + np.einsum("ij,ij->i", step, step) / SIZE
+        state[name][where] = past
+        getattr(self, name)[where] += step * (RATE / np.sqrt(past))[:, None]
 
     def freeze(self) -> None:
         """What scoring needs: vectors through their matrices, and biases as one more place."""
-        context = self.context[self.of] + self.own_context
-        self.a, self.b = context @ self.near, context @ self.far
+        self.a, self.b = self.context @ self.near, self.context @ self.far
         self.q = np.column_stack([self.target, self.bias])
         self.own_q = np.column_stack([self.own_target, self.own_bias])
-        for name in ("context", "target", "bias", *self.OWN):
+        for name in ("target", "bias", *self.OWN):
             delattr(self, name)
 
     def log10(self, token: np.ndarray, one: np.ndarray, two: np.ndarray) -> np.ndarray:
@@ -288,96 +296,98 @@ class LogBilinear:
         return out / np.log(10)
 
 
-_OWN_ROW = np.dtype([("word", "<i4"), ("met", "<f4"), ("own", "<f4", (2 * SIZE + 1,))])
-
-
 def _fit_round(docs: DataFrame, model: LogBilinear, index: WordIndex) -> LogBilinear:
-    """Fit in each task and average, in shards of words, before the driver gets the means.
+    """Fit in each task and average, in parts of entries, before the driver gets the means.
 
-    Shards below 0 hold what all tasks fit, the others what words have of their own.
+    Parts below 0 hold what all tasks fit, the others how far entries were moved:
+    half floats, and how often each entry was met.
     """
     sent = send(docs.sparkSession.sparkContext, (model, index))
+    entries, own_words = len(model.of), len(model.of) - 1 - SHARED
+    each = -(-entries // PARTS)
 
     def fit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         (own, words_of), state, n = received(sent), {}, 0
-        draw = np.random.default_rng(5)
+        start, draw = own.own(), np.random.default_rng(5)
         for batch in batches:
-            held = [_tokens(words, words_of, len(own.of) - 2) for _, words in _pieces(batch.column(0))]
+            held = [_tokens(words, words_of, own_words) for _, words in _pieces(batch.column(0))]
             for k in range(0, len(held), 4):
                 token, one, two = (np.concatenate(x) for x in zip(*held[k : k + 4], strict=True))
                 own.fit(token, one, two, state, draw)
                 n += len(token)
         if n:
-            flat = own.flat() * n
-            yield _rows([(-1 - TaskContext.get().partitionId() % 64, flat.tobytes(), n)])
-            met = np.flatnonzero(state["met"])
-            for shard in np.split(met, np.flatnonzero(np.diff(met // SHARD)) + 1):
-                if len(shard):
-                    rows = np.empty(len(shard), _OWN_ROW)
-                    rows["word"], rows["met"], rows["own"] = shard, state["met"][shard], own.own(shard)
-                    yield _rows([(int(shard[0]) // SHARD, rows.tobytes(), 0)])
+            moved = (own.own() - start).astype(np.float16)
+            parts = [(-1 - TaskContext.get().partitionId() % 8, (own.flat() * n).tobytes(), b"", n)]
+            for k in range(0, entries, each):
+                met = state["met"][k : k + each]
+                parts.append((k // each, moved[k : k + each].tobytes(), met.tobytes(), 0))
+            yield _rows(parts)
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, list] = {}
         for batch in batches:
-            for shard, data, k in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if shard < 0:
-                    held = total.setdefault(shard, [0.0, 0])
-                    held[0], held[1] = held[0] + np.frombuffer(data), held[1] + k
+            for part, data, met, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                held = total.setdefault(part, [0.0, 0.0, 0])
+                if part < 0:
+                    held[0], held[2] = held[0] + np.frombuffer(data), held[2] + n
                 else:
-                    own, met = total.setdefault(shard, [np.zeros((SHARD, 2 * SIZE + 1)), np.zeros(SHARD)])
-                    rows = np.frombuffer(data, _OWN_ROW)
-                    at = rows["word"] - shard * SHARD
-                    own[at] += rows["own"] * rows["met"][:, None]
-                    met[at] += rows["met"]
-        for shard, (held, n) in total.items():
-            if shard < 0:
-                yield _rows([(shard, held.tobytes(), n)])
-            else:
-                at = np.flatnonzero(n)
-                rows = np.empty(len(at), _OWN_ROW)
-                rows["word"], rows["met"], rows["own"] = at + shard * SHARD, n[at], held[at] / n[at, None]
-                yield _rows([(shard, rows.tobytes(), 0)])
+                    met = np.frombuffer(met, np.float32).astype(float)
+                    rows = np.frombuffer(data, np.float16).reshape(len(met), -1)
+                    held[0], held[1] = held[0] + rows * met[:, None], held[1] + met
+        for part, (held, met, n) in total.items():
+            if part >= 0:
+                held = (held / np.maximum(met, 1e-9)[:, None]).astype(np.float32)
+            yield _rows([(part, held.tobytes(), b"", n)])
 
     def _rows(rows: list[tuple]) -> pa.RecordBatch:
-        shard, data, n = zip(*rows, strict=True)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(shard, pa.int32()), pa.array(data, pa.binary()), pa.array(n, pa.int64())],
-            names=["shard", "data", "n"],
-        )
+        kinds = (pa.int32(), pa.binary(), pa.binary(), pa.int64())
+        columns = [pa.array(x, kind) for x, kind in zip(zip(*rows, strict=True), kinds, strict=True)]
+        return pa.RecordBatch.from_arrays(columns, names=["part", "data", "met", "n"])
 
-    kind = "shard int, data binary, n bigint"
+    kind = "part int, data binary, met binary, n bigint"
     fitted = docs.select("text").mapInArrow(fit, kind)
-    flat, n = 0.0, 0
-    for row in fitted.repartition(64, "shard").mapInArrow(add, kind).toLocalIterator(prefetchPartitions=True):
-        if row.shard < 0:
+    flat, n, start = 0.0, 0, model.own()
+    # at most PARTS + 8 rows, together as large as the model
+    for row in fitted.repartition(PARTS, "part").mapInArrow(add, kind).toLocalIterator():
+        if row.part < 0:
             flat, n = flat + np.frombuffer(row.data), n + row.n
         else:
-            rows = np.frombuffer(row.data, _OWN_ROW)
-            model.load_own(rows["word"], rows["own"])
+            rows = np.frombuffer(row.data, np.float32).reshape(-1, start.shape[1])
+            first = row.part * each
+            model.load_own(first, start[first : first + len(rows)] + rows)
+    sent.unpersist()
     if n:
         model.load(flat / n)
     return model
 
 
 def _most_frequent(counts: DataFrame) -> tuple[np.ndarray, np.ndarray, DataFrame]:
-    """The hashes and numbers of the most frequent words, and the rest.
-
-    Those seen LEAST_SEEN times are among the first, and others up to SENT_WORDS.
-    """
+    """The hashes and numbers of the most frequent words, at most SENT_WORDS, and the rest."""
     level = F.floor(F.log2("c") * 8)
-    least, listed = None, 0
+    # the numbers are below 2^63, so there are at most 504 levels
+    least, listed = 504, 0
     for row in counts.groupBy(level.alias("l")).count().orderBy(F.desc("l")).collect():
         listed += row["count"]
         if listed > SENT_WORDS:
             break
         least = row["l"]
-    often = F.col("c") >= LEAST_SEEN
-    if least is not None:
-        often |= level >= least
-    rare = counts.where(~often)
-    found = counts.where(often).toPandas().sort_values(["c", "h"], ascending=[False, True])
-    return found["h"].to_numpy(np.int64).view(np.uint64), found["c"].to_numpy(np.int64), rare
+    found = counts.where(level >= least).toArrow()
+    h, c = found["h"].to_numpy(), found["c"].to_numpy()
+    order = np.lexsort((h, -c))
+    return h[order].view(np.uint64), c[order], counts.where(level < least)
+
+
+def _entry_counts(own: int, names: np.ndarray, often: np.ndarray, rare: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """All counts of the words of each shared entry, and how many words it has."""
+    place = (names[own:] & np.uint64(SHARED - 1)).astype(np.int64)
+    total = np.bincount(place, often[own:], SHARED).astype(np.int64)
+    kinds = np.bincount(place, minlength=SHARED)
+    by_entry = rare.groupBy(F.col("h").bitwiseAND(F.lit(SHARED - 1)).alias("e"))
+    rows = by_entry.agg(F.sum("c").alias("c"), F.count("*").alias("n")).toArrow()
+    at = rows["e"].to_numpy()
+    total[at] += rows["c"].to_numpy()
+    kinds[at] += rows["n"].to_numpy()
+    return total, kinds
 
 
 def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> DataFrame:
@@ -394,49 +404,48 @@ def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> Dat
     totals = counts.agg(F.count("*"), F.coalesce(F.sum("c"), F.lit(0))).first()
     kinds, total = totals[0] + (ends > 0), totals[1] + ends
     names, often, rare = _most_frequent(counts)
-    index = WordIndex(names)
-    shown = often[: max(LEAST_WORDS, int((often >= LEAST_SEEN).sum()))]
-    n_shown = len(shown)
-    others, other_kinds = totals[1] - int(shown.sum()), totals[0] - len(shown)
-    share = np.array([others, ends, *shown.tolist()], float) + 1
+    index, own = WordIndex(names), min(len(names), OWN_WORDS)
+    in_entry, entry_kinds = _entry_counts(own, names, often, rare)
+    share = np.concatenate([[ends], often[:own], in_entry]) + 1.0
     model = LogBilinear(share / share.sum())
     if ends:
-        short = WordIndex(names[:n_shown])
+        short = WordIndex(names[:own])
         some = F.pmod(F.xxhash64("text"), F.lit(FIRST_SHARE)) == 0
         model = _fit_round(training.where(some), model, short)
         model = _fit_round(training, model, short)
     model.freeze()
     log_count = np.log10(often + 1.0)
-    sent = send(spark.sparkContext, (model, index, log_count))
+    # a word of a shared entry has its smoothed share of all that have the entry
+    log_all = np.concatenate([np.zeros(own + 1), np.log10(in_entry + entry_kinds + 1.0)])
+    sent = send(spark.sparkContext, (model, index, log_count, log_all))
     given, position = docs.columns, docs.columns.index(text)
     measured = docs.selectExpr(
-        "*", "0L AS n_tokens", "0L AS n_known", "0L AS __llm_n_other", "0D AS __llm_shown_logs",
-        "0D AS __llm_other_logs", "0D AS __llm_model_log",
+        "*", "0L AS n_tokens", "0L AS n_known", "0D AS __llm_own_logs", "0D AS __llm_shared_logs",
+        "0D AS __llm_model_log",
         "CAST(NULL AS BINARY) AS __llm_rest",
     ).drop(text)
     names_out = measured.columns
     rest_type = np.dtype([("h", "<i8"), ("k", "<i4")])
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own, all_words, logs_of = received(sent)
+        fitted, all_words, logs_of, all_of = received(sent)
         for batch in batches:
             parts: list[tuple] = []
             blobs: list[bytes] = []
             for _, words in _pieces(batch.column(position)):
-                token, one, two = _tokens(words, all_words, n_shown)
+                token, one, two = _tokens(words, all_words, own)
                 row = np.repeat(np.arange(words.rows), words.count + 1)
                 hashes = words.hashes()
                 place = all_words.find(hashes)
                 known = place >= 0
                 row_of, logs = words.row[known], logs_of[place[known]]
-                shown = place[known] < n_shown
+                shown = place[known] < own
                 sums = [
                     words.count + 1,
                     np.bincount(row_of, minlength=words.rows),
-                    np.bincount(row[token == OTHER], minlength=words.rows),
                     np.bincount(row_of[shown], logs[shown], words.rows),
                     np.bincount(row_of[~shown], logs[~shown], words.rows),
-                    np.bincount(row, own.log10(token, one, two), words.rows),
+                    np.bincount(row, fitted.log10(token, one, two) - all_of[token], words.rows),
                 ]
                 parts.append(sums)
                 far_row, far = words.row[~known], hashes[~known]
@@ -452,8 +461,8 @@ def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> Dat
             if parts:
                 sums = [np.concatenate(x) for x in zip(*parts, strict=True)]
                 arrays = [c for i, c in enumerate(batch.columns) if i != position]
-                arrays += [pa.array(x.astype(np.int64)) for x in sums[:3]]
-                arrays += [pa.array(x.astype(float)) for x in sums[3:]]
+                arrays += [pa.array(x.astype(np.int64)) for x in sums[:2]]
+                arrays += [pa.array(x.astype(float)) for x in sums[2:]]
                 yield pa.RecordBatch.from_arrays(
                     [*arrays, pa.array(blobs, pa.binary())], names=names_out
                 )
@@ -481,18 +490,16 @@ def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> Dat
         F.sum(F.col("k") * F.log10(F.col("c") + 1.0)).alias("__llm_rest_logs"),
     )
     out = found.drop("__llm_rest").join(rest, "__llm_row", "left")
-    other_logs = F.col("__llm_other_logs") + F.coalesce("__llm_rest_logs", F.lit(0.0))
-    base = F.col("__llm_shown_logs") + other_logs + float(np.log10(ends + 1.0))
+    shared_logs = F.col("__llm_shared_logs") + F.coalesce("__llm_rest_logs", F.lit(0.0))
+    base = F.col("__llm_own_logs") + shared_logs + float(np.log10(ends + 1.0))
     base -= F.col("n_tokens") * float(np.log10(total + kinds + 1.0))
-    # a word of the class of others has its smoothed share of the class
-    inner = other_logs - F.col("__llm_n_other") * float(np.log10(others + other_kinds + 1.0))
     return out.select(
         *[c for c in given if c != text],
         "n_tokens",
         (F.col("n_known") + F.coalesce("__llm_known_rest", F.lit(0)) + int(ends > 0)).alias("n_known"),
         F.lit(total).cast("bigint").alias("train_tokens"),
         base.alias("base_score"),
-        (F.col("__llm_model_log") + inner).alias("score"),
+        (F.col("__llm_model_log") + shared_logs).alias("score"),
     )
 
 

@@ -245,10 +245,13 @@ def test_model_is_normalised_and_helps():
     assert model.log10(token, one, two).mean() > np.log10(share / share.sum())[token].mean() + 0.3
 
 
-def test_every_word_seen_often_has_vectors(spark):
+@pytest.mark.parametrize("own_words", [1 << 15, 8])
+def test_every_word_has_vectors(spark, monkeypatch, own_words):
+    # beyond the most frequent words, entries are shared by hash
+    monkeypatch.setattr(lm, "OWN_WORDS", own_words)
     draw = np.random.default_rng(4)
     pairs = [(f"a{i}", f"b{i}") for i in range(1000)]
-    order = np.concatenate([draw.permutation(1000) for _ in range(lm.LEAST_SEEN)])
+    order = np.concatenate([draw.permutation(1000) for _ in range(50)])
     lines = [" ".join(w for i in part for w in pairs[i]) for part in np.split(order, 500)]
     training = frame(spark, list(enumerate(lines)), 1)
     docs = [(i, " ".join(pairs[i])) for i in range(1000)]
@@ -272,6 +275,38 @@ def test_two_levels_are_normalised():
         assert abs(p.sum() - 1) < 1e-4
 
 
+def test_log_probabilities_against_a_plain_loop():
+    draw = np.random.default_rng(3)
+    share = 1 / np.arange(1, 401)
+    model = lm.LogBilinear(share / share.sum())
+    token = np.minimum(draw.pareto(1, 9000).astype(int), 399)
+    model.fit(token, np.roll(token, 1), np.roll(token, 2), {}, draw)
+    names = ("context", "near", "far", "target", "bias", "own_target", "own_bias", "of")
+    context, near, far, target, bias, own_target, own_bias, of = (getattr(model, x).copy() for x in names)
+    model.freeze()
+    token, one, two = draw.integers(0, 400, (3, 60))
+    for w, a, b, found in zip(token, one, two, model.log10(token, one, two), strict=True):
+        h = context[a] @ near + context[b] @ far
+        by_class = [math.exp(h @ t + x) for t, x in zip(target, bias, strict=True)]
+        inner = {v: math.exp(h @ own_target[v] + own_bias[v]) for v in range(400) if of[v] == of[w]}
+        p = by_class[of[w]] / sum(by_class) * inner[w] / sum(inner.values())
+        assert abs(found - math.log10(p)) < 1e-3
+
+
+def test_counts_of_shared_entries(spark):
+    names = np.arange(1, 100, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+    often = np.arange(99, 0, -1)
+    rest = [(int(h), int(h) % 5 + 1) for h in (names[:40] + np.uint64(3)).view(np.int64)]
+    total, kinds = lm._entry_counts(10, names, often, spark.createDataFrame(rest, "h long, c long"))
+    wanted: Counter = Counter()
+    number: Counter = Counter()
+    for h, c in [*zip(names[10:].tolist(), often[10:].tolist(), strict=True), *rest]:
+        wanted[h % lm.SHARED] += c
+        number[h % lm.SHARED] += 1
+    assert dict(wanted) == {e: n for e, n in enumerate(total.tolist()) if n}
+    assert dict(number) == {e: n for e, n in enumerate(kinds.tolist()) if n}
+
+
 def test_scores_without_training_rows(spark):
     docs = frame(spark, [(1, "a b"), (2, None)]).selectExpr("*", "3 AS score")
     found = lm.score_texts(docs, docs.where("false"))
