@@ -101,14 +101,13 @@ def word_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def _tokens(
-    words: Words, index: WordIndex, own: int
+    words: Words, hashes: np.ndarray, place: np.ndarray, own: int
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Model entries of all rows, an end after each, and the two before each.
 
-    The first ``own`` words of the index have entries of their own.
+    ``place`` is where the word index has the words' hashes; its first ``own`` words
+    have entries of their own.
     """
-    hashes = words.hashes()
-    place = index.find(hashes)
     shared = (hashes & np.uint64(SHARED - 1)).astype(np.int64) + own + 1
     place = np.where((place >= 0) & (place < own), place + 1, shared)
     ends = words.first[1:] + np.arange(words.rows)
@@ -135,11 +134,13 @@ def _sums(index: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return index[first], np.add.reduceat(values[order], first, axis=0)
 
 
-def _log_sums(h: np.ndarray, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Products of rows with vectors, and the logarithms of the sums of their exponentials."""
+def _log_shares(h: np.ndarray, vectors: np.ndarray, chosen: np.ndarray) -> np.ndarray:
+    """For each row, the chosen vector's logarithm in the normalised exponentials of all products."""
     z = h @ vectors.T
     np.clip(z, -LARGEST, LARGEST, out=z)
-    return z, np.log(np.exp(z).sum(axis=1))
+    own = z[np.arange(len(z)), chosen]
+    np.exp(z, out=z)
+    return own - np.log(z.sum(axis=1))
 
 
 class LogBilinear:
@@ -218,17 +219,23 @@ class LogBilinear:
             rows = np.empty((len(w) + NOISE, SIZE + 1), np.float32)
             np.multiply(predicted, g[:, None], out=rows[: len(w), :SIZE])
             rows[len(w) :, :SIZE], rows[: len(w), SIZE], rows[len(w) :, SIZE] = f.T @ predicted, g, f.sum(0)
-            classes, step = _sums(np.concatenate([cw, noise]), rows / m)
+            classes, step = _sums(np.concatenate([cw, noise]), rows)
+            step /= m
             self._step_at("target", classes, step[:, :SIZE], state)
             self._step_at("bias", classes, step[:, SIZE], state)
-            back = np.concatenate([d_predicted @ self.near.T, d_predicted @ self.far.T])
+            back = np.empty((2 * len(w), SIZE), np.float32)
+            np.matmul(d_predicted, self.near.T, out=back[: len(w)])
+            np.matmul(d_predicted, self.far.T, out=back[len(w) :])
             self._step_rows("context", *_sums(np.concatenate([a, b]), back), state)
 
     @staticmethod
     def _pulls(real: np.ndarray, fake: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """How far tokens are from 1, and noise (with a minus) from 0."""
-        g = 1 / (1 + np.exp(np.clip(real, -30, 30)))
-        return g, -1 / (1 + np.exp(-np.clip(fake, -30, 30)))
+        np.clip(real, -30, 30, out=real)
+        np.clip(fake, -30, 30, out=fake)
+        np.exp(real, out=real)
+        np.exp(np.negative(fake, out=fake), out=fake)
+        return 1 / (1 + real), -1 / (1 + fake)
 
     def _fit_inner(self, w: np.ndarray, cw: np.ndarray, h: np.ndarray, state: dict, draw) -> np.ndarray:
         """Tell entries from others of their class; the gradients of what was predicted."""
@@ -280,9 +287,8 @@ class LogBilinear:
         h = np.ones((len(token), SIZE + 1), np.float32)
         h[:, :SIZE] = self.a[one] + self.b[two]
         for at in range(0, len(token), SUM_ROWS):
-            own = cw[at : at + SUM_ROWS]
-            z, norm = _log_sums(h[at : at + SUM_ROWS], self.q)
-            out[at : at + SUM_ROWS] = z[np.arange(len(own)), own] - norm
+            part = slice(at, at + SUM_ROWS)
+            out[part] = _log_shares(h[part], self.q, cw[part])
         inner = np.flatnonzero(self.size[cw] > 1)
         inner = inner[np.argsort(cw[inner], kind="stable")]
         classes, start = np.unique(cw[inner], return_index=True)
@@ -291,8 +297,7 @@ class LogBilinear:
             vectors = self.own_q[first : first + self.size[k]]
             for at in range(0, len(where), SUM_ROWS):
                 some = where[at : at + SUM_ROWS]
-                z, norm = _log_sums(h[some], vectors)
-                out[some] += z[np.arange(len(some)), token[some] - first] - norm
+                out[some] += _log_shares(h[some], vectors, token[some] - first)
         return out / np.log(10)
 
 
@@ -310,7 +315,10 @@ def _fit_round(docs: DataFrame, model: LogBilinear, index: WordIndex) -> LogBili
         (own, words_of), state, n = received(sent), {}, 0
         start, draw = own.own(), np.random.default_rng(5)
         for batch in batches:
-            held = [_tokens(words, words_of, own_words) for _, words in _pieces(batch.column(0))]
+            held = []
+            for _, words in _pieces(batch.column(0)):
+                hashes = words.hashes()
+                held.append(_tokens(words, hashes, words_of.find(hashes), own_words))
             for k in range(0, len(held), 4):
                 token, one, two = (np.concatenate(x) for x in zip(*held[k : k + 4], strict=True))
                 own.fit(token, one, two, state, draw)
@@ -433,10 +441,10 @@ def score_texts(docs: DataFrame, training: DataFrame, text: str = "text") -> Dat
             parts: list[tuple] = []
             blobs: list[bytes] = []
             for _, words in _pieces(batch.column(position)):
-                token, one, two = _tokens(words, all_words, own)
-                row = np.repeat(np.arange(words.rows), words.count + 1)
                 hashes = words.hashes()
                 place = all_words.find(hashes)
+                token, one, two = _tokens(words, hashes, place, own)
+                row = np.repeat(np.arange(words.rows), words.count + 1)
                 known = place >= 0
                 row_of, logs = words.row[known], logs_of[place[known]]
                 shown = place[known] < own
