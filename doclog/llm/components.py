@@ -9,10 +9,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import mixed, released, saved
+from .shared import gathered, mixed, released, saved
 
 # Links that a task connects at once; more are connected in lots.
 LINKS_AT_ONCE = 1 << 22
+# Ties between tasks' roots that go to one task of the next level, about.
+TIES_A_TASK = 1 << 16
 # Roots that are sent to the ids' rows, 16 bytes each; more are joined, in SALTS lots.
 MAX_SENT_ROOTS, SALTS = 1 << 18, 16
 
@@ -76,20 +78,29 @@ def _with_root_of(rows: DataFrame, key: str, roots: DataFrame, value: str) -> Da
 
 
 def _rooted(links: DataFrame) -> DataFrame:
-    """``id, root`` for every id in ``links`` (``u``, ``v``): one root a component."""
-    levels, edges = [], links.select("u", "v")
+    """``id, root`` for every id in ``links`` (``u``, ``v``): one root a component.
+
+    The tasks of a level are as many as its ties call for; a level of one task
+    leaves no ties.
+    """
+    levels, edges, alone = [], links.select("u", "v"), False
     while True:
         forest = saved(edges.mapInArrow(_forest, "id bigint, root bigint"))
         # an id that several tasks have met ties their roots
         first = forest.groupBy("id").agg(F.min(F.struct(F.xxhash64("root"), "root"))["root"].alias("top"))
         levels.append(first)
+        if alone:
+            break
         ties = forest.join(first, "id").where("root <> top")
-        edges = saved(ties.select(F.col("root").alias("u"), F.col("top").alias("v")).distinct())
-        if edges.isEmpty():
+        edges = saved(gathered(ties.select(F.col("root").alias("u"), F.col("top").alias("v")).distinct()))
+        left = edges.count()
+        if not left:
             break
+        alone = left <= min(TIES_A_TASK, LINKS_AT_ONCE)
+        edges = edges.coalesce(-(-left // TIES_A_TASK))
     found = levels.pop().withColumnRenamed("top", "root")
     while levels:
-        upper = saved(found).select(F.col("id").alias("top"), "root")
+        upper = saved(gathered(found)).select(F.col("id").alias("top"), "root")
         found = _with_root_of(levels.pop(), "top", upper, "root")
         found = found.select("id", F.coalesce("root", "top").alias("root"))
     return found
@@ -105,7 +116,7 @@ def components(links: DataFrame) -> DataFrame:
     ignored.
     """
     known = links.where("u IS NOT NULL AND v IS NOT NULL AND u <> v")
-    rooted = saved(_rooted(known))
+    rooted = saved(gathered(_rooted(known)))
     least = rooted.groupBy("root").agg(F.min("id").alias("component"))
-    found = _with_root_of(rooted, "root", saved(least), "component")
+    found = _with_root_of(rooted, "root", saved(gathered(least)), "component")
     return found.where("id <> component").select("id", "component")

@@ -43,6 +43,7 @@ from .shared import (
     NOT_BLANK,
     Words,
     chunks,
+    gathered,
     gram_hashes,
     mixed,
     received,
@@ -267,10 +268,9 @@ def _frequent(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
                 [pa.array(hashes.astype(np.int64)), pa.array(k)], names=["h", "k"]
             )
 
-    counts = saved(
-        sets.select("data").mapInArrow(count, "h bigint, k bigint").groupBy("h")
-        .agg(F.sum("k").alias("k")).where(F.col("k") >= LEAST_FREQUENT)
-    )
+    counts = sets.select("data").mapInArrow(count, "h bigint, k bigint").groupBy("h")
+    counts = counts.agg(F.sum("k").alias("k")).where(F.col("k") >= LEAST_FREQUENT)
+    counts = saved(gathered(counts))
     # rows by number of sets: at most a few thousand different numbers of digits
     sizes = counts.groupBy(F.floor(F.log2("k") * 4).alias("b")).count().orderBy(F.desc("b")).collect()
     least, total = None, 0
@@ -344,11 +344,10 @@ def _clusters(sets: DataFrame, frequent, num: int, share: float) -> tuple[DataFr
                 )
 
     postings = saved(sets.select("id", "data").mapInArrow(first, kind))
-    meta = saved(
-        postings.groupBy("id").agg(
-            F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("need").alias("need")
-        )
+    meta = postings.groupBy("id").agg(
+        F.min("n").alias("lo"), F.max("n").alias("hi"), F.min("need").alias("need")
     )
+    meta = saved(gathered(meta))
     rare = postings.where("rare").select("h", "id").distinct()
     pairs = (
         rare.withColumnRenamed("id", "u").join(rare.withColumnRenamed("id", "v"), "h")
@@ -573,12 +572,11 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK, share: float
         "id", "cluster", "hi", F.explode(F.sequence(lowest, highest + 1)).alias("band"),
         highest.alias("top"),
     )
-    tied = saved(
-        banded.select(
-            "id", "hi", F.xxhash64("cluster", "band").alias("cluster"),
-            (F.col("band") > F.col("top")).alias("low"),
-        )
+    tied = banded.select(
+        "id", "hi", F.xxhash64("cluster", "band").alias("cluster"),
+        (F.col("band") > F.col("top")).alias("low"),
     )
+    tied = saved(gathered(tied))
     sizes = tied.groupBy("cluster").agg(
         _weight().alias("size"), F.min("low").alias("all_low"), F.count("*").alias("k")
     )
@@ -602,14 +600,14 @@ def similar_classes(sets: DataFrame, num: int, block: int = BLOCK, share: float
     links = saved(joined(small.union(first)))
     if large.isEmpty():
         return links
-    parts = saved(_connected(links))
+    parts = saved(gathered(_connected(links)))
     again = _with_parts(large, parts).select(
         F.xxhash64(F.lit(1), "cluster", F.pmod(F.xxhash64("id", F.lit(1)), blocks)).alias("g"),
         "id", "part", "low",
     )
     tied = parts.where("id <> part").select(F.col("id").alias("u"), F.col("part").alias("v"))
     links = saved(tied.union(joined(again)))
-    parts = saved(_connected(links))
+    parts = saved(gathered(_connected(links)))
     # blocks of one component, or of several small ones; pairs that are connected need no task
     known = _with_parts(large.drop("size"), parts)
     held = known.groupBy("cluster", "part").agg(_weight().alias("k"))
@@ -652,17 +650,15 @@ def join_ngrams(
     """
     docs = docs.select("doc_id", "text")
     heads = saved(_heads(docs, n, share))
-    classes = saved(
-        heads.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s", "d1", "d2")
-        .agg(F.min("doc_id").alias("id"))
-    )
+    classes = heads.where("n > 0 AND doc_id IS NOT NULL").groupBy("n", "s", "d1", "d2")
+    classes = saved(gathered(classes.agg(F.min("doc_id").alias("id"))))
     shared = _shared_counts(docs, n, share)
     misses = F.expr(f"n - CAST(CEIL({num} * n / 100.0D - 1e-9) AS BIGINT)")
     near = classes.join(shared, "d1", "left").where(
         F.coalesce("k", F.lit(0)) >= F.col("s") - misses
     )
     # used for the size check and for the sets
-    chosen = saved(near.select("id").distinct())
+    chosen = saved(gathered(near.select("id").distinct()))
     sets = saved(_full_sets(docs, chosen, n))
     links = similar_classes(sets, num, block, share)
     parts = _connected(links)

@@ -61,10 +61,24 @@ def scratch(spark: SparkSession) -> str:
 def saved(df: DataFrame) -> DataFrame:
     """Write a frame to scratch space and read it back: its lineage ends there."""
     spark, path = df.sparkSession, scratch(df.sparkSession)
-    df.write.parquet(path)
+    # nobody waits for the file that marks success: readers start after the write
+    df.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "false").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def gathered(df: DataFrame) -> DataFrame:
+    """The rows in an eighth of the shuffle partitions, two for each core at least.
+
+    For side tables of ids and counts: each partition becomes a file, and on a
+    local disk Hadoop starts three processes for a file. While a process starts
+    it shares its JVM's memory, which is counted twice by who sums the memory of
+    all processes of an executor.
+    """
+    spark = df.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return df.coalesce(max(parts // 8, 2 * spark.sparkContext.defaultParallelism))
+
+
 def send(context: SparkContext, value: object) -> Broadcast:
     """Broadcast a value together with the code of its class. The caller bounds its size."""
     return context.broadcast(cloudpickle.dumps(value))

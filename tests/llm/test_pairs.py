@@ -7,7 +7,7 @@ import random
 
 import pytest
 
-from doclog.llm import decontaminate, ngram_join, repeats
+from doclog.llm import decontaminate, ngram_join, repeats, shared
 from doclog.llm.components import components
 
 from .helpers import BLANK_WORD, PLAIN_WORD, frame, lower, texts
@@ -83,6 +83,37 @@ def test_components_of_scattered_links(spark, monkeypatch, sent):
     assert found == {x: root(x) for x in parent if root(x) != x}
 
 
+def test_components_write_few_files(spark, monkeypatch):
+    """Side tables have few files, whatever the shuffle partitions; few ties need one task."""
+    import doclog.llm.components as module
+
+    settings = {"spark.sql.shuffle.partitions": "64", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in settings}
+    written = []
+
+    def counted(df):
+        out = shared.saved(df)
+        written.append(len(out.inputFiles()))
+        return out
+
+    monkeypatch.setattr(module, "saved", counted)
+    draw = random.Random(8)
+    links = [(i, i + 1) for i in range(600)] + [(2000 + 2 * i, 2001 + 2 * i) for i in range(300)]
+    draw.shuffle(links)
+    rows = spark.createDataFrame(links, "u long, v long").repartition(9)
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        found = {r.id: r.component for r in components(rows).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert found == {i: 0 for i in range(1, 601)} | {2001 + 2 * i: 2000 + 2 * i for i in range(300)}
+    most = max(64 // 8, 2 * spark.sparkContext.defaultParallelism)
+    # links, ties, roots of ties; roots sent up, all roots, least ids
+    assert len(written) == 6 and max(written[1:]) <= most and written[2] == 1
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     links = [(i, i + 1) for i in range(50)] + [(100, 100 + i) for i in range(1, 40)] + [(7, 7)]
     found = components(spark.createDataFrame(links, "u long, v long")).collect()
